@@ -1,0 +1,64 @@
+"""Every registered query against its SQL counterpart in DuckDB."""
+
+import math
+import os
+from pathlib import Path
+
+import duckdb
+import pytest
+
+import __spark_entry__ as contract
+
+SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.01")
+ORACLES = contract.oracle_sql()
+
+
+@pytest.fixture(scope="module")
+def duck():
+    connection = duckdb.connect()
+    for file in Path(SF_DIR).glob("*.parquet"):
+        connection.execute(f"create view {file.stem} as select * from '{file}'")
+    return connection
+
+
+def comparable(value):
+    if isinstance(value, float):
+        return "nan" if math.isnan(value) else round(value, 9)
+    return value
+
+
+def table(columns, rows):
+    order = sorted(range(len(columns)), key=lambda i: columns[i])
+    records = [tuple(comparable(row[i]) for i in order) for row in rows]
+    return sorted(columns), sorted(records, key=repr)
+
+
+def kind(name):
+    """Type families, as far as the two engines name them differently."""
+    name = name.lower()
+    for family in ("timestamp", "bigint", "int", "double", "string", "varchar", "boolean"):
+        if name.startswith(family):
+            return {"varchar": "string", "integer": "int"}.get(family, family)
+    return name
+
+
+def test_every_query_but_the_preview_has_an_oracle():
+    assert set(contract.queries()) - set(ORACLES) == {"preview_10"}
+    assert set(ORACLES) <= set(contract.queries())
+
+
+@pytest.mark.parametrize("name", ORACLES)
+def test_matches_oracle(spark, duck, name):
+    frame = contract.queries()[name](spark, SF_DIR)
+    relation = duck.sql(ORACLES[name])
+    ours = table(frame.columns, frame.collect())
+    theirs = table(relation.columns, relation.fetchall())
+    assert ours == theirs
+    assert ours[1], "an empty result proves nothing"
+    ours_types = {f.name: kind(f.dataType.simpleString()) for f in frame.schema.fields}
+    their_types = {c: kind(str(t)) for c, t in zip(relation.columns, relation.types)}
+    assert ours_types == their_types
+
+
+def test_preview_has_ten_rows(spark):
+    assert contract.queries()["preview_10"](spark, SF_DIR).count() == 10
