@@ -451,7 +451,7 @@ def _hour_sql() -> str:
     )
 
 
-_QUARTILES = {"25%": 0.25, "50%": 0.5, "75%": 0.75}
+_QUARTILES = {name: share for share, name in profile.QUARTILES.items()}
 _AGGREGATES = {"count": "count", "mean": "avg", "stddev": "stddev_samp", "min": "min", "max": "max"}
 
 

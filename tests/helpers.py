@@ -1,0 +1,42 @@
+"""Rows and plan access for the tests."""
+
+from datetime import datetime
+
+RAW_SCHEMA = (
+    "VendorID bigint, passenger_count double, total_amount double, "
+    "tpep_pickup_datetime timestamp, tpep_dropoff_datetime timestamp"
+)
+BASE = {
+    "VendorID": 1,
+    "passenger_count": 2.0,
+    "total_amount": 15.5,
+    "tpep_pickup_datetime": datetime(2023, 5, 10, 8, 0),
+    "tpep_dropoff_datetime": datetime(2023, 5, 10, 8, 20),
+}
+
+
+def raw_trips(spark, *overrides):
+    """One raw trip per set of overrides."""
+    rows = [tuple((BASE | o).values()) for o in overrides]
+    return spark.createDataFrame(rows, RAW_SCHEMA)
+
+
+def initial_plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def formatted_plan(df):
+    mode = df.sparkSession._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
+    return df._jdf.queryExecution().explainString(mode)
+
+
+def scan_lines(df, label):
+    """What follows a label such as PushedFilters, once per scan."""
+    lines = (line.strip() for line in formatted_plan(df).splitlines())
+    return [line.removeprefix(f"{label}: ") for line in lines if line.startswith(f"{label}: ")]
+
+
+def count_in_plan(df, operator):
+    """How often an operator occurs in the tree at the top of the plan."""
+    tree = formatted_plan(df).split("\n\n\n")[0]
+    return sum(operator in line for line in tree.splitlines())

@@ -1,0 +1,200 @@
+"""From raw to trusted trips."""
+
+import math
+from datetime import datetime, timedelta
+
+import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+
+from helpers import BASE, RAW_SCHEMA, raw_trips
+from tripmart.config import Period, applied
+from tripmart.operators import refine as r
+
+
+def refined(spark, *overrides, **options):
+    return r.refine(raw_trips(spark, *overrides), **options).collect()
+
+
+def test_schema(spark):
+    schema = r.refine(raw_trips(spark, {})).schema
+    assert [(f.name, f.dataType.simpleString()) for f in schema] == [
+        ("VendorID", "int"),
+        ("passenger_count", "int"),
+        ("total_amount", "double"),
+        ("tpep_pickup_datetime", "timestamp"),
+        ("tpep_dropoff_datetime", "timestamp"),
+        ("trip_year", "int"),
+        ("trip_month", "int"),
+    ]
+
+
+def test_empty_cabs_are_dropped(spark):
+    rows = refined(spark, {"passenger_count": 2.0}, {"passenger_count": 0.0})
+    assert [row.passenger_count for row in rows] == [2]
+
+
+def test_negative_amounts_are_dropped(spark):
+    rows = refined(spark, {"total_amount": 20.0}, {"total_amount": -5.0})
+    assert [row.total_amount for row in rows] == [20.0]
+
+
+def test_dropoff_before_pickup_is_dropped(spark):
+    times = {
+        "tpep_pickup_datetime": datetime(2023, 5, 10, 9),
+        "tpep_dropoff_datetime": datetime(2023, 5, 10, 8),
+    }
+    assert refined(spark, times) == []
+
+
+def test_copies_collapse(spark):
+    assert len(refined(spark, {}, {})) == 1
+
+
+def at(pickup, minutes=0):
+    return {"tpep_pickup_datetime": pickup, "tpep_dropoff_datetime": pickup + timedelta(minutes=minutes)}
+
+
+KEPT = {
+    "no ride time": at(datetime(2023, 5, 10, 9)),
+    "free ride": {"total_amount": 0.0},
+    "first instant": at(datetime(2023, 1, 1)),
+    "ends after the period": at(datetime(2023, 5, 31, 23, 59, 59), 5),
+    "unknown vendor": {"VendorID": None},
+    "fraction above one": {"passenger_count": 1.9},
+    "amount not a number": {"total_amount": math.nan},
+}
+DROPPED = {
+    "fraction below one": {"passenger_count": 0.5},
+    "before the period": at(datetime(2022, 12, 31, 23, 59, 59)),
+    "after the period": at(datetime(2023, 6, 1)),
+    "other year": at(datetime(2024, 3, 1)),
+    "no pickup": {"tpep_pickup_datetime": None},
+    "no dropoff": {"tpep_dropoff_datetime": None},
+    "no amount": {"total_amount": None},
+    "no passengers known": {"passenger_count": None},
+    "passengers not a number": {"passenger_count": math.nan},
+    "passengers beyond int": {"passenger_count": 3e9},
+}
+
+
+@pytest.mark.parametrize("case", KEPT)
+def test_kept(spark, case):
+    assert len(refined(spark, KEPT[case])) == 1
+
+
+@pytest.mark.parametrize("case", DROPPED)
+def test_dropped(spark, case):
+    assert refined(spark, DROPPED[case]) == []
+
+
+def test_fractions_are_cut_off(spark):
+    assert refined(spark, {"passenger_count": 1.9})[0].passenger_count == 1
+
+
+def test_vendor_beyond_int_becomes_null(spark):
+    assert refined(spark, {"VendorID": 3_000_000_000})[0].VendorID is None
+
+
+def test_unknown_vendors_count_as_equal(spark):
+    assert len(refined(spark, {"VendorID": None}, {"VendorID": None})) == 1
+
+
+def test_signed_zeros_count_as_equal(spark):
+    assert len(refined(spark, {"total_amount": 0.0}, {"total_amount": -0.0})) == 1
+
+
+def test_nan_amounts_count_as_equal_and_can_be_rejected(spark):
+    nan = {"total_amount": math.nan}
+    assert len(refined(spark, nan, nan)) == 1
+    assert refined(spark, nan, reject_nan=True) == []
+
+
+def test_text_that_is_no_number_is_dropped(spark):
+    df = raw_trips(spark, {}, {}).selectExpr(
+        "VendorID",
+        "'many' as passenger_count",
+        "total_amount",
+        "tpep_pickup_datetime",
+        "tpep_dropoff_datetime",
+    )
+    assert r.refine(df).collect() == []
+
+
+def test_month_of_the_session_zone(spark):
+    early = at(datetime(2023, 6, 1, 2))
+    instants = raw_trips(spark, early)
+    with applied(spark, {"spark.sql.session.timeZone": "America/New_York"}):
+        assert [row.trip_month for row in r.refine(instants).collect()] == [5]
+    assert r.refine(instants).collect() == []
+
+
+def test_wall_clock_columns_keep_their_hour(spark):
+    df = raw_trips(spark, at(datetime(2023, 5, 10, 2))).selectExpr(
+        "VendorID",
+        "passenger_count",
+        "total_amount",
+        "cast(tpep_pickup_datetime as timestamp_ntz) as tpep_pickup_datetime",
+        "cast(tpep_dropoff_datetime as timestamp_ntz) as tpep_dropoff_datetime",
+    )
+    with applied(spark, {"spark.sql.session.timeZone": "America/New_York"}):
+        hours = r.refine(df).selectExpr("hour(tpep_pickup_datetime) as h").collect()
+    assert [row.h for row in hours] == [2]
+
+
+def test_other_columns_are_left_out(spark):
+    df = raw_trips(spark, {}).selectExpr("'x' as extra", "*")
+    assert r.select_required(df).columns == list(BASE)
+
+
+def test_snake_case(spark):
+    assert r.rename_snake_case(raw_trips(spark, {})).columns[0] == "vendor_id"
+
+
+def test_period_of_december_ends_with_the_year():
+    assert Period(2023, 12, 12).end == "2024-01-01 00:00:00"
+    with pytest.raises(ValueError):
+        Period(2023, 5, 4)
+
+
+# -- Against plain Python ----------------------------------------------------------
+
+pickups = st.datetimes(datetime(2022, 12, 31), datetime(2023, 6, 2)).map(
+    lambda t: t.replace(microsecond=0)
+)
+rides = st.tuples(
+    st.sampled_from([None, 1, 2]),
+    st.sampled_from([None, -1.5, 0.0, 0.5, 1.0, 1.9, 6.0, math.nan, 3e9]),
+    st.sampled_from([None, -0.01, 0.0, 12.5, 700.0]),
+    st.one_of(st.none(), pickups),
+    st.one_of(st.none(), st.integers(-2, 2)),
+)
+
+
+def expected(rows):
+    kept = set()
+    for vendor, passengers, amount, pickup, minutes in rows:
+        if None in (passengers, amount, pickup, minutes):
+            continue
+        if math.isnan(passengers) or not 1 <= passengers < 2**31:
+            continue
+        if amount < 0 or minutes < 0:
+            continue
+        if pickup.year != 2023 or not 1 <= pickup.month <= 5:
+            continue
+        dropoff = pickup + timedelta(minutes=minutes)
+        kept.add((vendor, int(passengers), amount, pickup, dropoff, pickup.year, pickup.month))
+    return kept
+
+
+@settings(max_examples=15, deadline=None, suppress_health_check=[HealthCheck.too_slow])
+@given(st.lists(rides, min_size=1, max_size=60))
+def test_any_rows(spark, rows):
+    rows = rows + rows[: len(rows) // 3]
+    data = [
+        (v, p, a, t, t + timedelta(minutes=m) if t is not None and m is not None else None)
+        for v, p, a, t, m in rows
+    ]
+    result = [tuple(row) for row in r.refine(spark.createDataFrame(data, RAW_SCHEMA)).collect()]
+    assert len(result) == len(set(result))
+    assert set(result) == expected(rows)

@@ -4,13 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tripmart.functions.columns import bin_edge
+from tripmart.functions.columns import bin_edge, named
+from tripmart.sources.landing import union_all
 
 # The statistics of a summary, in order.
 STATISTICS = ("count", "mean", "stddev", "min", "25%", "50%", "75%", "max")
+QUARTILES = {0.25: "25%", 0.5: "50%", 0.75: "75%"}
 SUMMARY_COLUMNS = ("passenger_count", "total_amount")
 TOP_COLUMNS = ("tpep_pickup_datetime", "passenger_count", "total_amount")
 
@@ -34,34 +36,88 @@ def summary_text(df: DataFrame, columns: Sequence[str] = SUMMARY_COLUMNS) -> Dat
     return df.select(*columns).summary(*STATISTICS)
 
 
-def summary(
-    df: DataFrame, columns: Sequence[str] = SUMMARY_COLUMNS, accuracy: int = 100_000
+def quantiles(
+    df: DataFrame, column: str, probabilities: Sequence[float], buckets: int = 256
 ) -> DataFrame:
-    """Summary as numbers, one row per statistic, from one pass.
+    """Exact quantiles: the smallest value that at least that share of rows reaches.
 
-    Quartiles come from a mergeable sketch whose size depends on ``accuracy`` and not
-    on the data. Their rank is off by at most ``rows / accuracy``: they are exact
-    below ``accuracy`` rows.
+    Works on the distinct values and their counts, so a frequent value is one row. They
+    are cut into ranges at a fixed sample of themselves; the totals of the ranges tell
+    which one holds each quantile, and only that range is sorted. NULL is left out.
     """
+    value, rank, running = F.col("value"), F.col("rank"), F.col("running")
+    counts = (
+        df.select(named(column).alias("value"))
+        .filter(value.isNotNull())
+        .groupBy("value")
+        .agg(F.count(F.lit(1)).alias("n"))
+    )
+    # The rows with the smallest hashes: evenly spread, and the same on every evaluation.
+    # Hashing the count as well lets all branches share one exchange of counts.
+    cuts = (
+        counts.orderBy(F.xxhash64("value", "n"), "value")
+        .limit(buckets - 1)
+        .agg(F.sort_array(F.collect_list("value")))
+        .scalar()
+    )
+    # Never NULL, or the join would test it on every input row, before the grouping.
+    bucket = F.coalesce(F.size(F.filter("cuts", lambda cut: cut <= value)), F.lit(0))
+    ranged = counts.withColumn("cuts", cuts).select("value", "n", bucket.alias("bucket"))
+    # At most one row per bucket from here to the join.
+    rows, upto = F.col("rows"), F.col("upto")
+    totals = (
+        ranged.groupBy("bucket")
+        .agg(F.sum("n").alias("rows"))
+        .withColumn("upto", F.sum("rows").over(Window.orderBy("bucket")))
+        .withColumn("total", F.sum("rows").over(Window.partitionBy()))
+    )
+    wanted = (
+        totals.withColumn("probability", F.explode(F.array(*map(F.lit, probabilities))))
+        .withColumn("rank", F.greatest(F.ceil(F.col("probability") * F.col("total")), F.lit(1)))
+        .filter((rank <= upto) & (rank > upto - rows))
+        .select("bucket", "probability", (rank - (upto - rows)).alias("rank"))
+    )
+    in_order = Window.partitionBy("probability").orderBy("value")
+    return (
+        ranged.join(F.broadcast(wanted), "bucket")
+        .withColumn("running", F.sum("n").over(in_order))
+        .filter((running >= rank) & (running - F.col("n") < rank))
+        .select("probability", "value")
+    )
+
+
+def summary(df: DataFrame, columns: Sequence[str] = SUMMARY_COLUMNS) -> DataFrame:
+    """Summary as numbers with exact quartiles, one row per statistic."""
 
-    def numbers(column: str) -> list:
-        c = F.col(column)
-        quartiles = F.percentile_approx(c, [0.25, 0.5, 0.75], accuracy)
-        values = [F.count(c), F.avg(c), F.stddev_samp(c), F.min(c)]
-        values += [quartiles[i] for i in range(3)] + [F.max(c)]
-        return [v.cast("double") for v in values]
-
-    per_column = {c: numbers(c) for c in columns}
-    rows = F.array(
-        *(
-            F.struct(
-                F.lit(name).alias("summary"),
-                *(per_column[c][i].alias(c) for c in columns),
-            )
-            for i, name in enumerate(STATISTICS)
+    def row(statistic: Column, values: dict[str, Column]) -> Column:
+        return F.struct(
+            statistic.alias("summary"),
+            *(values.get(c, F.lit(None)).cast("double").alias(c) for c in columns),
         )
+
+    moments = {
+        "count": F.count,
+        "mean": F.avg,
+        "stddev": F.stddev_samp,
+        "min": F.min,
+        "max": F.max,
+    }
+    rows = [
+        row(F.lit(name), {c: moments[name](named(c)) for c in columns if name in moments})
+        for name in STATISTICS
+    ]
+    parts = [df.agg(F.array(*rows).alias("rows")).select(F.inline("rows"))]
+    label = F.create_map(*(F.lit(x) for p, name in QUARTILES.items() for x in (p, name)))
+    for column in columns:
+        quartile = row(label[F.col("probability")], {column: F.col("value")})
+        parts.append(quantiles(df, column, list(QUARTILES)).select(quartile.alias("r")).select("r.*"))
+    position = F.array_position(F.array(*map(F.lit, STATISTICS)), F.col("summary"))
+    return (
+        union_all(parts)
+        .groupBy("summary")
+        .agg(*(F.max(named(c)).alias(c) for c in columns))
+        .orderBy(position)
     )
-    return df.agg(rows.alias("rows")).select(F.inline("rows"))
 
 
 def in_band(

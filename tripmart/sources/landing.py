@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import logging
 import re
+from collections import Counter
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
@@ -24,6 +25,8 @@ log = logging.getLogger(__name__)
 # Fixed format of landing names; the prefix is free.
 _MONTH = re.compile(r"(?:^|_)(\d{4})-(\d{2})\.parquet$")
 
+OWN_SCAN_BYTES = 64 * 1024 * 1024
+
 
 class Entry(NamedTuple):
     """One landing file, or folder of part files. Sorts by month, then name."""
@@ -33,6 +36,7 @@ class Entry(NamedTuple):
     name: str
     path: str
     uri: str
+    size: int
 
     @property
     def period(self) -> tuple[int, int]:
@@ -59,7 +63,8 @@ def landing_entries(spark: SparkSession, landing_path: str) -> list[Entry]:
         if match is None:
             raise ValueError(f"landing name does not end in _YYYY-MM.parquet: {name}")
         year, month = map(int, match.groups())
-        entries.append(Entry(year, month, name, f"{folder}/{name}", path.toString()))
+        size = file_system.getContentSummary(path).getLength()
+        entries.append(Entry(year, month, name, f"{folder}/{name}", path.toString(), size))
     return sorted(entries)
 
 
@@ -79,30 +84,31 @@ def entry_schemas(
 
 
 def tag_source(df: DataFrame, entries: Sequence[Entry]) -> DataFrame:
-    """Add ``_source_file``, ``_ref_year`` and ``_ref_month`` to a scan of one month.
+    """Add ``_source_file``, ``_ref_year`` and ``_ref_month`` to a scan of these entries.
 
-    The month is a literal: parsing it from the path of every row costs more than
-    reading the row. The path is a literal too unless the month has several files.
+    What the entries have in common is a literal; the rest is cut out of the path of
+    each row's file, by position.
     """
-    (year, month), *others = {e.period for e in entries}
-    if others:
-        raise ValueError("entries of more than one month")
+    first = entries[0]
+    # Drops the names of part files, where the entry is a folder.
+    uri = F.substring_index(F.col("_metadata.file_path"), "/", first.uri.count("/") + 1)
+    name = F.substring_index(uri, "/", -1)
     if len(entries) == 1:
-        source = F.lit(entries[0].path)
+        source = F.lit(first.path)
     else:
-        folder = entries[0].path.removesuffix(entries[0].name)
-        depth = entries[0].uri.count("/") + 1
-        # Cuts the names of part files, when the entry is a folder.
-        uri = F.substring_index(F.col("_metadata.file_path"), "/", depth)
-        name = F.substring_index(uri, "/", -1)
-        if not all(re.fullmatch(r"[\w.=-]+", e.name, re.ASCII) for e in entries):
-            name = F.url_decode(F.replace(name, F.lit("+"), F.lit("%2B")))
-        source = F.concat(F.lit(folder), name)
+        plain = all(re.fullmatch(r"[\w.=-]+", e.name, re.ASCII) for e in entries)
+        decoded = name if plain else F.url_decode(F.replace(name, F.lit("+"), F.lit("%2B")))
+        source = F.concat(F.lit(first.path.removesuffix(first.name)), decoded)
+    if len({e.period for e in entries}) == 1:
+        year, month = F.lit(first.year), F.lit(first.month)
+    else:  # from the end of _YYYY-MM.parquet
+        year = F.substring(name, -15, 4).cast("int")
+        month = F.substring(name, -10, 2).cast("int")
     return df.select(
         "*",
         source.alias("_source_file"),
-        F.lit(year).alias("_ref_year"),
-        F.lit(month).alias("_ref_month"),
+        year.alias("_ref_year"),
+        month.alias("_ref_month"),
     )
 
 
@@ -111,16 +117,24 @@ def union_all(frames: Sequence[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
 
-def read_landing(spark: SparkSession, landing_path: str) -> DataFrame:
+def read_landing(
+    spark: SparkSession, landing_path: str, own_scan_bytes: int = OWN_SCAN_BYTES
+) -> DataFrame:
     """All landing rows with uniform numeric types and their origin.
 
-    One scan per month, or per month and schema where files of one month differ, so
-    that the plan grows with the calendar and not with the number of files.
+    Months of ``own_scan_bytes`` or more get a scan of their own, where year and month
+    are literals: taking them from the path of every row can cost more than reading the
+    row. Smaller months share one scan per schema, since each scan costs planning time.
+    The plan grows with the calendar at most, and never with the number of files.
     """
     entries = landing_entries(spark, landing_path)
+    sizes = Counter()
+    for entry in entries:
+        sizes[entry.period] += entry.size
     scans: dict[tuple, tuple[StructType, list[Entry]]] = {}
     for entry, schema in zip(entries, entry_schemas(spark, entries), strict=True):
-        scans.setdefault((entry.period, schema.json()), (schema, []))[1].append(entry)
+        own = entry.period if sizes[entry.period] >= own_scan_bytes else None
+        scans.setdefault((own, schema.json()), (schema, []))[1].append(entry)
     log.info("%d landing entries in %d scans", len(entries), len(scans))
     return union_all(
         [

@@ -87,7 +87,7 @@ def write_gold(df: DataFrame, name: str, table_format: str = "parquet") -> int:
 def refresh_partitions(df: DataFrame, name: str) -> None:
     """Replace only those partitions of a table that ``df`` has rows for.
 
-    ``df`` must not read the table itself.
+    ``df`` may read the table itself: old files go when all new ones are complete.
     """
     spark = df.sparkSession
     table = spark.table(name)
