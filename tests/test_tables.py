@@ -67,6 +67,19 @@ def test_one_file_per_small_month(spark, schema):
     assert len(spark.table(name).inputFiles()) == 2
 
 
+def test_a_month_with_most_rows_is_split(spark, schema):
+    name = f"{schema}.silver"
+    busy = months(spark, 1).crossJoin(spark.range(200_000)).unionAll(
+        months(spark, 2, 3).crossJoin(spark.range(10))
+    )
+    busy = busy.withColumn("total_amount", F.rand(1)).drop("id").repartition(8)
+    with applied(spark, {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "256KB"}):
+        assert tables.write_silver(busy, name) == 200_020
+    files = [f.split("trip_month=")[1][0] for f in spark.table(name).inputFiles()]
+    assert files.count("1") >= 4
+    assert files.count("2") == files.count("3") == 1
+
+
 def test_refresh_replaces_only_the_given_months(spark, schema):
     name = f"{schema}.silver"
     tables.write_silver(months(spark, 1, 2, 3), name)
@@ -101,7 +114,7 @@ def test_settings_come_back(spark):
 def test_shuffle_grows_with_the_data():
     key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
     assert key not in session_settings()
-    assert session_settings(10)[key] == "200"
+    assert session_settings(10, least_partitions=200)[key] == "200"
     assert session_settings(10 * 2**40)[key] == str(10 * 2**40 // (256 * 2**20))
 
 

@@ -92,27 +92,24 @@ class Lake:
 TARGET_PARTITION_BYTES = 256 * 1024 * 1024
 
 
-def session_settings(shuffle_bytes: int | None = None) -> dict[str, str]:
+def session_settings(shuffle_bytes: int = 0, least_partitions: int = 1) -> dict[str, str]:
     """Session settings for pipeline runs.
 
-    ``shuffle_bytes`` is the expected size of the largest exchange (the five trip
-    columns of the rows that pass the filter). With it, the shuffle starts from one
-    partition per 256 MB, and adaptive execution merges what turns out too small.
+    With ``shuffle_bytes``, the expected size of the largest exchange, shuffles start
+    from one partition per 256 MB, and adaptive execution merges what is too small.
     """
     settings = {
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.caseSensitive": "false",
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.sources.partitionOverwriteMode": "dynamic",
-        # Keeps one open file per month and task instead of sorting each task by month.
+        # One open file per month and task, instead of sorting each task by month.
         "spark.sql.maxConcurrentOutputFileWriters": "24",
     }
-    if shuffle_bytes is not None:
-        partitions = max(200, math.ceil(shuffle_bytes / TARGET_PARTITION_BYTES))
-        settings |= {
-            "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(partitions),
-            "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(TARGET_PARTITION_BYTES),
-        }
+    if shuffle_bytes:
+        partitions = max(least_partitions, math.ceil(shuffle_bytes / TARGET_PARTITION_BYTES))
+        settings["spark.sql.adaptive.coalescePartitions.initialPartitionNum"] = str(partitions)
+        settings["spark.sql.adaptive.advisoryPartitionSizeInBytes"] = str(TARGET_PARTITION_BYTES)
     return settings
 
 

@@ -17,7 +17,7 @@ from tripmart.config import (
 from tripmart.functions.columns import stamp_ingestion
 from tripmart.operators import marts
 from tripmart.operators.refine import refine
-from tripmart.sources.landing import read_landing
+from tripmart.sources.landing import landing_entries, read_landing
 from tripmart.sources.tables import (
     ensure_schema,
     read_table,
@@ -84,8 +84,15 @@ def run_all(
     hour_month: int = DEFAULT_HOUR_MONTH,
     shuffle_bytes: int | None = None,
 ) -> dict[str, int]:
-    """Build every layer; returns the number of rows per table."""
-    with applied(spark, session_settings(shuffle_bytes)):
+    """Build every layer under the settings of pipeline runs; returns the rows per table.
+
+    ``shuffle_bytes`` is the size of the five trip columns as rows. Without it, the size
+    of the landing files stands in: they hold more columns, but compressed.
+    """
+    if shuffle_bytes is None:
+        shuffle_bytes = sum(e.size for e in landing_entries(spark, lake.landing_path))
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    with applied(spark, session_settings(shuffle_bytes, partitions)):
         return {
             lake.bronze_table: build_bronze(spark, lake),
             lake.silver_table: build_silver(spark, lake, period),

@@ -9,10 +9,10 @@ from __future__ import annotations
 import logging
 import re
 from collections import Counter
-from collections.abc import Sequence
+from collections.abc import Callable, Iterable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
-from typing import NamedTuple
+from typing import NamedTuple, TypeVar
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,6 +27,9 @@ _MONTH = re.compile(r"(?:^|_)(\d{4})-(\d{2})\.parquet$")
 
 OWN_SCAN_BYTES = 64 * 1024 * 1024
 
+T = TypeVar("T")
+R = TypeVar("R")
+
 
 class Entry(NamedTuple):
     """One landing file, or folder of part files. Sorts by month, then name."""
@@ -43,44 +46,44 @@ class Entry(NamedTuple):
         return self.year, self.month
 
 
+def _at_once(function: Callable[[T], R], items: Iterable[T]) -> list[R]:
+    """Apply a function that waits for storage or short jobs, several items at a time."""
+    with ThreadPoolExecutor(16) as pool:
+        return list(pool.map(function, items))
+
+
 def landing_entries(spark: SparkSession, landing_path: str) -> list[Entry]:
     """The ``*.parquet`` entries directly below ``landing_path``, by month.
 
-    Lists one level only, on any file system Spark can read: the driver sees one name
-    per month and prefix, not the part files below.
+    Works on any file system Spark can read. The driver sees one name and size per
+    month and prefix, not the part files below.
     """
     folder = landing_path.rstrip("/")
-    hadoop = spark._jvm.org.apache.hadoop.fs
-    pattern = hadoop.Path(folder, "*.parquet")
+    pattern = spark._jvm.org.apache.hadoop.fs.Path(folder, "*.parquet")
     file_system = pattern.getFileSystem(spark._jsc.hadoopConfiguration())
-    found = [status.getPath() for status in file_system.globStatus(pattern) or []]
-    if not found:
+    paths = [status.getPath() for status in file_system.globStatus(pattern) or []]
+    if not paths:
         raise FileNotFoundError(f"no parquet file in {landing_path}")
-    entries = []
-    for path in found:
-        name = path.getName()
-        match = _MONTH.search(name)
-        if match is None:
-            raise ValueError(f"landing name does not end in _YYYY-MM.parquet: {name}")
-        year, month = map(int, match.groups())
-        size = file_system.getContentSummary(path).getLength()
-        entries.append(Entry(year, month, name, f"{folder}/{name}", path.toString(), size))
-    return sorted(entries)
-
-
-def entry_schemas(
-    spark: SparkSession, entries: Sequence[Entry], at_once: int = 16
-) -> list[StructType]:
-    """Schema of each entry, its part files merged; several entries at a time.
-
-    The footers are read by executors, in one short job per entry.
-    """
+    names = [path.getName() for path in paths]
+    months = [_MONTH.search(name) for name in names]
+    if None in months:
+        unknown = names[months.index(None)]
+        raise ValueError(f"landing name does not end in _YYYY-MM.parquet: {unknown}")
+    sizes = _at_once(lambda path: file_system.getContentSummary(path).getLength(), paths)
+    return sorted(
+        Entry(int(month[1]), int(month[2]), name, f"{folder}/{name}", path.toString(), size)
+        for path, name, month, size in zip(paths, names, months, sizes, strict=True)
+    )
+
 
-    def schema(entry: Entry) -> StructType:
-        return spark.read.option("mergeSchema", True).parquet(entry.path).schema
+def entry_schemas(spark: SparkSession, entries: Sequence[Entry]) -> list[StructType]:
+    """Schema of each entry, its part files merged.
 
-    with ThreadPoolExecutor(at_once) as pool:
-        return list(pool.map(schema, entries))
+    Executors read the footers, in one short job per entry.
+    """
+    return _at_once(
+        lambda entry: spark.read.option("mergeSchema", True).parquet(entry.path).schema, entries
+    )
 
 
 def tag_source(df: DataFrame, entries: Sequence[Entry]) -> DataFrame:
