@@ -40,3 +40,24 @@ def count_in_plan(df, operator):
     """How often an operator occurs in the tree at the top of the plan."""
     tree = formatted_plan(df).split("\n\n\n")[0]
     return sum(operator in line for line in tree.splitlines())
+
+
+def shuffled_rows(df):
+    """Run a frame and count the rows each of its shuffles wrote, from the metrics."""
+    df.collect()
+    found = []
+
+    def visit(node):
+        name = node.nodeName()
+        if name == "AdaptiveSparkPlan":
+            return visit(node.executedPlan())
+        if name in ("ShuffleQueryStage", "ResultQueryStage", "BroadcastQueryStage"):
+            return visit(node.plan())
+        if name == "Exchange":
+            found.append(node.metrics().apply("shuffleRecordsWritten").value())
+        children = node.children()
+        for i in range(children.size()):
+            visit(children.apply(i))
+
+    visit(df._jdf.queryExecution().executedPlan())
+    return found

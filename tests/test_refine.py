@@ -7,7 +7,7 @@ import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
-from helpers import BASE, RAW_SCHEMA, raw_trips
+from helpers import BASE, RAW_SCHEMA, raw_trips, shuffled_rows
 from tripmart.config import Period, applied
 from tripmart.operators import refine as r
 
@@ -198,3 +198,21 @@ def test_any_rows(spark, rows):
     result = [tuple(row) for row in r.refine(spark.createDataFrame(data, RAW_SCHEMA)).collect()]
     assert len(result) == len(set(result))
     assert set(result) == expected(rows)
+
+
+def test_a_hot_trip_crosses_the_shuffle_once_per_task(spark):
+    """A third of all rows is one trip; the map tasks reduce it before the shuffle."""
+    tasks, others = 8, 20_000
+    ids = spark.range(0, others * 3 // 2, 1, numPartitions=tasks)
+    hot = "id % 3 = 0"
+    df = ids.selectExpr(
+        "1L as VendorID",
+        "2D as passenger_count",
+        f"if({hot}, 7.5D, 10 + id / 100D) as total_amount",
+        "timestamp'2023-05-10 08:00:00' as tpep_pickup_datetime",
+        "timestamp'2023-05-10 08:20:00' as tpep_dropoff_datetime",
+    )
+    trips = r.refine(df)
+    (rows,) = shuffled_rows(trips)
+    assert trips.count() == others + 1
+    assert others < rows <= others + tasks
