@@ -5,7 +5,10 @@ from datetime import datetime
 from tripmart.operators import marts
 from tripmart.plans import sql
 
-SCHEMA = "trip_year int, trip_month int, total_amount double, passenger_count int, tpep_pickup_datetime timestamp"
+SCHEMA = (
+    "trip_year int, trip_month int, total_amount double, passenger_count int, "
+    "tpep_pickup_datetime timestamp"
+)
 
 
 def silver(spark, *rows):
@@ -70,10 +73,16 @@ def test_counted_hour(spark):
 
 def test_sql_gives_the_same(spark):
     df = silver(spark, (MAY_22H, 1.0, 1), (MAY_10H, 1.5, 2), (APRIL_10H, 1.0, 9))
-    by_month = spark.sql(sql.AMOUNT_BY_MONTH, silver=df)
-    assert values(by_month) == values(marts.amount_by_month(df))
-    by_hour = spark.sql(sql.PASSENGERS_BY_HOUR, sql.DEFAULT_MONTH, silver=df)
-    assert values(by_hour) == values(marts.passengers_by_hour(df))
+    for text, mart in (
+        (sql.AMOUNT_BY_MONTH, marts.amount_by_month),
+        (sql.AMOUNT_AND_TRIPS_BY_MONTH, marts.amount_and_trips_by_month),
+    ):
+        assert values(spark.sql(text, silver=df)) == values(mart(df))
+    for text, mart in (
+        (sql.PASSENGERS_BY_HOUR, marts.passengers_by_hour),
+        (sql.PASSENGERS_AND_TRIPS_BY_HOUR, marts.passengers_and_trips_by_hour),
+    ):
+        assert values(spark.sql(text, sql.DEFAULT_MONTH, silver=df)) == values(mart(df))
 
 
 def test_other_year_and_month(spark):

@@ -52,7 +52,8 @@ def test_copies_collapse(spark):
 
 
 def at(pickup, minutes=0):
-    return {"tpep_pickup_datetime": pickup, "tpep_dropoff_datetime": pickup + timedelta(minutes=minutes)}
+    dropoff = pickup + timedelta(minutes=minutes)
+    return {"tpep_pickup_datetime": pickup, "tpep_dropoff_datetime": dropoff}
 
 
 KEPT = {

@@ -63,7 +63,8 @@ def test_partition_columns(spark, schema):
 def test_one_file_per_small_month(spark, schema):
     name = f"{schema}.silver"
     busy = months(spark, 1, 2).crossJoin(spark.range(500)).repartition(8)
-    tables.write_silver(busy.withColumn("total_amount", F.col("id").cast("double")).drop("id"), name)
+    busy = busy.withColumn("total_amount", F.col("id").cast("double")).drop("id")
+    tables.write_silver(busy, name)
     assert len(spark.table(name).inputFiles()) == 2
 
 

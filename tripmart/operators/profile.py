@@ -110,7 +110,8 @@ def summary(df: DataFrame, columns: Sequence[str] = SUMMARY_COLUMNS) -> DataFram
     label = F.create_map(*(F.lit(x) for p, name in QUARTILES.items() for x in (p, name)))
     for column in columns:
         quartile = row(label[F.col("probability")], {column: F.col("value")})
-        parts.append(quantiles(df, column, list(QUARTILES)).select(quartile.alias("r")).select("r.*"))
+        found = quantiles(df, column, list(QUARTILES))
+        parts.append(found.select(quartile.alias("row")).select("row.*"))
     position = F.array_position(F.array(*map(F.lit, STATISTICS)), F.col("summary"))
     return (
         union_all(parts)
