@@ -86,11 +86,17 @@ def test_names_without_a_month(spark, tmp_path, name):
 
 
 def test_single_files_and_nothing_below(spark, tmp_path):
-    """Files land as they are; neither other names nor deeper files are read."""
+    """Files land as they are; other names, hidden and deeper files are not read."""
     raw_trips(spark, {}).coalesce(1).write.parquet(f"{tmp_path}/made")
     (part,) = Path(tmp_path, "made").glob("*.parquet")
     landing = tmp_path / "landing"
-    for name in ("trips_2023-01.parquet", "old/trips_2022-01.parquet", "notes_2023-01.txt"):
+    for name in (
+        "trips_2023-01.parquet",
+        "old/trips_2022-01.parquet",
+        "notes_2023-01.txt",
+        "_trips_2023-02.parquet",
+        ".trips_2023-03.parquet",
+    ):
         target = landing / name
         target.parent.mkdir(parents=True, exist_ok=True)
         target.write_bytes(part.read_bytes())

@@ -37,7 +37,7 @@ def summary_text(df: DataFrame, columns: Sequence[str] = SUMMARY_COLUMNS) -> Dat
 
 
 def quantiles(
-    df: DataFrame, column: str, probabilities: Sequence[float], buckets: int = 256
+    df: DataFrame, column: str, probabilities: Sequence[float], ranges: int = 1024
 ) -> DataFrame:
     """Exact quantiles: the smallest value that at least that share of rows reaches.
 
@@ -56,13 +56,21 @@ def quantiles(
     # Hashing the count as well lets all branches share one exchange of counts.
     cuts = (
         counts.orderBy(F.xxhash64("value", "n"), "value")
-        .limit(buckets - 1)
+        .limit(ranges - 1)
         .agg(F.sort_array(F.collect_list("value")))
         .scalar()
     )
+    # How many cuts a value has reached, by halving steps. Past the last cut, get() is
+    # NULL and the step is not taken.
+    steps = [1 << bit for bit in reversed(range((ranges - 1).bit_length()))]
+    reached = F.aggregate(
+        F.array(*map(F.lit, steps)).cast("array<int>"),
+        F.lit(0),
+        lambda at, step: F.when(F.get("cuts", at + step - 1) <= value, at + step).otherwise(at),
+    )
     # Never NULL, or the join would test it on every input row, before the grouping.
-    bucket = F.coalesce(F.size(F.filter("cuts", lambda cut: cut <= value)), F.lit(0))
-    ranged = counts.withColumn("cuts", cuts).select("value", "n", bucket.alias("bucket"))
+    bucket = F.coalesce(reached, F.lit(0)).alias("bucket")
+    ranged = counts.withColumn("cuts", cuts).select("value", "n", bucket)
     # At most one row per bucket from here to the join.
     rows, upto = F.col("rows"), F.col("upto")
     totals = (

@@ -56,12 +56,14 @@ def landing_entries(spark: SparkSession, landing_path: str) -> list[Entry]:
     """The ``*.parquet`` entries directly below ``landing_path``, by month.
 
     Works on any file system Spark can read. The driver sees one name and size per
-    month and prefix, not the part files below.
+    month and prefix, not the part files below. Names that Spark takes for hidden, such
+    as those of unfinished uploads, are passed over.
     """
     folder = landing_path.rstrip("/")
     pattern = spark._jvm.org.apache.hadoop.fs.Path(folder, "*.parquet")
     file_system = pattern.getFileSystem(spark._jsc.hadoopConfiguration())
-    paths = [status.getPath() for status in file_system.globStatus(pattern) or []]
+    found = [status.getPath() for status in file_system.globStatus(pattern) or []]
+    paths = [path for path in found if not path.getName().startswith((".", "_"))]
     if not paths:
         raise FileNotFoundError(f"no parquet file in {landing_path}")
     names = [path.getName() for path in paths]
