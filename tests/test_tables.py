@@ -40,10 +40,13 @@ def amounts(spark, name):
     return {r.trip_month: r.total_amount for r in spark.table(name).collect()}
 
 
-def test_write_returns_the_rows_written(spark, schema):
-    assert tables.write_silver(months(spark, 1, 2, 3), f"{schema}.silver") == 3
-    assert tables.write_silver(months(spark, 4), f"{schema}.silver") == 1
-    assert amounts(spark, f"{schema}.silver") == {4: 1.0}
+@pytest.mark.parametrize("table_format", ["parquet", "orc"])
+def test_write_returns_the_rows_written(spark, schema, table_format):
+    name = f"{schema}.silver"
+    assert tables.write_silver(months(spark, 1, 2, 3), name, table_format) == 3
+    assert tables.write_silver(months(spark, 4), name, table_format) == 1
+    assert amounts(spark, name) == {4: 1.0}
+    assert spark.table(name).inputFiles()[0].endswith(table_format)
 
 
 def test_overwrite_replaces_the_schema(spark, schema):
@@ -114,10 +117,12 @@ def test_settings_come_back(spark):
 
 
 def test_shuffle_grows_with_the_data():
-    key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
-    assert key not in session_settings()
-    assert session_settings(10, least_partitions=200)[key] == "200"
-    assert session_settings(10 * 2**40)[key] == str(10 * 2**40 // (256 * 2**20))
+    number = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    size = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    assert number not in session_settings()
+    small, large = session_settings(10, least_partitions=200), session_settings(10 * 2**40)
+    assert (small[number], small[size]) == ("200", str(64 * 2**20))
+    assert (large[number], large[size]) == (str(10 * 2**40 // (256 * 2**20)), str(256 * 2**20))
 
 
 class SessionWith:
@@ -167,7 +172,10 @@ def test_pipeline(spark, tmp_path, schema):
         gold_schema=f"{schema}_gold",
         location=f"{tmp_path}/lake",
     )
-    assert pipeline.run_all(spark, lake) == {
+    # The layers are in UTC, whatever the session is in.
+    with applied(spark, {"spark.sql.session.timeZone": "Asia/Tokyo"}):
+        rows = pipeline.run_all(spark, lake)
+    assert rows == {
         lake.bronze_table: 6,
         lake.silver_table: 2,
         pipeline.MONTH_MART: 2,

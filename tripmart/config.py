@@ -89,14 +89,16 @@ class Lake:
         return f"{self.schema(self.gold_schema)}.{mart}"
 
 
-TARGET_PARTITION_BYTES = 256 * 1024 * 1024
+_MB = 1024 * 1024
 
 
 def session_settings(shuffle_bytes: int = 0, least_partitions: int = 1) -> dict[str, str]:
     """Session settings for pipeline runs.
 
-    With ``shuffle_bytes``, the expected size of the largest exchange, shuffles start
-    from one partition per 256 MB, and adaptive execution merges what is too small.
+    ``shuffle_bytes`` is the expected size of the largest exchange. Partitions, and so
+    files, are to hold 64 MB each, and up to 256 MB where there would be more than ten
+    thousand. Shuffles start from that many and adaptive execution merges what turns out
+    too small.
     """
     settings = {
         "spark.sql.session.timeZone": "UTC",
@@ -107,9 +109,10 @@ def session_settings(shuffle_bytes: int = 0, least_partitions: int = 1) -> dict[
         "spark.sql.maxConcurrentOutputFileWriters": "24",
     }
     if shuffle_bytes:
-        partitions = max(least_partitions, math.ceil(shuffle_bytes / TARGET_PARTITION_BYTES))
+        target = min(256 * _MB, max(64 * _MB, shuffle_bytes // 10_000))
+        partitions = max(least_partitions, math.ceil(shuffle_bytes / target))
+        settings["spark.sql.adaptive.advisoryPartitionSizeInBytes"] = str(target)
         settings["spark.sql.adaptive.coalescePartitions.initialPartitionNum"] = str(partitions)
-        settings["spark.sql.adaptive.advisoryPartitionSizeInBytes"] = str(TARGET_PARTITION_BYTES)
     return settings
 
 

@@ -38,28 +38,20 @@ def add_event_month(df: DataFrame) -> DataFrame:
 
 
 def quality_rules(period: Period = DEFAULT_PERIOD, reject_nan: bool = False) -> list[Column]:
-    """What a trusted trip satisfies. NULL in a tested column fails its rule.
+    """What a trusted trip satisfies.
 
-    Zero is a valid amount, but not a valid number of passengers. The vendor is not
-    tested. NaN sorts above every number, so it passes unless ``reject_nan`` is set.
+    No comparison holds for NULL, so each rule also demands that its columns are known;
+    the vendor is not tested. Zero is a valid amount, but not a valid number of
+    passengers. NaN sorts above every number, so it passes unless ``reject_nan`` is set.
     """
-    pickup = F.col("tpep_pickup_datetime")
-    dropoff = F.col("tpep_dropoff_datetime")
-    amount = F.col("total_amount")
-    passengers = F.col("passenger_count")
+    pickup, amount = F.col("tpep_pickup_datetime"), F.col("total_amount")
     rules = [
-        pickup.isNotNull(),
-        dropoff.isNotNull(),
-        dropoff >= pickup,
-        amount.isNotNull(),
-        amount >= 0,
-        passengers.isNotNull(),
-        passengers > 0,
         within(pickup, period),
+        F.col("tpep_dropoff_datetime") >= pickup,
+        F.col("passenger_count") > 0,
+        amount >= 0,
     ]
-    if reject_nan:
-        rules.append(~F.isnan(amount))
-    return rules
+    return rules + [~F.isnan(amount)] if reject_nan else rules
 
 
 def filter_valid(
@@ -90,11 +82,6 @@ def refine(
     shuffle that removes duplicates. Copies meet in the map tasks first: however often
     a trip is repeated, each task sends it once.
     """
-    return (
-        bronze.transform(select_required)
-        .transform(_skip_unoccupied)
-        .transform(cast_trip_types)
-        .transform(filter_valid, period, reject_nan)
-        .transform(deduplicate)
-        .transform(add_event_month)
-    )
+    columns = _skip_unoccupied(select_required(bronze))
+    valid = filter_valid(cast_trip_types(columns), period, reject_nan)
+    return add_event_month(deduplicate(valid))
