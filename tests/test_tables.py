@@ -20,6 +20,29 @@ def schema(spark, tmp_path, request):
     return name
 
 
+@pytest.fixture
+def lake(spark, tmp_path, schema):
+    """Landing files of April and May: in each a trip twice, and one without passengers."""
+    for month, amount in ((4, 10.0), (5, 20.0)):
+        trip = {
+            "tpep_pickup_datetime": datetime(2023, month, 3, 7),
+            "tpep_dropoff_datetime": datetime(2023, month, 3, 8),
+            "total_amount": amount,
+        }
+        rows = raw_trips(spark, trip, trip, trip | {"passenger_count": 0.0})
+        kind = "bigint" if month == 4 else "double"
+        rows.withColumn("VendorID", F.col("VendorID").cast(kind)).write.parquet(
+            f"{tmp_path}/landing/trips_2023-{month:02d}.parquet"
+        )
+    return Lake(
+        f"{tmp_path}/landing",
+        bronze_schema=f"{schema}_bronze",
+        silver_schema=f"{schema}_silver",
+        gold_schema=f"{schema}_gold",
+        location=f"{tmp_path}/lake",
+    )
+
+
 def months(spark, *numbers, amount=1.0):
     return refine(
         raw_trips(
@@ -120,9 +143,37 @@ def test_shuffle_grows_with_the_data():
     number = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
     size = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
     assert number not in session_settings()
-    small, large = session_settings(10, least_partitions=200), session_settings(10 * 2**40)
-    assert (small[number], small[size]) == ("200", str(64 * 2**20))
-    assert (large[number], large[size]) == (str(10 * 2**40 // (256 * 2**20)), str(256 * 2**20))
+    gigabyte, terabyte = 2**30, 2**40
+    for total, least, partitions, each in (
+        (10, 200, 200, 64 * 2**20),
+        (terabyte, 200, 16_384, 64 * 2**20),
+        (100 * terabyte, 200, 102_400, gigabyte),
+    ):
+        settings = session_settings(total, least)
+        assert (settings[number], settings[size]) == (str(partitions), str(each))
+
+
+def writes_of_silver(spark, lake, shuffle_bytes, monkeypatch):
+    """Whether the silver build asks for months to be gathered."""
+    asked = []
+
+    def record(df, name, table_format, gather):
+        asked.append(gather)
+        return write_silver(df, name, table_format, gather)
+
+    write_silver = tables.write_silver
+    monkeypatch.setattr(pipeline, "write_silver", record)
+    rows = pipeline.build_silver(spark, lake, shuffle_bytes=shuffle_bytes)
+    return asked, rows
+
+
+@pytest.mark.parametrize(("shuffle_bytes", "gather"), [(2**30, True), (7 * 2**40, False)])
+def test_large_months_are_not_shuffled_again(spark, lake, monkeypatch, shuffle_bytes, gather):
+    pipeline.build_bronze(spark, lake)
+    # The size decides how many partitions a shuffle starts with; keep that small here.
+    monkeypatch.setattr(pipeline, "session_settings", lambda *_: session_settings())
+    assert writes_of_silver(spark, lake, shuffle_bytes, monkeypatch) == ([gather], 2)
+    assert amounts(spark, lake.silver_table) == {4: 10.0, 5: 20.0}
 
 
 class SessionWith:
@@ -153,25 +204,7 @@ def test_names():
     assert named.schema_location("gold") == "/lake/gold"
 
 
-def test_pipeline(spark, tmp_path, schema):
-    for month, amount in ((4, 10.0), (5, 20.0)):
-        trip = {
-            "tpep_pickup_datetime": datetime(2023, month, 3, 7),
-            "tpep_dropoff_datetime": datetime(2023, month, 3, 8),
-            "total_amount": amount,
-        }
-        rows = raw_trips(spark, trip, trip, trip | {"passenger_count": 0.0})
-        kind = "bigint" if month == 4 else "double"
-        rows.withColumn("VendorID", F.col("VendorID").cast(kind)).write.parquet(
-            f"{tmp_path}/landing/trips_2023-{month:02d}.parquet"
-        )
-    lake = Lake(
-        f"{tmp_path}/landing",
-        bronze_schema=f"{schema}_bronze",
-        silver_schema=f"{schema}_silver",
-        gold_schema=f"{schema}_gold",
-        location=f"{tmp_path}/lake",
-    )
+def test_pipeline(spark, lake):
     # The layers are in UTC, whatever the session is in.
     with applied(spark, {"spark.sql.session.timeZone": "Asia/Tokyo"}):
         rows = pipeline.run_all(spark, lake)

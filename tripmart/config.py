@@ -38,6 +38,10 @@ class Period:
         if not 1 <= self.first_month <= self.last_month <= 12:
             raise ValueError(f"not a run of months: {self.first_month}..{self.last_month}")
 
+    @property
+    def months(self) -> int:
+        return self.last_month - self.first_month + 1
+
     @property
     def start(self) -> str:
         """First instant inside the period."""
@@ -90,15 +94,23 @@ class Lake:
 
 
 _MB = 1024 * 1024
+SMALL_FILE_BYTES = 64 * _MB
+
+
+def partition_bytes(total: int) -> int:
+    """How much one task should hold: some 20 thousand tasks, of 64 MB to 1 GB each.
+
+    The number of blocks of a shuffle is map tasks times reduce tasks, so at a hundred
+    terabytes small partitions would leave blocks of a few hundred bytes.
+    """
+    return min(1024 * _MB, max(SMALL_FILE_BYTES, total // 20_000))
 
 
 def session_settings(shuffle_bytes: int = 0, least_partitions: int = 1) -> dict[str, str]:
     """Session settings for pipeline runs.
 
-    ``shuffle_bytes`` is the expected size of the largest exchange. Partitions, and so
-    files, are to hold 64 MB each, and up to 256 MB where there would be more than ten
-    thousand. Shuffles start from that many and adaptive execution merges what turns out
-    too small.
+    ``shuffle_bytes`` is the expected size of the largest exchange. Scans and shuffles
+    are cut to it, and adaptive execution merges what turns out too small.
     """
     settings = {
         "spark.sql.session.timeZone": "UTC",
@@ -109,10 +121,13 @@ def session_settings(shuffle_bytes: int = 0, least_partitions: int = 1) -> dict[
         "spark.sql.maxConcurrentOutputFileWriters": "24",
     }
     if shuffle_bytes:
-        target = min(256 * _MB, max(64 * _MB, shuffle_bytes // 10_000))
+        target = partition_bytes(shuffle_bytes)
         partitions = max(least_partitions, math.ceil(shuffle_bytes / target))
-        settings["spark.sql.adaptive.advisoryPartitionSizeInBytes"] = str(target)
-        settings["spark.sql.adaptive.coalescePartitions.initialPartitionNum"] = str(partitions)
+        settings |= {
+            "spark.sql.files.maxPartitionBytes": str(max(128 * _MB, target)),
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target),
+            "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(partitions),
+        }
     return settings
 
 

@@ -9,9 +9,11 @@ from pyspark.sql import DataFrame, SparkSession
 from tripmart.config import (
     DEFAULT_HOUR_MONTH,
     DEFAULT_PERIOD,
+    SMALL_FILE_BYTES,
     Lake,
     Period,
     applied,
+    partition_bytes,
     session_settings,
 )
 from tripmart.functions.columns import stamp_ingestion
@@ -71,7 +73,9 @@ def build_silver(
     with applied(spark, session_settings(shuffle_bytes, partitions)):
         _ensure_layer(spark, lake, lake.silver_schema)
         trips = refine(read_table(spark, lake.bronze_table), period, reject_nan)
-        return write_silver(trips, lake.silver_table, lake.table_format)
+        # Each task holds all months; from some size on, enough of each for a file.
+        gather = partition_bytes(shuffle_bytes) < period.months * SMALL_FILE_BYTES
+        return write_silver(trips, lake.silver_table, lake.table_format, gather)
 
 
 def build_gold(

@@ -68,15 +68,18 @@ def write_bronze(df: DataFrame, name: str, table_format: str = "parquet") -> int
     return overwrite_table(df, name, BRONZE_PARTITIONS, table_format)
 
 
-def write_silver(df: DataFrame, name: str, table_format: str = "parquet") -> int:
+def write_silver(
+    df: DataFrame, name: str, table_format: str = "parquet", gather: bool = True
+) -> int:
     """Write trusted rows by event month.
 
-    Removing duplicates spreads every month over all tasks. The rebalance gathers each
-    month into few files, and splits a month that is too large for one.
+    Removing duplicates spreads every month over all tasks. Gathering brings each month
+    together into few files, and splits a month that is too large for one. It shuffles
+    all rows once more, which is worth it as long as the tasks hold little of each month.
     """
-    return overwrite_table(
-        df.hint("rebalance", *SILVER_PARTITIONS), name, SILVER_PARTITIONS, table_format
-    )
+    if gather:
+        df = df.hint("rebalance", *SILVER_PARTITIONS)
+    return overwrite_table(df, name, SILVER_PARTITIONS, table_format)
 
 
 def write_gold(df: DataFrame, name: str, table_format: str = "parquet") -> int:
