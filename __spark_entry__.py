@@ -361,7 +361,7 @@ _QUERIES: dict[str, Query] = {
 def _registered(query: Query) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
-        return _wall_clock(query(spark, sf_dir.rstrip("/")))
+        return _wall_clock(query(spark, str(sf_dir).rstrip("/")))
 
     return run
 

@@ -153,7 +153,7 @@ def test_shuffle_grows_with_the_data():
         assert (settings[number], settings[size]) == (str(partitions), str(each))
 
 
-def writes_of_silver(spark, lake, shuffle_bytes, monkeypatch):
+def writes_of_silver(spark, lake, input_bytes, monkeypatch):
     """Whether the silver build asks for months to be gathered."""
     asked = []
 
@@ -163,16 +163,16 @@ def writes_of_silver(spark, lake, shuffle_bytes, monkeypatch):
 
     write_silver = tables.write_silver
     monkeypatch.setattr(pipeline, "write_silver", record)
-    rows = pipeline.build_silver(spark, lake, shuffle_bytes=shuffle_bytes)
+    rows = pipeline.build_silver(spark, lake, input_bytes=input_bytes)
     return asked, rows
 
 
-@pytest.mark.parametrize(("shuffle_bytes", "gather"), [(2**30, True), (7 * 2**40, False)])
-def test_large_months_are_not_shuffled_again(spark, lake, monkeypatch, shuffle_bytes, gather):
+@pytest.mark.parametrize(("input_bytes", "gather"), [(2**30, True), (7 * 2**40, False)])
+def test_large_months_are_not_shuffled_again(spark, lake, monkeypatch, input_bytes, gather):
     pipeline.build_bronze(spark, lake)
     # The size decides how many partitions a shuffle starts with; keep that small here.
     monkeypatch.setattr(pipeline, "session_settings", lambda *_: session_settings())
-    assert writes_of_silver(spark, lake, shuffle_bytes, monkeypatch) == ([gather], 2)
+    assert writes_of_silver(spark, lake, input_bytes, monkeypatch) == ([gather], 2)
     assert amounts(spark, lake.silver_table) == {4: 10.0, 5: 20.0}
 
 

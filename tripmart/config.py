@@ -106,11 +106,11 @@ def partition_bytes(total: int) -> int:
     return min(1024 * _MB, max(SMALL_FILE_BYTES, total // 20_000))
 
 
-def session_settings(shuffle_bytes: int = 0, least_partitions: int = 1) -> dict[str, str]:
+def session_settings(input_bytes: int = 0, least_partitions: int = 1) -> dict[str, str]:
     """Session settings for pipeline runs.
 
-    ``shuffle_bytes`` is the expected size of the largest exchange. Scans and shuffles
-    are cut to it, and adaptive execution merges what turns out too small.
+    Scans and shuffles are cut into tasks by ``input_bytes``, where it is given; adaptive
+    execution merges what turns out too small.
     """
     settings = {
         "spark.sql.session.timeZone": "UTC",
@@ -120,9 +120,9 @@ def session_settings(shuffle_bytes: int = 0, least_partitions: int = 1) -> dict[
         # One open file per month and task, instead of sorting each task by month.
         "spark.sql.maxConcurrentOutputFileWriters": "24",
     }
-    if shuffle_bytes:
-        target = partition_bytes(shuffle_bytes)
-        partitions = max(least_partitions, math.ceil(shuffle_bytes / target))
+    if input_bytes:
+        target = partition_bytes(input_bytes)
+        partitions = max(least_partitions, math.ceil(input_bytes / target))
         settings |= {
             "spark.sql.files.maxPartitionBytes": str(max(128 * _MB, target)),
             "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target),

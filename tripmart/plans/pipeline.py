@@ -47,9 +47,17 @@ def _ensure_layer(spark: SparkSession, lake: Lake, schema: str) -> None:
     ensure_schema(spark, lake.schema(schema), lake.schema_location(schema))
 
 
-def build_bronze(spark: SparkSession, lake: Lake) -> int:
-    """Ingest all landing files; returns the number of rows."""
-    with applied(spark, session_settings()):
+def _settings(spark: SparkSession, input_bytes: int) -> dict[str, str]:
+    return session_settings(input_bytes, int(spark.conf.get("spark.sql.shuffle.partitions")))
+
+
+def build_bronze(spark: SparkSession, lake: Lake, input_bytes: int = 0) -> int:
+    """Ingest all landing files; returns the number of rows.
+
+    Here and below, ``input_bytes`` is the size of the landing files, by which the work is
+    cut into tasks. Without it, the session's own sizes apply.
+    """
+    with applied(spark, _settings(spark, input_bytes)):
         _ensure_layer(spark, lake, lake.bronze_schema)
         rows = stamp_ingestion(read_landing(spark, lake.landing_path))
         return write_bronze(rows, lake.bronze_table, lake.table_format)
@@ -60,33 +68,33 @@ def build_silver(
     lake: Lake,
     period: Period = DEFAULT_PERIOD,
     reject_nan: bool = False,
-    shuffle_bytes: int | None = None,
+    input_bytes: int = 0,
 ) -> int:
     """Rebuild the trusted table; returns the number of rows.
 
-    ``shuffle_bytes`` is the size of the five trip columns as rows. Without it, the size
-    of the landing files stands in: they hold more columns, but compressed.
+    The size of the landing files stands for that of the shuffle: they hold more columns
+    than the five that cross it, but compressed.
     """
-    if shuffle_bytes is None:
-        shuffle_bytes = sum(e.size for e in landing_entries(spark, lake.landing_path))
-    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    with applied(spark, session_settings(shuffle_bytes, partitions)):
+    with applied(spark, _settings(spark, input_bytes)):
         _ensure_layer(spark, lake, lake.silver_schema)
         trips = refine(read_table(spark, lake.bronze_table), period, reject_nan)
         # Each task holds all months; from some size on, enough of each for a file.
-        gather = partition_bytes(shuffle_bytes) < period.months * SMALL_FILE_BYTES
+        gather = partition_bytes(input_bytes) < period.months * SMALL_FILE_BYTES
         return write_silver(trips, lake.silver_table, lake.table_format, gather)
 
 
 def build_gold(
-    spark: SparkSession, lake: Lake, marts_by_name: dict[str, Callable[[DataFrame], DataFrame]]
+    spark: SparkSession,
+    lake: Lake,
+    marts_by_name: dict[str, Callable[[DataFrame], DataFrame]],
+    input_bytes: int = 0,
 ) -> dict[str, int]:
     """Rebuild the marts; returns the number of rows of each.
 
     Each mart scans the trusted table for its own few columns and partitions. That
     reads less than caching all of it would.
     """
-    with applied(spark, session_settings()):
+    with applied(spark, _settings(spark, input_bytes)):
         _ensure_layer(spark, lake, lake.gold_schema)
         silver = read_table(spark, lake.silver_table)
         return {
@@ -101,8 +109,9 @@ def run_all(
     period: Period = DEFAULT_PERIOD,
     hour_month: int = DEFAULT_HOUR_MONTH,
 ) -> dict[str, int]:
-    """Build every layer; returns the number of rows per table."""
+    """Build every layer, sized by the landing files; returns the number of rows per table."""
+    size = sum(entry.size for entry in landing_entries(spark, lake.landing_path))
     return {
-        lake.bronze_table: build_bronze(spark, lake),
-        lake.silver_table: build_silver(spark, lake, period),
-    } | build_gold(spark, lake, default_marts(period, hour_month))
+        lake.bronze_table: build_bronze(spark, lake, size),
+        lake.silver_table: build_silver(spark, lake, period, input_bytes=size),
+    } | build_gold(spark, lake, default_marts(period, hour_month), size)
