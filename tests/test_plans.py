@@ -5,6 +5,7 @@ import pytest
 import __spark_entry__ as contract
 from helpers import count_in_plan, formatted_plan, initial_plan, scan_lines
 from tripmart.adapters import LINEITEM
+from tripmart.functions.columns import stamp_ingestion
 from tripmart.operators import marts, profile
 from tripmart.operators.completeness import missing_months
 from tripmart.operators.refine import refine
@@ -113,6 +114,13 @@ def test_small_months_share_a_scan_and_large_ones_do_not(spark):
     assert own_scans == len({e.period for e in entries}) < len(entries)
 
 
+def test_ingestion_shuffles_nothing(spark):
+    landing = contract._landing(spark, SF_DIR, LINEITEM)
+    for own_scan_bytes in (0, 10**12):
+        df = stamp_ingestion(read_landing(spark, landing, own_scan_bytes))
+        assert "Exchange" not in initial_plan(df)
+
+
 @pytest.mark.parametrize("name", contract.queries())
 def test_no_python_and_no_cross_join_anywhere(spark, name):
     plan = initial_plan(contract.queries()[name](spark, SF_DIR))
