@@ -16,7 +16,8 @@ from pyspark.sql.types import TimestampType
 from tripmart import adapters
 from tripmart.adapters import EVENTS, LINEITEM, Adapter, ingested_trips, raw_rows
 from tripmart.config import TRIP_COLUMNS, Lake, Period
-from tripmart.functions.columns import named, normalize_numerics, stamp_ingestion
+from tripmart.functions.columns import named
+from tripmart.functions.frames import normalize_numerics, stamp_ingestion, union_all
 from tripmart.operators import marts, profile
 from tripmart.operators.completeness import missing_months
 from tripmart.operators.refine import (
@@ -30,7 +31,7 @@ from tripmart.operators.refine import (
 )
 from tripmart.plans import pipeline, sql
 from tripmart.sources import tables
-from tripmart.sources.landing import read_landing, union_all
+from tripmart.sources.landing import read_landing
 from tripmart.sources.scratch import scratch_folder
 
 Query = Callable[[SparkSession, str], DataFrame]

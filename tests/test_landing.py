@@ -8,9 +8,9 @@ from pyspark.sql import functions as F
 
 from helpers import initial_plan, raw_trips
 from tripmart.config import Period
-from tripmart.functions.columns import normalize_numerics, stamp_ingestion
+from tripmart.functions.frames import normalize_numerics, stamp_ingestion, union_all
 from tripmart.operators.completeness import missing_months
-from tripmart.sources.landing import landing_entries, read_landing, union_all
+from tripmart.sources.landing import landing_entries, read_landing
 
 MONTHS = {
     1: lambda df: df.withColumn("airport_fee", F.lit(1).cast("bigint")),
@@ -186,6 +186,17 @@ def test_wide_keys_can_be_kept(spark):
     assert normalize_numerics(df, keep={"k"}).first().k == 2**53 + 1
 
 
+def test_wide_keys_of_landing_files_can_be_kept(spark, tmp_path):
+    for month, kind in ((1, "bigint"), (2, "int")):
+        trip = raw_trips(spark, {"VendorID": 2**53 + 1 if month == 1 else 5})
+        trip.withColumn("VendorID", F.col("VendorID").cast(kind)).write.parquet(
+            f"{tmp_path}/trips_2023-{month:02d}.parquet"
+        )
+    df = read_landing(spark, str(tmp_path), keep={"VendorID"})
+    assert {row.VendorID for row in df.collect()} == {2**53 + 1, 5}
+    assert dict(df.dtypes)["VendorID"] == "bigint"
+
+
 def test_union_fills_missing_columns_and_keeps_copies(spark):
     a = spark.createDataFrame([(1, "x")], "n int, t string")
     b = spark.createDataFrame([("x", 1), ("x", 1)], "T string, n int")

@@ -5,7 +5,7 @@ import pytest
 import __spark_entry__ as contract
 from helpers import count_in_plan, formatted_plan, initial_plan, scan_lines
 from tripmart.adapters import LINEITEM
-from tripmart.functions.columns import stamp_ingestion
+from tripmart.functions.frames import stamp_ingestion
 from tripmart.operators import marts, profile
 from tripmart.operators.completeness import missing_months
 from tripmart.operators.refine import refine

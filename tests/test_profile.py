@@ -79,6 +79,14 @@ def test_quantiles_with_a_hot_value_and_nulls(spark):
     }
 
 
+def test_nan_is_the_largest_value(spark):
+    df = frame(spark, [1.0, 2.0, 3.0, math.nan, math.nan])
+    for ranges in (2, 1024):
+        rows = profile.quantiles(df, "total_amount", [0.5, 1.0], ranges).collect()
+        found = {row.probability: row.value for row in rows}
+        assert found[0.5] == 3.0 and math.isnan(found[1.0])
+
+
 def test_summary(spark):
     values = [1.0, 2.5, 2.5, 9.0, 11.0]
     df = spark.createDataFrame(

@@ -1 +1 @@
-"""Column-level building blocks."""
+"""Building blocks for columns and whole frames."""

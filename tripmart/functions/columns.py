@@ -2,44 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Collection
-
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import DecimalType, IntegerType, LongType, ShortType
 
 from tripmart.config import Period
 
-# The numeric types that monthly files swap for one another.
-# Byte and float are not among them.
-DRIFTING_NUMERICS = (ShortType, IntegerType, LongType, DecimalType)
-
-
 def named(column: str) -> Column:
     """A column by its exact name, also when the name holds dots or backticks."""
     return F.col("`" + column.replace("`", "``") + "`")
 
 
-def normalize_numerics(df: DataFrame, keep: Collection[str] = ()) -> DataFrame:
-    """Turn drifting numeric columns into double, so that all months agree.
-
-    Values beyond 2**53 lose digits as doubles; name such columns in ``keep``.
-    """
-    return df.select(
-        *(
-            named(f.name).cast("double").alias(f.name)
-            if isinstance(f.dataType, DRIFTING_NUMERICS) and f.name not in keep
-            else named(f.name)
-            for f in df.schema.fields
-        )
-    )
-
-
-def stamp_ingestion(df: DataFrame) -> DataFrame:
-    """Add ``_ingested_at``: one timestamp for all rows of the run."""
-    return df.withColumn("_ingested_at", F.current_timestamp())
-
-
 def within(ts: Column, period: Period) -> Column:
     """True inside the period, as a half-open range that parquet scans can use."""
     return (ts >= F.lit(period.start).cast("timestamp")) & (

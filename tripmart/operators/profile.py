@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tripmart.functions.columns import bin_edge, named
-from tripmart.sources.landing import union_all
+from tripmart.functions.frames import union_all
 
 # The statistics of a summary, in order.
 STATISTICS = ("count", "mean", "stddev", "min", "25%", "50%", "75%", "max")

@@ -16,7 +16,7 @@ from tripmart.config import (
     partition_bytes,
     session_settings,
 )
-from tripmart.functions.columns import stamp_ingestion
+from tripmart.functions.frames import stamp_ingestion
 from tripmart.operators import marts
 from tripmart.operators.refine import refine
 from tripmart.sources.landing import landing_entries, read_landing

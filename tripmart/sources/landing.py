@@ -9,16 +9,15 @@ from __future__ import annotations
 import logging
 import re
 from collections import Counter
-from collections.abc import Callable, Iterable, Sequence
+from collections.abc import Callable, Collection, Iterable, Sequence
 from concurrent.futures import ThreadPoolExecutor
-from functools import reduce
 from typing import NamedTuple, TypeVar
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from tripmart.functions.columns import normalize_numerics
+from tripmart.functions.frames import normalize_numerics, union_all
 
 log = logging.getLogger(__name__)
 
@@ -117,15 +116,13 @@ def tag_source(df: DataFrame, entries: Sequence[Entry]) -> DataFrame:
     )
 
 
-def union_all(frames: Sequence[DataFrame]) -> DataFrame:
-    """Bag union by column name; columns a frame lacks are NULL."""
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
-
-
 def read_landing(
-    spark: SparkSession, landing_path: str, own_scan_bytes: int = OWN_SCAN_BYTES
+    spark: SparkSession,
+    landing_path: str,
+    own_scan_bytes: int = OWN_SCAN_BYTES,
+    keep: Collection[str] = (),
 ) -> DataFrame:
-    """All landing rows with uniform numeric types and their origin.
+    """All landing rows with uniform numeric types, but for ``keep``, and their origin.
 
     Months of ``own_scan_bytes`` or more get a scan of their own, where year and month
     are literals: taking them from the path of every row can cost more than reading the
@@ -141,12 +138,8 @@ def read_landing(
         own = entry.period if sizes[entry.period] >= own_scan_bytes else None
         scans.setdefault((own, schema.json()), (schema, []))[1].append(entry)
     log.info("%d landing entries in %d scans", len(entries), len(scans))
-    return union_all(
-        [
-            tag_source(
-                normalize_numerics(spark.read.schema(schema).parquet(*(e.path for e in files))),
-                files,
-            )
-            for schema, files in scans.values()
-        ]
-    )
+    frames = []
+    for schema, files in scans.values():
+        scan = spark.read.schema(schema).parquet(*(e.path for e in files))
+        frames.append(tag_source(normalize_numerics(scan, keep), files))
+    return union_all(frames)
