@@ -143,14 +143,16 @@ def test_shuffle_grows_with_the_data():
     number = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
     size = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
     assert number not in session_settings()
-    gigabyte, terabyte = 2**30, 2**40
-    for total, least, partitions, each in (
-        (10, 200, 200, 64 * 2**20),
-        (terabyte, 200, 16_384, 64 * 2**20),
-        (100 * terabyte, 200, 102_400, gigabyte),
+    scan = "spark.sql.files.maxPartitionBytes"
+    megabyte, terabyte = 2**20, 2**40
+    for total, least, partitions, merged, scanned in (
+        (10, 200, 200, 64 * megabyte, 128 * megabyte),
+        (terabyte, 200, 16_384, 64 * megabyte, 128 * megabyte),
+        (100 * terabyte, 200, 102_400, 256 * megabyte, 1024 * megabyte),
     ):
         settings = session_settings(total, least)
-        assert (settings[number], settings[size]) == (str(partitions), str(each))
+        found = [int(settings[key]) for key in (number, size, scan)]
+        assert found == [partitions, merged, scanned]
 
 
 def writes_of_silver(spark, lake, input_bytes, monkeypatch):

@@ -94,16 +94,21 @@ class Lake:
 
 
 _MB = 1024 * 1024
-SMALL_FILE_BYTES = 64 * _MB
+SMALL_FILE_BYTES = 32 * _MB
 
 
-def partition_bytes(total: int) -> int:
-    """How much one task should hold: some 20 thousand tasks, of 64 MB to 1 GB each.
+def task_bytes(input_bytes: int) -> int:
+    """Input per task: some 20 thousand tasks, of 64 MB to 1 GB each.
 
-    The number of blocks of a shuffle is map tasks times reduce tasks, so at a hundred
-    terabytes small partitions would leave blocks of a few hundred bytes.
+    A shuffle has as many blocks as map tasks times reduce tasks, so at a hundred
+    terabytes small tasks would leave blocks of a few hundred bytes.
     """
-    return min(1024 * _MB, max(SMALL_FILE_BYTES, total // 20_000))
+    return min(1024 * _MB, max(64 * _MB, input_bytes // 20_000))
+
+
+def shuffled_bytes(input_bytes: int) -> int:
+    """What adaptive execution merges shuffle partitions up to, and splits them down to."""
+    return min(256 * _MB, task_bytes(input_bytes))
 
 
 def session_settings(input_bytes: int = 0, least_partitions: int = 1) -> dict[str, str]:
@@ -121,12 +126,12 @@ def session_settings(input_bytes: int = 0, least_partitions: int = 1) -> dict[st
         "spark.sql.maxConcurrentOutputFileWriters": "24",
     }
     if input_bytes:
-        target = partition_bytes(input_bytes)
-        partitions = max(least_partitions, math.ceil(input_bytes / target))
+        each = task_bytes(input_bytes)
+        partitions = max(least_partitions, math.ceil(input_bytes / each))
         settings |= {
-            "spark.sql.files.maxPartitionBytes": str(max(128 * _MB, target)),
-            "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target),
+            "spark.sql.files.maxPartitionBytes": str(max(128 * _MB, each)),
             "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(partitions),
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(shuffled_bytes(input_bytes)),
         }
     return settings
 

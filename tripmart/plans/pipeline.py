@@ -13,8 +13,8 @@ from tripmart.config import (
     Lake,
     Period,
     applied,
-    partition_bytes,
     session_settings,
+    shuffled_bytes,
 )
 from tripmart.functions.frames import stamp_ingestion
 from tripmart.operators import marts
@@ -79,7 +79,7 @@ def build_silver(
         _ensure_layer(spark, lake, lake.silver_schema)
         trips = refine(read_table(spark, lake.bronze_table), period, reject_nan)
         # Each task holds all months; from some size on, enough of each for a file.
-        gather = partition_bytes(input_bytes) < period.months * SMALL_FILE_BYTES
+        gather = shuffled_bytes(input_bytes) < period.months * SMALL_FILE_BYTES
         return write_silver(trips, lake.silver_table, lake.table_format, gather)
 
 
