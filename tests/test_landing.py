@@ -64,6 +64,16 @@ def test_all_months_in_uniform_types(spark, landing):
         assert row._source_file == f"{landing}/trips_2023-{row._ref_month:02d}.parquet"
 
 
+@pytest.mark.parametrize("spelling", ["{}", "{}/", "file:{}", "file://{}/"])
+@pytest.mark.parametrize("own_scan_bytes", [0, 10**12])
+def test_any_spelling_of_the_folder(spark, landing, spelling, own_scan_bytes):
+    folder = spelling.format(landing)
+    rows = read_landing(spark, folder, own_scan_bytes).select("_source_file", "_ref_month")
+    assert {tuple(row) for row in rows.collect()} == {
+        (f"{folder.rstrip('/')}/trips_2023-{month:02d}.parquet", month) for month in MONTHS
+    }
+
+
 def test_missing_month(spark, landing):
     df = read_landing(spark, landing).filter("_ref_month <> 3")
     assert [tuple(r) for r in missing_months(df, Period(2023, 1, 5)).collect()] == [(2023, 3)]

@@ -222,6 +222,9 @@ def test_pipeline(spark, lake):
     assert [tuple(r) for r in month.collect()] == [(2023, 4, 10.0), (2023, 5, 20.0)]
     hour = spark.sql(sql.SERVE_HOUR, mart=spark.table(lake.gold_table(pipeline.HOUR_MART)))
     assert [tuple(r) for r in hour.collect()] == [(7, 2.0)]
+    extra = {"busiest": lambda silver: silver.groupBy("VendorID").count()}
+    assert pipeline.build_gold(spark, lake, extra) == {"busiest": 1}
+    assert spark.table(lake.gold_table("busiest")).first()["count"] == 2
     # A second run replaces everything.
     assert pipeline.run_all(spark, lake)[lake.silver_table] == 2
     assert spark.table(lake.bronze_table).count() == 6
