@@ -62,3 +62,10 @@ def test_matches_oracle(spark, duck, name):
 
 def test_preview_has_ten_rows(spark):
     assert contract.queries()["preview_10"](spark, SF_DIR).count() == 10
+
+
+def test_flagship_runs_every_layer(spark):
+    frame = contract.entry(spark)
+    assert frame.schema.simpleString() == "struct<pickup_hour:int,avg_passenger_count:double>"
+    hours = [row.pickup_hour for row in frame.collect()]
+    assert hours == sorted(set(hours)) and set(hours) <= set(range(24)) and hours
