@@ -1,6 +1,7 @@
 """Landing files with drifting schemas."""
 
 import math
+from datetime import datetime
 from pathlib import Path
 
 import pytest
@@ -196,6 +197,23 @@ def test_wide_keys_can_be_kept(spark):
     assert normalize_numerics(df, keep={"k"}).first().k == 2**53 + 1
 
 
+@pytest.mark.parametrize("own_scan_bytes", [0, 10**12])
+def test_times_with_and_without_a_zone(spark, tmp_path, own_scan_bytes):
+    """Both kinds end up as instants, read in the zone of the session."""
+    for month, kind in ((1, "timestamp_ntz"), (2, "timestamp"), (3, "timestamp_ntz")):
+        pickup = datetime(2023, month, 5, 6, 7)
+        trips = raw_trips(spark, {"tpep_pickup_datetime": pickup})
+        trips.withColumn(
+            "tpep_pickup_datetime", F.col("tpep_pickup_datetime").cast(kind)
+        ).write.parquet(f"{tmp_path}/trips_2023-{month:02d}.parquet")
+    df = read_landing(spark, str(tmp_path), own_scan_bytes)
+    assert dict(df.dtypes)["tpep_pickup_datetime"] == "timestamp"
+    found = df.selectExpr("_ref_month", "cast(tpep_pickup_datetime as timestamp_ntz) as t")
+    assert {tuple(row) for row in found.collect()} == {
+        (month, datetime(2023, month, 5, 6, 7)) for month in (1, 2, 3)
+    }
+
+
 def test_wide_keys_of_landing_files_can_be_kept(spark, tmp_path):
     for month, kind in ((1, "bigint"), (2, "int")):
         trip = raw_trips(spark, {"VendorID": 2**53 + 1 if month == 1 else 5})
