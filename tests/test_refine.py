@@ -6,6 +6,7 @@ from datetime import datetime, timedelta
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from helpers import BASE, RAW_SCHEMA, raw_trips, shuffled_rows
 from tripmart.config import Period, applied
@@ -122,6 +123,21 @@ def test_text_that_is_no_number_is_dropped(spark):
     assert r.refine(df).collect() == []
 
 
+def test_numbers_in_text(spark):
+    texts = ["2", " 3 ", "4.9", "0.5", "-1", "3e9", "NaN", "many", "", None]
+    rows = spark.createDataFrame([(t,) for t in texts], "passenger_count string")
+    others = raw_trips(spark, {}).drop("passenger_count")
+    trips = r.refine(rows.crossJoin(others)).collect()
+    assert sorted(row.passenger_count for row in trips) == [2, 3, 4]
+
+
+def test_column_names_in_another_case(spark):
+    df = raw_trips(spark, {}, {"passenger_count": 0.0})
+    shouted = df.select(*(F.col(c).alias(c.upper()) for c in df.columns))
+    assert r.refine(shouted).columns == r.refine(df).columns
+    assert r.refine(shouted).count() == 1
+
+
 def test_month_of_the_session_zone(spark):
     early = at(datetime(2023, 6, 1, 2))
     instants = raw_trips(spark, early)

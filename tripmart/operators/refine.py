@@ -26,9 +26,18 @@ def rename_snake_case(df: DataFrame) -> DataFrame:
 def cast_trip_types(df: DataFrame) -> DataFrame:
     """Cast the trip columns; a value that does not fit becomes NULL.
 
-    Fractions are cut off, so half a passenger is none.
+    Fractions are cut off, so half a passenger is none. That goes for numbers in text as
+    well, which a direct cast to int would refuse.
     """
-    return df.withColumns({c: F.col(c).try_cast(t) for c, t in TRIP_COLUMNS.items()})
+    text = {c.lower() for c, t in df.dtypes if t == "string"}
+
+    def cast(column: str, to: str) -> Column:
+        value = F.col(column)
+        if to == "int" and column.lower() in text:
+            value = value.try_cast("double")
+        return value.try_cast(to)
+
+    return df.withColumns({c: cast(c, t) for c, t in TRIP_COLUMNS.items()})
 
 
 def add_event_month(df: DataFrame) -> DataFrame:
@@ -68,7 +77,8 @@ def deduplicate(df: DataFrame) -> DataFrame:
 
 def _skip_unoccupied(df: DataFrame) -> DataFrame:
     """Drop rows without passengers before the cast, where the scan can do it."""
-    if isinstance(df.schema["passenger_count"].dataType, NumericType):
+    column = df.select("passenger_count")
+    if isinstance(column.schema.fields[0].dataType, NumericType):
         return df.filter(F.col("passenger_count") >= 1)
     return df
 
