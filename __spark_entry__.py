@@ -34,6 +34,14 @@ from tripmart.sources import tables
 from tripmart.sources.landing import read_landing
 from tripmart.sources.scratch import scratch_folder
 
+try:  # the corpus operators are an optional part
+    import corpus_pipeline
+    from tripmart.llm import queries as corpus
+except ModuleNotFoundError as missing:
+    if missing.name not in ("corpus_pipeline", "tripmart.llm"):
+        raise
+    corpus = None
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 SMOKE_DIR = "/root/testdata/sf0.001"
@@ -374,7 +382,10 @@ def entry(spark: SparkSession) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     """Every query by name; each takes a session and a folder of test tables."""
-    return {name: _registered(query) for name, query in _QUERIES.items()}
+    found = dict(_QUERIES)
+    if corpus:
+        found |= corpus.QUERIES | {"pipeline": corpus_pipeline.run}
+    return {name: _registered(query) for name, query in found.items()}
 
 
 # -- SQL counterparts -------------------------------------------------------------
@@ -496,7 +507,7 @@ order by total_amount desc, tpep_pickup_datetime, passenger_count desc limit 10
 def oracle_sql() -> dict[str, str]:
     """The same results in DuckDB. A preview has no defined rows, so it has no SQL."""
     all_silver = "select * from silver"
-    return {
+    found = {
         "scan_parquet": _with_bronze(LINEITEM, f"select {_TRIP_LIST} from raw"),
         "read_landing": _landing_sql(LINEITEM),
         "scan_table": _with_silver(LINEITEM, all_silver),
@@ -610,3 +621,8 @@ select cast(null as varchar) as note, {_TRIP_LIST}, fee as airport_fee from b
             "else total_amount end as total_amount) from silver",
         ),
     }
+    if corpus:
+        found |= corpus.ORACLES
+        if corpus_pipeline.ORACLE_SQL:
+            found["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return found

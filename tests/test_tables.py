@@ -10,7 +10,7 @@ from tripmart.config import Lake, applied, session_settings
 from tripmart.operators.refine import refine
 from tripmart.plans import pipeline, sql
 from tripmart.sources import tables
-from tripmart.sources.scratch import CHECKPOINT_DIR, scratch_folder
+from tripmart.sources.scratch import WAREHOUSE_DIR, scratch_folder
 
 
 @pytest.fixture
@@ -183,6 +183,7 @@ class SessionWith:
 
     def __init__(self, **settings):
         self.conf = {key.replace("_", "."): value for key, value in settings.items()}
+        self.conf |= {WAREHOUSE_DIR: settings.get("spark_sql_warehouse_dir")}
 
 
 def test_scratch_is_below_the_shared_folder_and_fresh():
@@ -191,10 +192,9 @@ def test_scratch_is_below_the_shared_folder_and_fresh():
     assert one.startswith("hdfs://shared/tmp/tripmart-x-") and one != two
 
 
-def test_a_cluster_needs_a_shared_folder():
-    with pytest.raises(ValueError, match=CHECKPOINT_DIR):
-        scratch_folder(SessionWith(spark_master="yarn"), "x")
-    assert scratch_folder(SessionWith(spark_master="local[2]"), "x")
+def test_scratch_falls_back_on_the_warehouse():
+    session = SessionWith(spark_sql_warehouse_dir="hdfs://shared/warehouse/")
+    assert scratch_folder(session, "x").startswith("hdfs://shared/warehouse/scratch/tripmart-x-")
 
 
 def test_names():

@@ -2,22 +2,21 @@
 
 from __future__ import annotations
 
-import tempfile
 from uuid import uuid4
 
 from pyspark.sql import SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
+WAREHOUSE_DIR = "spark.sql.warehouse.dir"
 
 
 def scratch_folder(spark: SparkSession, label: str) -> str:
     """A fresh folder below the shared folder that the session names.
 
-    Only a local session may go without that setting; it gets a temporary folder.
+    A session without that setting gets one below its warehouse, which every session
+    has and which is shared wherever there is a cluster.
     """
     root = spark.conf.get(CHECKPOINT_DIR, None)
     if not root:
-        if not spark.conf.get("spark.master", "").startswith("local"):
-            raise ValueError(f"set {CHECKPOINT_DIR} to a folder that all executors share")
-        root = tempfile.mkdtemp(prefix="tripmart-")
+        root = f"{spark.conf.get(WAREHOUSE_DIR).rstrip('/')}/scratch"
     return f"{root.rstrip('/')}/tripmart-{label}-{uuid4().hex}"
