@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripmart.llm import mixture, warc, winnowing
+from tripmart.llm import mixture, token_files, toxicity, warc, winnowing
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -31,16 +31,35 @@ def op6_mixture(spark, sf_dir):
     )
 
 
+def op7_token_files(spark, sf_dir):
+    files = token_files.write_token_files(_table(spark, sf_dir, "documents"))
+    return token_files.read_token_files(spark, files)
+
+
 def op8_decontamination(spark, sf_dir):
     return winnowing.contaminated_documents(
         _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")
     )
 
 
+def op9_toxicity(spark, sf_dir):
+    found = toxicity.scores(
+        _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
+    )
+    return found.select(
+        "doc_id",
+        toxicity.held_out(F.col("doc_id")).alias("held_out"),
+        "score",
+        (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"),
+    )
+
+
 QUERIES = {
     "op1_warc": op1_warc,
     "op6_mixture": op6_mixture,
+    "op7_token_files": op7_token_files,
     "op8_decontamination": op8_decontamination,
+    "op9_toxicity": op9_toxicity,
 }
 
 # -- SQL counterparts, for DuckDB -----------------------------------------------------
