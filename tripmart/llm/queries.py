@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripmart.llm import mixture, token_files, toxicity, warc, winnowing
+from tripmart.llm import mixture, simhash, token_files, toxicity, warc, winnowing
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -22,6 +22,10 @@ def op1_warc(spark, sf_dir):
     )
 
 
+def op5_simhash(spark, sf_dir):
+    return simhash.near_duplicates(_table(spark, sf_dir, "documents"))
+
+
 def op6_mixture(spark, sf_dir):
     documents = _table(spark, sf_dir, "documents")
     marked = mixture.with_copies(documents, mixture.mixture_plan(documents))
@@ -56,6 +60,7 @@ def op9_toxicity(spark, sf_dir):
 
 QUERIES = {
     "op1_warc": op1_warc,
+    "op5_simhash": op5_simhash,
     "op6_mixture": op6_mixture,
     "op7_token_files": op7_token_files,
     "op8_decontamination": op8_decontamination,
