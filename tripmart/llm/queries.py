@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripmart.llm import mixture, simhash, token_files, toxicity, warc, winnowing
+from tripmart.llm import mixture, simhash, superkmers, token_files, toxicity, warc, winnowing
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -58,6 +58,11 @@ def op9_toxicity(spark, sf_dir):
     )
 
 
+def op10_substrings(spark, sf_dir):
+    found = superkmers.without_repeats(_table(spark, sf_dir, "documents"), with_text=False)
+    return found.drop("kept")
+
+
 QUERIES = {
     "op1_warc": op1_warc,
     "op5_simhash": op5_simhash,
@@ -65,6 +70,7 @@ QUERIES = {
     "op7_token_files": op7_token_files,
     "op8_decontamination": op8_decontamination,
     "op9_toxicity": op9_toxicity,
+    "op10_substrings": op10_substrings,
 }
 
 # -- SQL counterparts, for DuckDB -----------------------------------------------------
@@ -178,4 +184,33 @@ select doc_id, cast(len(words) as bigint) as n_words,
 from d left join hit using (r) left join items using (r)
 """
 
-ORACLES = {"op1_warc": _OP1, "op6_mixture": _OP6, "op8_decontamination": _OP8}
+_OP10 = r"""
+with d as (
+  select row_number() over () as r, doc_id,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as words
+  from documents),
+windows as (
+  select r, doc_id, s, md5(array_to_string(words[s:s + 49], ' ')) as w
+  from (select *, unnest(range(1, len(words) - 48)) as s from d where len(words) >= 50)),
+lowest as (select w, min(doc_id) as low from windows group by w),
+gone as (
+  select distinct r, unnest(range(s, s + 50)) as pos
+  from windows join lowest using (w) where low < doc_id),
+kept as (
+  select r, string_agg(word, ' ' order by pos) as words, count(*) as n
+  from (select r, words[pos] as word, pos
+        from (select r, words, unnest(range(1, len(words) + 1)) as pos from d)) as p
+  anti join gone using (r, pos)
+  group by r)
+select doc_id, cast(len(d.words) as bigint) as n_words,
+       cast(len(d.words) - coalesce(n, 0) as bigint) as n_removed,
+       sha256(coalesce(kept.words, '')) as kept_sha256
+from d left join kept using (r)
+"""
+
+ORACLES = {
+    "op1_warc": _OP1,
+    "op6_mixture": _OP6,
+    "op8_decontamination": _OP8,
+    "op10_substrings": _OP10,
+}
