@@ -5,10 +5,12 @@ Each query applies its operator to its whole table and derives the columns of th
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripmart.llm import mixture, simhash, superkmers, token_files, toxicity, warc, winnowing
+from tripmart.llm import mixture, quality, simhash, superkmers, token_files, toxicity, warc, winnowing
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -22,6 +24,13 @@ def op1_warc(spark, sf_dir):
     )
 
 
+def op3_quality(spark, sf_dir):
+    return quality.judged(_table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+        "base_failed", "kept",
+    )
+
+
 def op5_simhash(spark, sf_dir):
     return simhash.near_duplicates(_table(spark, sf_dir, "documents"))
 
@@ -65,6 +74,7 @@ def op10_substrings(spark, sf_dir):
 
 QUERIES = {
     "op1_warc": op1_warc,
+    "op3_quality": op3_quality,
     "op5_simhash": op5_simhash,
     "op6_mixture": op6_mixture,
     "op7_token_files": op7_token_files,
@@ -94,6 +104,88 @@ select page_id, cast(strlen(html) as bigint) as payload_bytes,
 from numbered
 """
 
+_LENGTH, _SYMBOLS, _DUPS, _REPEATS = quality.LEAST_SPREAD.values()
+
+_OP3 = rf"""
+with d as (
+  select row_number() over () as r, doc_id, lang, source, coalesce(text, '') as text,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as words,
+         list_filter(string_split(coalesce(text, ''), chr(10)),
+                     lambda l: regexp_matches(l, '[^\x20\x09-\x0D]')) as lines
+  from documents),
+grams as (
+  select r, s, array_to_string(words[s:s + 2], ' ') as g
+  from (select r, words, unnest(range(1, len(words) - 1)) as s from d where len(words) >= 3)),
+often as (select *, count(*) over (partition by r, g) as n from grams),
+covered as (
+  select r, count(distinct pos) as n_repeat_words
+  from (select r, unnest(range(s, s + 3)) as pos from often where n > 1) group by r),
+stats as (
+  select doc_id, lang, source, cast(len(words) as bigint) as n_words,
+         cast(coalesce(list_sum(list_transform(words, lambda w: length(w))), 0) as bigint)
+           as word_chars,
+         cast(len(regexp_extract_all(text, '[#*$%&|<>]')) as bigint) as n_symbols,
+         len(lines) as n_lines, cast(len(lines) - len(list_distinct(lines)) as bigint)
+           as n_dup_lines,
+         cast(coalesce(n_repeat_words, 0) as bigint) as n_repeat_words
+  from d left join covered using (r)),
+measured as (
+  select *, n_words < 50 or 100 * n_repeat_words > 50 * n_words as base_failed,
+         case when n_words > 0 then word_chars / n_words else 0 end as word_length,
+         case when n_words > 0 then n_symbols / n_words else 0 end as symbols,
+         case when n_lines > 0 then n_dup_lines / n_lines else 0 end as dup_lines,
+         case when n_words > 0 then n_repeat_words / n_words else 0 end as repeats
+  from stats),
+binned as (
+  select lang, source, measure,
+         case when value > 0 then ceil(ln(value) / {math.log(quality._GROWTH)!r}::double) end as bin
+  from measured, lateral (values ('word_length', word_length), ('symbols', symbols),
+                                 ('dup_lines', dup_lines), ('repeats', repeats))
+       as m(measure, value)
+  where not base_failed),
+levels as (
+  select 's' as level, lang, source, measure, bin from binned
+  union all select 'l', lang, null, measure, bin from binned
+  union all select 'c', null, null, measure, bin from binned),
+counted as (
+  select level, lang, source, measure, bin, count(*) as n from levels group by all),
+ranked as (
+  select *, sum(n) over (w order by bin nulls first) as upto, sum(n) over w as total,
+         coalesce(exp(bin * {math.log(quality._GROWTH)!r}::double)
+                  * {2 / (quality._GROWTH + 1)!r}::double, 0) as value
+  from counted window w as (partition by level, lang, source, measure)),
+quartiles as (
+  select level, lang, source, measure, max(total) as total,
+         arg_min(value, upto) filter (where upto >= ceil(total * 0.25)) as low,
+         arg_min(value, upto) filter (where upto >= ceil(total * 0.5)) as middle,
+         arg_min(value, upto) filter (where upto >= ceil(total * 0.75)) as high
+  from ranked group by level, lang, source, measure),
+spread as (
+  select *, case measure when 'word_length' then {_LENGTH} when 'symbols' then {_SYMBOLS}
+            when 'dup_lines' then {_DUPS} else {_REPEATS} end::double as least
+  from quartiles),
+fenced as (
+  select level, lang, source, max(total) as total,
+         max(case when measure = 'word_length' then high + {quality.SPREADS} * greatest(high - middle, least) end) as u1,
+         max(case when measure = 'word_length' then low - {quality.SPREADS} * greatest(middle - low, least) end) as l1,
+         max(case when measure = 'symbols' then high + {quality.SPREADS} * greatest(high - middle, least) end) as u2,
+         max(case when measure = 'dup_lines' then high + {quality.SPREADS} * greatest(high - middle, least) end) as u3,
+         max(case when measure = 'repeats' then high + {quality.SPREADS} * greatest(high - middle, least) end) as u4
+  from spread group by level, lang, source),
+chosen as (
+  select m.*, case when s.total >= {quality.LEAST} then s when l.total >= {quality.LEAST} then l
+              else c end as f
+  from measured m
+  left join fenced s on s.level = 's' and s.lang is not distinct from m.lang
+    and s.source is not distinct from m.source
+  left join fenced l on l.level = 'l' and l.lang is not distinct from m.lang
+  left join fenced c on c.level = 'c')
+select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       not base_failed and coalesce(word_length <= f.u1 and word_length >= f.l1
+         and symbols <= f.u2 and dup_lines <= f.u3 and repeats <= f.u4, true) as kept
+from chosen
+"""
+
 _OP6 = r"""
 with sized as (
   select doc_id, source,
@@ -210,6 +302,7 @@ from d left join kept using (r)
 
 ORACLES = {
     "op1_warc": _OP1,
+    "op3_quality": _OP3,
     "op6_mixture": _OP6,
     "op8_decontamination": _OP8,
     "op10_substrings": _OP10,
