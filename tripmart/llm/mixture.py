@@ -202,7 +202,8 @@ def mixture_plan(
         "mixture-ranks",
     )
     cuts = pareto_cuts(ranked).withColumnRenamed("source", "c")
-    return per_source.join(cuts, per_source["source"].eqNullSafe(cuts["c"]), "left").drop("c")
+    plan = per_source.join(cuts, per_source["source"].eqNullSafe(cuts["c"]), "left").drop("c")
+    return stored(plan, "mixture-plan")
 
 
 def _measures() -> list[Column]:
