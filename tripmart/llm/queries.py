@@ -10,7 +10,18 @@ import math
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripmart.llm import mixture, quality, simhash, superkmers, token_files, toxicity, warc, winnowing
+from tripmart.llm import (
+    html_text,
+    mixture,
+    quality,
+    secrets_scan,
+    simhash,
+    superkmers,
+    token_files,
+    toxicity,
+    warc,
+    winnowing,
+)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -24,6 +35,10 @@ def op1_warc(spark, sf_dir):
     )
 
 
+def op2_secrets(spark, sf_dir):
+    return secrets_scan.scan(_table(spark, sf_dir, "documents"))
+
+
 def op3_quality(spark, sf_dir):
     return quality.judged(_table(spark, sf_dir, "documents")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
@@ -31,6 +46,10 @@ def op3_quality(spark, sf_dir):
     )
 
 
+def op4_html_text(spark, sf_dir):
+    return html_text.extracted(_table(spark, sf_dir, "pages"))
+
+
 def op5_simhash(spark, sf_dir):
     return simhash.near_duplicates(_table(spark, sf_dir, "documents"))
 
@@ -74,7 +93,9 @@ def op10_substrings(spark, sf_dir):
 
 QUERIES = {
     "op1_warc": op1_warc,
+    "op2_secrets": op2_secrets,
     "op3_quality": op3_quality,
+    "op4_html_text": op4_html_text,
     "op5_simhash": op5_simhash,
     "op6_mixture": op6_mixture,
     "op7_token_files": op7_token_files,
