@@ -9,32 +9,26 @@ from collections.abc import Callable, Iterator
 import pyarrow as pa
 from pyarrow import fs
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tripmart.functions.columns import named
 from tripmart.sources.scratch import scratch_folder
 
 # Fixed value: a word of most contracts is a run of anything but ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
 WORDS = re.compile(WORD)
 
-_ASCII_SPACE = dict.fromkeys((9, 10, 11, 12, 13), " ")
-
-
-def words_of(text: str | None) -> list[str]:
-    """The words of a text, as ``WORD`` finds them; no text has no words."""
-    if not text:
-        return []
-    if text.isascii() and not any(c in text for c in "\x1c\x1d\x1e\x1f"):
-        return text.split()  # the same there, and faster
-    return list(filter(None, text.translate(_ASCII_SPACE).split(" ")))
-
-
-def n_words(text) -> F.Column:
+def n_words(text: Column) -> Column:
     """Number of words, zero without a text."""
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
+def as_rows(df: DataFrame) -> Column:
+    """All columns of a frame as one, ``row``, so that none clashes with those to come."""
+    return F.struct(*(named(c) for c in df.columns)).alias("row")
+
+
 def stored(df: DataFrame, label: str) -> DataFrame:
     """A frame written to shared scratch storage and read again.
 

@@ -29,7 +29,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tripmart.llm.common import n_words, stored
+from tripmart.llm.common import as_rows, n_words, stored
 
 # Fixed values of the contract.
 WEIGHTS = (3, 1, 2)
@@ -115,10 +115,6 @@ def _bins() -> tuple[Column, Column]:
     return F.floor(logs).cast("long"), F.floor((logs - F.floor(logs)) * FINE).cast("long")
 
 
-def _same_source(a: DataFrame, b: DataFrame) -> Column:
-    return a["source"].eqNullSafe(b["source"])
-
-
 def _reached(totals: DataFrame, bin_name: str, keep: Sequence[str]) -> DataFrame:
     """The bin of each source in which the running sum reaches the quota."""
     upto = Window.partitionBy("source").orderBy(bin_name)
@@ -212,45 +208,31 @@ def _measures() -> list[Column]:
 
 
 def with_copies(documents: DataFrame, plan: DataFrame) -> DataFrame:
-    """Add ``mix``, a struct of size, source_size, target and copies, to every document."""
+    """Every document as ``row``, with size, source_size, target and copies."""
     plan = plan.select(
-        F.col("source").alias("mix_source"),
-        F.struct(*(F.col(c) for c in plan.columns if c != "source")).alias("mix_plan"),
+        F.col("source").alias("named"),
+        F.struct(*(F.col(c) for c in plan.columns if c != "source")).alias("plan"),
     )
-    size, tie, u = _measures()
-    measured = documents.withColumn("mix_row", F.struct(size, tie, u))
-    rank = pareto_rank(F.col("mix_row.u"), F.col("mix_plan.inclusion"))
-    marked = measured.join(
-        plan, measured["source"].cast("string").eqNullSafe(plan["mix_source"])
-    ).withColumn("mix_rank", F.struct(rank.alias("rank"), F.col("mix_row.tie").alias("tie")))
-    logs = F.log2("mix_rank.rank") * COARSE
-    bins = F.struct(
-        F.floor(logs).cast("long").alias("coarse"),
-        F.floor((logs - F.floor(logs)) * FINE).cast("long").alias("fine"),
+    measured = documents.select(
+        as_rows(documents), F.col("source").cast("string").alias("source"), *_measures()
+    )
+    rank = pareto_rank(F.col("u"), F.col("plan.inclusion"))
+    placed = measured.join(plan, F.col("source").eqNullSafe(F.col("named"))).withColumn("rank", rank)
+    coarse, fine = _bins()
+    place, last = F.struct(coarse, fine), F.struct("plan.coarse", "plan.fine")
+    sampled = (place < last) | ((place == last) & (F.struct("rank", "tie") <= F.col("plan.cut")))
+    more = (F.col("plan.quota") > 0) & F.coalesce(sampled, F.lit(False))
+    return placed.select(
+        "row",
+        "size",
+        "plan.source_size",
+        "plan.target",
+        (F.col("plan.whole") + more.cast("int")).alias("copies"),
     )
-    last = F.struct(F.col("mix_plan.coarse").alias("coarse"), F.col("mix_plan.fine").alias("fine"))
-    sampled = (bins < last) | ((bins == last) & (F.col("mix_rank") <= F.col("mix_plan.cut")))
-    copies = F.col("mix_plan.whole") + F.when(
-        (F.col("mix_plan.quota") > 0) & F.coalesce(sampled, F.lit(False)), 1
-    ).otherwise(0)
-    return marked.withColumn(
-        "mix",
-        F.struct(
-            F.col("mix_row.size").alias("size"),
-            F.col("mix_plan.source_size").alias("source_size"),
-            F.col("mix_plan.target").alias("target"),
-            copies.alias("copies"),
-        ),
-    ).drop("mix_source", "mix_plan", "mix_row", "mix_rank")
 
 
 def mix(documents: DataFrame, **settings) -> DataFrame:
     """The mix itself: every document as often as it is taken, with its own columns."""
     marked = with_copies(documents, mixture_plan(documents, **settings))
-    taken = F.when(F.col("mix.size") > 0, F.col("mix.copies")).otherwise(0)
-    return (
-        marked.withColumn("mix", taken)
-        .filter("mix > 0")
-        .withColumn("mix", F.explode(F.sequence(F.lit(1), F.col("mix"))))
-        .drop("mix")
-    )
+    taken = marked.filter("size > 0 and copies > 0")
+    return taken.withColumn("copy", F.explode(F.sequence(F.lit(1), "copies"))).select("row.*")

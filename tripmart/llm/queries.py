@@ -57,10 +57,8 @@ def op5_simhash(spark, sf_dir):
 def op6_mixture(spark, sf_dir):
     documents = _table(spark, sf_dir, "documents")
     marked = mixture.with_copies(documents, mixture.mixture_plan(documents))
-    taken = F.col("mix.size") * F.col("mix.copies")
-    return marked.select(
-        "doc_id", "mix.size", "mix.source_size", "mix.target", taken.alias("taken")
-    )
+    taken = (F.col("size") * F.col("copies")).alias("taken")
+    return marked.select("row.doc_id", "size", "source_size", "target", taken)
 
 
 def op7_token_files(spark, sf_dir):

@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tripmart.llm.common import rows_in_arrow, stored
+from tripmart.llm.common import as_rows, rows_in_arrow, stored
 from tripmart.llm.components import connected_components
 
 # Fixed values of the contract.
@@ -330,12 +330,11 @@ def near_duplicates(documents: DataFrame, words: int = SHINGLE) -> DataFrame:
 def without_near_duplicates(documents: DataFrame, words: int = SHINGLE) -> DataFrame:
     """One document of each group, that of the smallest id, with its own columns."""
     prints = stored(fingerprints(documents, words), "simhash-prints")
-    keepers = classes(prints).select("keeper.doc_id", "keeper.tie").distinct()
     name = F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("none")), "tie")
-    keyed = documents.withColumn("tie", _tie()).withColumn("simhash_keeper", name).drop("tie")
-    kept = stored(keepers.select(name.alias("simhash_keeper")), "simhash-kept")
-    return (
-        keyed.join(kept, "simhash_keeper", "left_semi")
-        .dropDuplicates(["simhash_keeper"])
-        .drop("simhash_keeper")
-    )
+    keepers = classes(prints).select("keeper.doc_id", "keeper.tie").distinct()
+    kept = stored(keepers.select(name.alias("name")), "simhash-kept")
+    rows = documents.select(
+        as_rows(documents), F.col("doc_id").cast("long").alias("doc_id"), _tie().alias("tie")
+    ).select("row", name.alias("name"))
+    # Repeated rows have one name, and are in one place after the join.
+    return rows.join(kept, "name", "left_semi").dropDuplicates(["name"]).select("row.*")

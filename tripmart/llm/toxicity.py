@@ -13,7 +13,7 @@ tasks get the weights with their function, ``COLUMNS`` numbers whatever the corp
 Defined results: a text too short for an n-gram, or no text, has the score of an empty bag.
 Without labels of both classes nothing can be learned: every score is 0. A document whose
 labels disagree counts as toxic; of rows repeated with one id the smallest text is learned
-from. Labels without an id or a class are left out. Only doc_id and text are read.
+from. Labels without an id or a class are left out. Other columns are not read, or kept.
 """
 
 from __future__ import annotations
@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tripmart.llm.common import rows_in_arrow
+from tripmart.llm.common import as_rows, rows_in_arrow
 
 # Parameters: documents of each class to learn from, n-gram lengths, columns.
 SAMPLE = 2500
@@ -233,20 +233,22 @@ def scores(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Dat
     return texts.mapInArrow(rows_in_arrow(score, _SCORES), "doc_id long, score double")
 
 
-def scored(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
-    """The documents with their own columns and ``toxicity``, without moving any text."""
+def without_toxic(
+    documents: DataFrame,
+    labels: DataFrame,
+    threshold: float = THRESHOLD,
+    sample: int = SAMPLE,
+) -> DataFrame:
+    """The documents with a score below the threshold, with their own columns.
+
+    No text is moved: it is scored where it is read.
+    """
     weights, bias = train(documents, labels, sample)
 
     @F.pandas_udf("double")
     def score(texts: pd.Series) -> pd.Series:
         kept = weights != 0
-        return pd.Series([score_text(text, weights, bias, kept) for text in texts])
+        return pd.Series([score_text(text, weights, bias, kept) for text in texts], dtype=float)
 
-    return documents.withColumn("toxicity", score("text"))
-
-
-def without_toxic(
-    documents: DataFrame, labels: DataFrame, threshold: float = THRESHOLD
-) -> DataFrame:
-    """The documents with a score below the threshold, with their own columns."""
-    return scored(documents, labels).filter(F.col("toxicity") < threshold).drop("toxicity")
+    rows = documents.select(as_rows(documents), score("text").alias("score"))
+    return rows.filter(F.col("score") < threshold).select("row.*")

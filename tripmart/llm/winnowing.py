@@ -21,7 +21,7 @@ Which side of a join is broadcast, if any, is left to the planner, by size.
 
 Defined results: no text has no words, and no words have no hits; repeated rows get a
 result each; items without words match nothing, and items without an id count as one item
-with an empty name. Other columns are not read.
+with an empty name. Other columns are not read, or kept.
 """
 
 from __future__ import annotations
@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tripmart.functions.frames import union_all
-from tripmart.llm.common import stored
+from tripmart.llm.common import as_rows, stored
 
 # Fixed values of the contract: what a word of folded text is, and how many make a window.
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -251,6 +251,5 @@ def contaminated_documents(documents: DataFrame, benchmark: DataFrame) -> DataFr
 def clean_documents(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The documents without any window of an item, with their own columns."""
     found = stored(contamination(documents, benchmark).select("key"), "contaminated")
-    keyed = documents.withColumn("contamination_key", text_key(F.col("text")))
-    found = found.withColumnRenamed("key", "contamination_key")
-    return keyed.join(found, "contamination_key", "left_anti").drop("contamination_key")
+    rows = documents.select(as_rows(documents), text_key(F.col("text")).alias("key"))
+    return rows.join(found, "key", "left_anti").select("row.*")
