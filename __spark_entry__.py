@@ -140,8 +140,12 @@ def _bronze_table(spark, sf_dir):
     return tables.read_table(spark, _lake(spark, sf_dir, LINEITEM).bronze_table)
 
 
+_PREVIEWED = ("_source_file", *TRIP_COLUMNS, "airport_fee", "note", "code", "_ref_year", "_ref_month")
+
+
 def _preview(spark, sf_dir):
-    return tables.preview(_bronze_table(spark, sf_dir))
+    rows = _entry_name(_bronze_table(spark, sf_dir)).select(*_PREVIEWED)
+    return tables.preview(rows, order_by=_PREVIEWED)
 
 
 def _missing_months(spark, sf_dir):
@@ -285,7 +289,7 @@ def _serve_month(spark, sf_dir):
 
 
 def _serve_hour(spark, sf_dir):
-    mart = _lake(spark, sf_dir, EVENTS).gold_table(pipeline.HOUR_MART)
+    mart = _lake(spark, sf_dir, EVENTS).gold_table(pipeline.hour_mart(EVENTS.hour_month))
     return spark.sql(sql.SERVE_HOUR, mart=tables.read_table(spark, mart))
 
 
@@ -369,6 +373,7 @@ _QUERIES: dict[str, Query] = {
 
 def _registered(query: Query) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        # The frame runs after this returns, so the zone stays as the results need it.
         spark.conf.set("spark.sql.session.timeZone", "UTC")
         return _wall_clock(query(spark, str(sf_dir).rstrip("/")))
 
@@ -425,20 +430,26 @@ silver as (select distinct * from valid)
     )
 
 
+# Text in some years of the longer input, and a number in others.
+_CODE = """case y % 5 when 1 then 'c' || cast(fee as varchar)
+                    when 2 then cast(fee as varchar) end as code"""
+
+
 def _landing_sql(adapter: Adapter, select: str = "select * from landed") -> str:
     """``landed`` is what the landing files of an adapter hold, in uniform types."""
     return _with_bronze(
         adapter,
         f""", dated as (
-  select *, cast(year(tpep_pickup_datetime) as int) as y,
-            cast(month(tpep_pickup_datetime) as int) as m
+  select *, coalesce(tpep_pickup_datetime, timestamp '{adapters.UNDATED}') as landed_at,
+         cast(year(landed_at) as int) as y, cast(month(landed_at) as int) as m
   from ingested),
 landed as (
   select cast(VendorID as double) as VendorID, passenger_count,
          case when y % 5 <> 2 then cast(fee as double) end as airport_fee,
          case when y % 5 = 4 then flag end as note,
+         {_CODE + ',' if adapter is LINEITEM else ''}
          total_amount, tpep_pickup_datetime, tpep_dropoff_datetime,
-         'file=' || prefix || '_' || strftime(tpep_pickup_datetime, '%Y-%m') || '.parquet'
+         'file=' || prefix || '_' || strftime(landed_at, '%Y-%m') || '.parquet'
            as _source_file,
          y as _ref_year, m as _ref_month
   from dated)
@@ -505,12 +516,17 @@ order by total_amount desc, tpep_pickup_datetime, passenger_count desc limit 10
 
 
 def oracle_sql() -> dict[str, str]:
-    """The same results in DuckDB. A preview has no defined rows, so it has no SQL."""
+    """The same results in DuckDB."""
     all_silver = "select * from silver"
     found = {
         "scan_parquet": _with_bronze(LINEITEM, f"select {_TRIP_LIST} from raw"),
         "read_landing": _landing_sql(LINEITEM),
         "scan_table": _with_silver(LINEITEM, all_silver),
+        "preview_10": _landing_sql(
+            LINEITEM,
+            f"select {', '.join(_PREVIEWED)} from landed "
+            f"order by {', '.join(f'{c} nulls first' for c in _PREVIEWED)} limit 10",
+        ),
         "missing_months": _landing_sql(
             LINEITEM,
             f"select cast({OPEN_YEAR.year} as int) as _ref_year, cast(i as int) as _ref_month "

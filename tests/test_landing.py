@@ -11,6 +11,7 @@ from helpers import initial_plan, raw_trips
 from tripmart.config import Period
 from tripmart.functions.frames import normalize_numerics, stamp_ingestion, union_all
 from tripmart.operators.completeness import missing_months
+from tripmart.sources import landing as landing_module
 from tripmart.sources.landing import landing_entries, read_landing
 
 MONTHS = {
@@ -66,10 +67,9 @@ def test_all_months_in_uniform_types(spark, landing):
 
 
 @pytest.mark.parametrize("spelling", ["{}", "{}/", "file:{}", "file://{}/"])
-@pytest.mark.parametrize("own_scan_bytes", [0, 10**12])
-def test_any_spelling_of_the_folder(spark, landing, spelling, own_scan_bytes):
+def test_any_spelling_of_the_folder(spark, landing, spelling):
     folder = spelling.format(landing)
-    rows = read_landing(spark, folder, own_scan_bytes).select("_source_file", "_ref_month")
+    rows = read_landing(spark, folder).select("_source_file", "_ref_month")
     assert {tuple(row) for row in rows.collect()} == {
         (f"{folder.rstrip('/')}/trips_2023-{month:02d}.parquet", month) for month in MONTHS
     }
@@ -150,15 +150,13 @@ def test_part_files_with_more_columns(spark, tmp_path):
     assert sorted(tips, key=str) == [2.0, None]
 
 
-@pytest.mark.parametrize("own_scan_bytes", [0, 10**12])
-def test_large_and_small_months_give_the_same(spark, landing, own_scan_bytes):
+def test_entries_of_one_schema_share_a_scan(spark, landing):
     for month in (1, 2):
         raw_trips(spark, {"total_amount": 100.0 + month}).write.parquet(
             f"{landing}/again_2023-{month:02d}.parquet"
         )
-    df = read_landing(spark, landing, own_scan_bytes)
-    scans = initial_plan(df).count("FileScan")
-    assert scans == (7 if own_scan_bytes == 0 else 5)
+    df = read_landing(spark, landing)
+    assert initial_plan(df).count("FileScan") <= 5
     found = {
         (row._source_file.removeprefix(landing), row._ref_year, row._ref_month)
         for row in df.collect()
@@ -197,8 +195,7 @@ def test_wide_keys_can_be_kept(spark):
     assert normalize_numerics(df, keep={"k"}).first().k == 2**53 + 1
 
 
-@pytest.mark.parametrize("own_scan_bytes", [0, 10**12])
-def test_times_with_and_without_a_zone(spark, tmp_path, own_scan_bytes):
+def test_times_with_and_without_a_zone(spark, tmp_path):
     """Both kinds end up as instants, read in the zone of the session."""
     for month, kind in ((1, "timestamp_ntz"), (2, "timestamp"), (3, "timestamp_ntz")):
         pickup = datetime(2023, month, 5, 6, 7)
@@ -206,7 +203,7 @@ def test_times_with_and_without_a_zone(spark, tmp_path, own_scan_bytes):
         trips.withColumn(
             "tpep_pickup_datetime", F.col("tpep_pickup_datetime").cast(kind)
         ).write.parquet(f"{tmp_path}/trips_2023-{month:02d}.parquet")
-    df = read_landing(spark, str(tmp_path), own_scan_bytes)
+    df = read_landing(spark, str(tmp_path))
     assert dict(df.dtypes)["tpep_pickup_datetime"] == "timestamp"
     found = df.selectExpr("_ref_month", "cast(tpep_pickup_datetime as timestamp_ntz) as t")
     assert {tuple(row) for row in found.collect()} == {
@@ -214,6 +211,48 @@ def test_times_with_and_without_a_zone(spark, tmp_path, own_scan_bytes):
     }
 
 
+def test_names_to_keep_go_without_regard_to_case(spark, landing):
+    df = spark.createDataFrame([(2**53 + 1,)], "VendorID bigint")
+    assert normalize_numerics(df, keep={"vendorid"}).first().VendorID == 2**53 + 1
+    with pytest.raises(ValueError, match="nowhere"):
+        read_landing(spark, landing, keep={"nowhere"})
+
+
+def test_a_column_that_is_text_in_any_month_is_text_in_all(spark, tmp_path):
+    codes = {1: "'2x'", 2: "7L", 3: "cast(1.50 as decimal(9,2))"}
+    for month in (1, 2, 3, 4):
+        trips = raw_trips(spark, {})
+        if month in codes:
+            trips = trips.withColumn("code", F.expr(codes[month]))
+        trips.write.parquet(f"{tmp_path}/trips_2023-{month:02d}.parquet")
+    df = read_landing(spark, str(tmp_path))
+    assert {(r._ref_month, r.code) for r in df.collect()} == {
+        (1, "2x"), (2, "7"), (3, "1.50"), (4, None),
+    }
+
+
+@pytest.mark.parametrize("month", ["00", "13"])
+def test_months_are_months(spark, tmp_path, month):
+    raw_trips(spark, {}).write.parquet(f"{tmp_path}/trips_2023-{month}.parquet")
+    with pytest.raises(ValueError, match="YYYY-MM"):
+        read_landing(spark, str(tmp_path))
+
+
+@pytest.mark.parametrize("months", [12, 48])
+def test_schemas_take_a_job_for_each_year(spark, tmp_path, monkeypatch, months):
+    """And more only where types differ within a year."""
+    for i in range(months):
+        trips = raw_trips(spark, {}).withColumn("fee", F.lit(1).cast("bigint" if i // 12 % 2 else "double"))
+        trips.coalesce(1).write.parquet(f"{tmp_path}/trips_{2020 + i // 12}-{i % 12 + 1:02d}.parquet")
+    entries = landing_entries(spark, str(tmp_path))
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup(f"schemas-{months}", "")
+    monkeypatch.setattr(landing_module, "_at_once", lambda f, items: list(map(f, items)))
+    runs = landing_module.merged_schemas(spark, entries)
+    assert len(tracker.getJobIdsForGroup(f"schemas-{months}")) == len(runs) == months // 12
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
 def test_wide_keys_of_landing_files_can_be_kept(spark, tmp_path):
     for month, kind in ((1, "bigint"), (2, "int")):
         trip = raw_trips(spark, {"VendorID": 2**53 + 1 if month == 1 else 5})

@@ -10,7 +10,7 @@ import pytest
 import __spark_entry__ as contract
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.01")
-ORACLES = contract.oracle_sql()
+ORACLES = {name: text for name, text in contract.oracle_sql().items() if name in contract._QUERIES}
 
 
 @pytest.fixture(scope="module")
@@ -42,9 +42,9 @@ def kind(name):
     return name
 
 
-def test_every_query_but_the_preview_has_an_oracle():
-    assert set(contract.queries()) - set(ORACLES) == {"preview_10"}
-    assert set(ORACLES) <= set(contract.queries())
+def test_every_query_has_an_oracle():
+    assert set(ORACLES) == set(contract._QUERIES)
+    assert set(contract.oracle_sql()) <= set(contract.queries())
 
 
 @pytest.mark.parametrize("name", ORACLES)
@@ -61,7 +61,8 @@ def test_matches_oracle(spark, duck, name):
 
 
 def test_preview_has_ten_rows(spark):
-    assert contract.queries()["preview_10"](spark, SF_DIR).count() == 10
+    table = contract._bronze_table(spark, SF_DIR)
+    assert contract.tables.preview(table).count() == 10
 
 
 def test_flagship_runs_every_layer(spark):

@@ -6,10 +6,12 @@ import pytest
 from pyspark.sql import functions as F
 
 from helpers import raw_trips
-from tripmart.config import Lake, applied, session_settings
+from tripmart import adapters
+from tripmart.config import Lake, Period, applied, session_settings
 from tripmart.operators.refine import refine
 from tripmart.plans import pipeline, sql
 from tripmart.sources import tables
+from tripmart.sources.landing import read_landing
 from tripmart.sources.scratch import WAREHOUSE_DIR, scratch_folder
 
 
@@ -148,34 +150,44 @@ def test_shuffle_grows_with_the_data():
     for total, least, partitions, merged, scanned in (
         (10, 200, 200, 64 * megabyte, 128 * megabyte),
         (terabyte, 200, 16_384, 64 * megabyte, 128 * megabyte),
-        (100 * terabyte, 200, 102_400, 256 * megabyte, 1024 * megabyte),
+        (100 * terabyte, 200, 20_000, 256 * megabyte, 1024 * megabyte),
+        (100 * terabyte, 30_000, 30_000, 256 * megabyte, 1024 * megabyte),
     ):
         settings = session_settings(total, least)
         found = [int(settings[key]) for key in (number, size, scan)]
         assert found == [partitions, merged, scanned]
 
 
-def writes_of_silver(spark, lake, input_bytes, monkeypatch):
-    """Whether the silver build asks for months to be gathered."""
-    asked = []
+def test_gold_keeps_the_number_of_partitions_of_the_session(spark, lake, monkeypatch):
+    number = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    found = []
+    real = pipeline.write_gold
+    monkeypatch.setattr(
+        pipeline, "write_gold", lambda *a: found.append(spark.conf.get(number, None)) or real(*a)
+    )
+    pipeline.run_all(spark, lake)
+    assert found == [None, None]
 
-    def record(df, name, table_format, gather):
-        asked.append(gather)
-        return write_silver(df, name, table_format, gather)
 
-    write_silver = tables.write_silver
-    monkeypatch.setattr(pipeline, "write_silver", record)
-    rows = pipeline.build_silver(spark, lake, input_bytes=input_bytes)
-    return asked, rows
+def test_rows_without_a_pickup_land(spark, schema, tmp_path):
+    """All rows are in bronze, and those without a pickup in no trusted month."""
+    lines = spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet")
+    lines.withColumn(
+        "l_shipdate", F.when(F.col("l_linenumber") > 1, F.col("l_shipdate"))
+    ).write.parquet(f"{tmp_path}/lineitem.parquet")
+    landing = adapters.write_landing(spark, str(tmp_path), adapters.LINEITEM)
+    rows = read_landing(spark, landing)
+    ingested = adapters.ingested_trips(spark, str(tmp_path), adapters.LINEITEM)
+    assert rows.count() == ingested.count()
+    undated = rows.filter("tpep_pickup_datetime is null")
+    assert undated.count() == ingested.filter("tpep_pickup_datetime is null").count() > 0
+    assert undated.select("_ref_year", "_ref_month").distinct().count() == 1
+    assert refine(undated, adapters.LINEITEM.period).count() == 0
 
 
-@pytest.mark.parametrize(("input_bytes", "gather"), [(2**30, True), (7 * 2**40, False)])
-def test_large_months_are_not_shuffled_again(spark, lake, monkeypatch, input_bytes, gather):
-    pipeline.build_bronze(spark, lake)
-    # The size decides how many partitions a shuffle starts with; keep that small here.
-    monkeypatch.setattr(pipeline, "session_settings", lambda *_: session_settings())
-    assert writes_of_silver(spark, lake, input_bytes, monkeypatch) == ([gather], 2)
-    assert amounts(spark, lake.silver_table) == {4: 10.0, 5: 20.0}
+def test_the_hour_mart_is_named_by_its_month():
+    assert pipeline.hour_mart(5) == "avg_passenger_count_by_hour_may"
+    assert list(pipeline.default_marts(Period(2024, 1, 1), 1))[1].endswith("_by_hour_jan")
 
 
 class SessionWith:
@@ -214,13 +226,13 @@ def test_pipeline(spark, lake):
         lake.bronze_table: 6,
         lake.silver_table: 2,
         pipeline.MONTH_MART: 2,
-        pipeline.HOUR_MART: 1,
+        pipeline.hour_mart(): 1,
     }
     bronze = spark.table(lake.bronze_table)
     assert bronze.columns[-4:] == ["_source_file", "_ingested_at", "_ref_year", "_ref_month"]
     month = spark.sql(sql.SERVE_MONTH, mart=spark.table(lake.gold_table(pipeline.MONTH_MART)))
     assert [tuple(r) for r in month.collect()] == [(2023, 4, 10.0), (2023, 5, 20.0)]
-    hour = spark.sql(sql.SERVE_HOUR, mart=spark.table(lake.gold_table(pipeline.HOUR_MART)))
+    hour = spark.sql(sql.SERVE_HOUR, mart=spark.table(lake.gold_table(pipeline.hour_mart())))
     assert [tuple(r) for r in hour.collect()] == [(7, 2.0)]
     extra = {"busiest": lambda silver: silver.groupBy("VendorID").count()}
     assert pipeline.build_gold(spark, lake, extra) == {"busiest": 1}

@@ -87,23 +87,31 @@ def _fee(sql_type: str, name: str = "airport_fee") -> Column:
 # What the files of a year look like, by year modulo five.
 _VARIANTS = {
     0: lambda: [F.col("passenger_count"), _fee("bigint")],
-    1: lambda: [F.col("passenger_count").cast("bigint").alias("passenger_count"), _fee("double")],
-    2: lambda: [F.col("passenger_count")],
+    1: lambda: [
+        F.col("passenger_count").cast("bigint").alias("passenger_count"),
+        _fee("double"),
+        F.concat(F.lit("c"), F.col("fee").cast("string")).alias("code"),
+    ],
+    2: lambda: [F.col("passenger_count"), _fee("bigint", "code")],
     3: lambda: [F.col("passenger_count"), _fee("decimal(10,2)", "Airport_fee")],
     4: lambda: [F.col("passenger_count"), _fee("double"), F.col("flag").alias("note")],
 }
 
 
+# Rows without a pickup land in a month of their own, which no period asks for.
+UNDATED = "1900-01-01"
+
+
 def write_landing(spark: SparkSession, sf_dir: str, adapter: Adapter) -> str:
     """Write the raw rows as landing folders, one per month, and the repeated slice as
     further folders with another prefix. Returns the landing path.
     """
     folder = scratch_folder(spark, f"landing-{adapter.table}")
-    raw = raw_rows(spark, sf_dir, adapter)
-    rows = raw.select("*", F.lit("trips").alias("prefix")).unionAll(
-        again(raw).select("*", F.lit("rerun").alias("prefix"))
+    once, twice = F.array(F.lit("trips")), F.array(F.lit("trips"), F.lit("rerun"))
+    rows = raw_rows(spark, sf_dir, adapter).select(
+        "*", F.explode(F.when(F.expr(_AGAIN), twice).otherwise(once)).alias("prefix")
     )
-    pickup = F.col("tpep_pickup_datetime")
+    pickup = F.coalesce("tpep_pickup_datetime", F.lit(UNDATED).cast("timestamp_ntz"))
     for remainder, variant in _VARIANTS.items():
         (
             rows.filter(F.year(pickup) % 5 == remainder)

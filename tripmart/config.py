@@ -94,33 +94,29 @@ class Lake:
 
 
 _MB = 1024 * 1024
-SMALL_FILE_BYTES = 32 * _MB
+MOST_REDUCE_PARTITIONS = 20_000
 
 
 def task_bytes(input_bytes: int) -> int:
-    """Input per task: some 20 thousand tasks, of 64 MB to 1 GB each.
-
-    A shuffle has as many blocks as map tasks times reduce tasks, so at a hundred
-    terabytes small tasks would leave blocks of a few hundred bytes.
-    """
+    """Input per scan task: some 20 thousand tasks, of 64 MB to 1 GB each."""
     return min(1024 * _MB, max(64 * _MB, input_bytes // 20_000))
 
 
-def shuffled_bytes(input_bytes: int) -> int:
-    """What adaptive execution merges shuffle partitions up to, and splits them down to."""
-    return min(256 * _MB, task_bytes(input_bytes))
-
-
 def session_settings(input_bytes: int = 0, least_partitions: int = 1) -> dict[str, str]:
     """Session settings for pipeline runs.
 
-    Scans and shuffles are cut into tasks by ``input_bytes``, where it is given; adaptive
-    execution merges what turns out too small.
+    Scans and shuffles are cut into tasks by ``input_bytes``, where it is given. A shuffle
+    has as many blocks as map tasks times reduce partitions, and fewer bytes cross it than
+    are read: so the number of reduce partitions is bounded, and adaptive execution splits
+    and merges what is written after it by its own size.
     """
     settings = {
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.caseSensitive": "false",
         "spark.sql.adaptive.enabled": "true",
+        # Merge small partitions up to the size below, also where cores would be idle:
+        # the files that are written should be large.
+        "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
         "spark.sql.sources.partitionOverwriteMode": "dynamic",
         # One open file per month and task, instead of sorting each task by month.
         "spark.sql.maxConcurrentOutputFileWriters": "24",
@@ -130,8 +126,10 @@ def session_settings(input_bytes: int = 0, least_partitions: int = 1) -> dict[st
         partitions = max(least_partitions, math.ceil(input_bytes / each))
         settings |= {
             "spark.sql.files.maxPartitionBytes": str(max(128 * _MB, each)),
-            "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(partitions),
-            "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(shuffled_bytes(input_bytes)),
+            "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(
+                min(partitions, max(least_partitions, MOST_REDUCE_PARTITIONS))
+            ),
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(min(256 * _MB, each)),
         }
     return settings
 

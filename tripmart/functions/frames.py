@@ -5,9 +5,9 @@ from __future__ import annotations
 from collections.abc import Collection, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DecimalType, IntegerType, LongType, ShortType
+from pyspark.sql.types import DecimalType, IntegerType, LongType, ShortType, StructField
 
 from tripmart.functions.columns import named
 
@@ -16,19 +16,26 @@ from tripmart.functions.columns import named
 DRIFTING_NUMERICS = (ShortType, IntegerType, LongType, DecimalType)
 
 
-def normalize_numerics(df: DataFrame, keep: Collection[str] = ()) -> DataFrame:
+def normalize_numerics(
+    df: DataFrame, keep: Collection[str] = (), as_text: Collection[str] = ()
+) -> DataFrame:
     """Turn drifting numeric columns into double, so that all months agree.
 
-    Values beyond 2**53 lose digits as doubles; name such columns in ``keep``.
+    Values beyond 2**53 lose digits as doubles; name such columns in ``keep``. Columns in
+    ``as_text`` become text, as they are written before any other change. Names go without
+    regard to case, as everywhere in the files.
     """
-    return df.select(
-        *(
-            named(f.name).cast("double").alias(f.name)
-            if isinstance(f.dataType, DRIFTING_NUMERICS) and f.name not in keep
-            else named(f.name)
-            for f in df.schema.fields
-        )
-    )
+    kept, text = {c.lower() for c in keep}, {c.lower() for c in as_text}
+
+    def uniform(field: StructField) -> Column:
+        name = field.name.lower()
+        if name in text:
+            return named(field.name).cast("string").alias(field.name)
+        if isinstance(field.dataType, DRIFTING_NUMERICS) and name not in kept:
+            return named(field.name).cast("double").alias(field.name)
+        return named(field.name)
+
+    return df.select(*map(uniform, df.schema.fields))
 
 
 def stamp_ingestion(df: DataFrame) -> DataFrame:

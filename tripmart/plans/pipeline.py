@@ -2,24 +2,23 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from calendar import month_abbr
+from collections.abc import Callable, Collection, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
 from tripmart.config import (
     DEFAULT_HOUR_MONTH,
     DEFAULT_PERIOD,
-    SMALL_FILE_BYTES,
     Lake,
     Period,
     applied,
     session_settings,
-    shuffled_bytes,
 )
 from tripmart.functions.frames import stamp_ingestion
 from tripmart.operators import marts
 from tripmart.operators.refine import refine
-from tripmart.sources.landing import landing_entries, read_landing
+from tripmart.sources.landing import Entry, landing_entries, read_landing
 from tripmart.sources.tables import (
     ensure_schema,
     read_table,
@@ -28,9 +27,15 @@ from tripmart.sources.tables import (
     write_silver,
 )
 
-# The names under which the two marts are stored.
+# The names under which the two marts are stored; the second ends in the
+# first letters of its month.
 MONTH_MART = "avg_total_amount_by_month"
-HOUR_MART = "avg_passenger_count_by_hour_may"
+HOUR_MART = "avg_passenger_count_by_hour"
+
+
+def hour_mart(month: int = DEFAULT_HOUR_MONTH) -> str:
+    """The name of the hour mart of a month."""
+    return f"{HOUR_MART}_{month_abbr[month].lower()}"
 
 
 def default_marts(
@@ -39,7 +44,9 @@ def default_marts(
     """The marts by table name. Add entries to build more."""
     return {
         MONTH_MART: marts.amount_by_month,
-        HOUR_MART: lambda silver: marts.passengers_by_hour(silver, period.year, hour_month),
+        hour_mart(hour_month): lambda silver: marts.passengers_by_hour(
+            silver, period.year, hour_month
+        ),
     }
 
 
@@ -51,15 +58,22 @@ def _settings(spark: SparkSession, input_bytes: int) -> dict[str, str]:
     return session_settings(input_bytes, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 
-def build_bronze(spark: SparkSession, lake: Lake, input_bytes: int = 0) -> int:
+def build_bronze(
+    spark: SparkSession,
+    lake: Lake,
+    input_bytes: int = 0,
+    keep: Collection[str] = (),
+    entries: Sequence[Entry] | None = None,
+) -> int:
     """Ingest all landing files; returns the number of rows.
 
     Here and below, ``input_bytes`` is the size of the landing files, by which the work is
-    cut into tasks. Without it, the session's own sizes apply.
+    cut into tasks. Without it, the session's own sizes apply. ``entries`` are the landing
+    entries, where they have been listed already.
     """
     with applied(spark, _settings(spark, input_bytes)):
         _ensure_layer(spark, lake, lake.bronze_schema)
-        rows = stamp_ingestion(read_landing(spark, lake.landing_path))
+        rows = stamp_ingestion(read_landing(spark, lake.landing_path, keep, entries))
         return write_bronze(rows, lake.bronze_table, lake.table_format)
 
 
@@ -70,31 +84,23 @@ def build_silver(
     reject_nan: bool = False,
     input_bytes: int = 0,
 ) -> int:
-    """Rebuild the trusted table; returns the number of rows.
-
-    The size of the landing files stands for that of the shuffle: they hold more columns
-    than the five that cross it, but compressed.
-    """
+    """Rebuild the trusted table; returns the number of rows."""
     with applied(spark, _settings(spark, input_bytes)):
         _ensure_layer(spark, lake, lake.silver_schema)
         trips = refine(read_table(spark, lake.bronze_table), period, reject_nan)
-        # Each task holds all months; from some size on, enough of each for a file.
-        gather = shuffled_bytes(input_bytes) < period.months * SMALL_FILE_BYTES
-        return write_silver(trips, lake.silver_table, lake.table_format, gather)
+        return write_silver(trips, lake.silver_table, lake.table_format)
 
 
 def build_gold(
-    spark: SparkSession,
-    lake: Lake,
-    marts_by_name: dict[str, Callable[[DataFrame], DataFrame]],
-    input_bytes: int = 0,
+    spark: SparkSession, lake: Lake, marts_by_name: dict[str, Callable[[DataFrame], DataFrame]]
 ) -> dict[str, int]:
     """Rebuild the marts; returns the number of rows of each.
 
     Each mart scans the trusted table for its own few columns and partitions. That
-    reads less than caching all of it would.
+    reads less than caching all of it would. A handful of rows per task crosses their
+    shuffles, so the session's own number of partitions does.
     """
-    with applied(spark, _settings(spark, input_bytes)):
+    with applied(spark, session_settings()):
         _ensure_layer(spark, lake, lake.gold_schema)
         silver = read_table(spark, lake.silver_table)
         return {
@@ -108,10 +114,13 @@ def run_all(
     lake: Lake,
     period: Period = DEFAULT_PERIOD,
     hour_month: int = DEFAULT_HOUR_MONTH,
+    keep: Collection[str] = (),
+    reject_nan: bool = False,
 ) -> dict[str, int]:
     """Build every layer, sized by the landing files; returns the number of rows per table."""
-    size = sum(entry.size for entry in landing_entries(spark, lake.landing_path))
+    entries = landing_entries(spark, lake.landing_path)
+    size = sum(entry.size for entry in entries)
     return {
-        lake.bronze_table: build_bronze(spark, lake, size),
-        lake.silver_table: build_silver(spark, lake, period, input_bytes=size),
-    } | build_gold(spark, lake, default_marts(period, hour_month), size)
+        lake.bronze_table: build_bronze(spark, lake, size, keep, entries),
+        lake.silver_table: build_silver(spark, lake, period, reject_nan, size),
+    } | build_gold(spark, lake, default_marts(period, hour_month))

@@ -8,23 +8,21 @@ from __future__ import annotations
 
 import logging
 import re
-from collections import Counter
 from collections.abc import Callable, Collection, Iterable, Sequence
 from concurrent.futures import ThreadPoolExecutor
+from itertools import groupby
 from typing import NamedTuple, TypeVar
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructType
 
 from tripmart.functions.frames import normalize_numerics, union_all
 
 log = logging.getLogger(__name__)
 
 # Fixed format of landing names; the prefix is free.
-_MONTH = re.compile(r"(?:^|_)(\d{4})-(\d{2})\.parquet$")
-
-OWN_SCAN_BYTES = 64 * 1024 * 1024
+_MONTH = re.compile(r"(?:^|_)(\d{4})-(0[1-9]|1[0-2])\.parquet$")
 
 T = TypeVar("T")
 R = TypeVar("R")
@@ -77,14 +75,30 @@ def landing_entries(spark: SparkSession, landing_path: str) -> list[Entry]:
     )
 
 
-def entry_schemas(spark: SparkSession, entries: Sequence[Entry]) -> list[StructType]:
-    """Schema of each entry, its part files merged.
+def merged_schemas(
+    spark: SparkSession, entries: Sequence[Entry]
+) -> list[tuple[StructType, list[Entry]]]:
+    """Runs of entries whose schemas merge, each with the merged schema.
 
-    Executors read the footers, in one short job per entry.
+    Executors read the footers. The entries of a year are tried in one job, and halved
+    where types differ: jobs grow with the years and the changes, not with the entries.
     """
-    return _at_once(
-        lambda entry: spark.read.option("mergeSchema", True).parquet(entry.path).schema, entries
-    )
+    years = [list(group) for _, group in groupby(sorted(entries), key=lambda e: e.year)]
+    runs = _at_once(lambda year: _merged_run(spark, year), years)
+    return [run for year in runs for run in year]
+
+
+def _merged_run(
+    spark: SparkSession, entries: list[Entry]
+) -> list[tuple[StructType, list[Entry]]]:
+    try:
+        scan = spark.read.option("mergeSchema", True).parquet(*(e.path for e in entries))
+        return [(scan.schema, entries)]
+    except Exception as error:
+        if len(entries) == 1 or "CANNOT_MERGE_SCHEMAS" not in str(error):
+            raise
+    half = len(entries) // 2
+    return _merged_run(spark, entries[:half]) + _merged_run(spark, entries[half:])
 
 
 def tag_source(df: DataFrame, entries: Sequence[Entry]) -> DataFrame:
@@ -119,27 +133,28 @@ def tag_source(df: DataFrame, entries: Sequence[Entry]) -> DataFrame:
 def read_landing(
     spark: SparkSession,
     landing_path: str,
-    own_scan_bytes: int = OWN_SCAN_BYTES,
     keep: Collection[str] = (),
+    entries: Sequence[Entry] | None = None,
 ) -> DataFrame:
-    """All landing rows with uniform numeric types, but for ``keep``, and their origin.
+    """All landing rows with uniform types and their origin.
 
-    Months of ``own_scan_bytes`` or more get a scan of their own, where year and month
-    are literals: taking them from the path of every row can cost more than reading the
-    row. Smaller months share one scan per schema, since each scan costs planning time.
-    The plan grows with the calendar at most, and never with the number of files.
+    Numbers become double, but for the columns in ``keep``. A column that is text in any
+    month is text in all. Entries with the same schema share a scan, so the plan grows with
+    the number of schemas, and neither with the files nor with the calendar.
     """
-    entries = landing_entries(spark, landing_path)
-    sizes = Counter()
-    for entry in entries:
-        sizes[entry.period] += entry.size
-    scans: dict[tuple, tuple[StructType, list[Entry]]] = {}
-    for entry, schema in zip(entries, entry_schemas(spark, entries), strict=True):
-        own = entry.period if sizes[entry.period] >= own_scan_bytes else None
-        scans.setdefault((own, schema.json()), (schema, []))[1].append(entry)
+    entries = landing_entries(spark, landing_path) if entries is None else entries
+    scans: dict[str, tuple[StructType, list[Entry]]] = {}
+    for schema, run in merged_schemas(spark, entries):
+        scans.setdefault(schema.json(), (schema, []))[1].extend(run)
     log.info("%d landing entries in %d scans", len(entries), len(scans))
+    fields = [f for schema, _ in scans.values() for f in schema.fields]
+    unknown = {c.lower() for c in keep} - {f.name.lower() for f in fields}
+    if unknown:
+        raise ValueError(f"no landing file has the columns {sorted(unknown)}")
+    text = {f.name.lower() for f in fields if isinstance(f.dataType, StringType)}
+    other = {f.name.lower() for f in fields if not isinstance(f.dataType, StringType)}
     frames = []
     for schema, files in scans.values():
         scan = spark.read.schema(schema).parquet(*(e.path for e in files))
-        frames.append(tag_source(normalize_numerics(scan, keep), files))
+        frames.append(tag_source(normalize_numerics(scan, keep, text & other), files))
     return union_all(frames)

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tripmart.config import BRONZE_PARTITIONS, SILVER_PARTITIONS, applied
+from tripmart.functions.columns import named
 
 log = logging.getLogger(__name__)
 
@@ -18,9 +19,9 @@ def read_table(spark: SparkSession, name: str) -> DataFrame:
     return spark.table(name)
 
 
-def preview(df: DataFrame, rows: int = 10) -> DataFrame:
-    """Any ``rows`` rows, for a look at the data."""
-    return df.limit(rows)
+def preview(df: DataFrame, rows: int = 10, order_by: Sequence[str] = ()) -> DataFrame:
+    """``rows`` rows for a look at the data: any, or the first in an order."""
+    return (df.orderBy(*map(named, order_by)) if order_by else df).limit(rows)
 
 
 def ensure_schema(spark: SparkSession, schema: str, location: str | None = None) -> None:
@@ -68,18 +69,15 @@ def write_bronze(df: DataFrame, name: str, table_format: str = "parquet") -> int
     return overwrite_table(df, name, BRONZE_PARTITIONS, table_format)
 
 
-def write_silver(
-    df: DataFrame, name: str, table_format: str = "parquet", gather: bool = True
-) -> int:
+def write_silver(df: DataFrame, name: str, table_format: str = "parquet") -> int:
     """Write trusted rows by event month.
 
-    Removing duplicates spreads every month over all tasks. Gathering brings each month
-    together into few files, and splits a month that is too large for one. It shuffles
-    all rows once more, which is worth it as long as the tasks hold little of each month.
+    Removing duplicates spreads every month over all tasks. The rebalance brings each month
+    together into few files, and splits a month that is too large for one.
     """
-    if gather:
-        df = df.hint("rebalance", *SILVER_PARTITIONS)
-    return overwrite_table(df, name, SILVER_PARTITIONS, table_format)
+    return overwrite_table(
+        df.hint("rebalance", *SILVER_PARTITIONS), name, SILVER_PARTITIONS, table_format
+    )
 
 
 def write_gold(df: DataFrame, name: str, table_format: str = "parquet") -> int:
