@@ -1,0 +1,118 @@
+import io
+import struct
+import zlib
+
+import pytest
+import zstandard
+from corpus_cases import document_rows, documents
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from tokenizers import Tokenizer
+
+from tripmart.llm import token_files as files
+
+PATH = files.tokenizer_path()
+TOKENIZER = Tokenizer.from_file(PATH)
+
+
+def ids_of(text):
+    return TOKENIZER.encode(text or "", add_special_tokens=False).ids
+
+
+def packed(ids):
+    return struct.pack(f"<{len(ids)}I", *ids)
+
+
+@settings(max_examples=400, deadline=None)
+@given(
+    st.lists(
+        st.one_of(
+            st.sampled_from([
+                " ", "  ", "\n", "\t", "\x0b", "\x1c", "\x1f", "\x85", "\xa0", " ", " ",
+                "　", "​", "word", "Words", "don't", "'s", "it's.", "a,b", "naïve", "日本",
+                "🙂", "12", "1,000.5", "...", "$x", "é", "é", "ß", "﻿", "<|endoftext|>",
+                "<|endof", "x.", "y!?", "''", "\x00",
+            ]),
+            st.text(max_size=4),
+        ),
+        max_size=8,
+    ).map("".join)
+)
+def test_encoder_equals_the_tokenizer(text):
+    text = text.encode("utf-8", "ignore").decode()
+    assert files.encoder(PATH)(text) == packed(ids_of(text))
+
+
+def test_encoder_forgets_and_stays_right():
+    encode = files.Encoder(PATH, remembered=3)
+    for text in ("one two three four five six", "six five, four. one two", "three! one") * 2:
+        assert encode(text) == packed(ids_of(text))
+    assert len(encode.new) <= 3 and len(encode.old) <= 3
+
+
+def test_documents(spark):
+    rows = document_rows()
+    manifest = files.write_token_files(documents(spark, rows)).cache()
+    found = files.read_token_files(spark, manifest).collect()
+    expected = sorted(
+        (i is not None, i or 0, packed([*ids_of(t), files.END_ID])) for i, t, *_ in rows
+    )
+    found.sort(key=lambda r: r.start)
+    start = 0
+    order = [r.doc_id for r in found]
+    assert order == [i if known else None for known, i, _ in expected]
+    for r in found:
+        assert r.start == start
+        start += r.n_tokens
+    contents = sorted((i is not None, i or 0, len(c) // 4, zlib.crc32(c)) for i, c in (
+        (i if known else None, c) for known, i, c in expected
+    ))
+    assert sorted((r.doc_id is not None, r.doc_id or 0, r.n_tokens, r.ids_crc32) for r in found) == contents
+    # A reader takes single documents, and any zstandard reader the whole file.
+    read = {}
+    whole = b""
+    for row in manifest.orderBy("part").collect():
+        read |= dict(files.read_documents(row.path, [27, 24]))
+        with files.file_system(row.path)[0].open_input_stream(
+                files.file_system(row.path)[1], compression=None
+            ) as f:
+            whole += zstandard.ZstdDecompressor().stream_reader(f, read_across_frames=True).read()
+    assert list(read[24]) == [*ids_of("one"), 0]
+    assert list(read[27]) == [*ids_of(dict((i, t) for i, t, *_ in rows)[27]), 0]
+    assert len(whole) == 4 * start
+
+
+def test_no_documents(spark):
+    manifest = files.write_token_files(documents(spark, []))
+    assert files.read_token_files(spark, manifest).collect() == []
+
+
+def written(contents):
+    stream = io.BytesIO()
+    writer = files.FrameWriter(stream)
+    for doc_id, content in contents:
+        writer.add(doc_id, content)
+    writer.finish()
+    return stream.getvalue()
+
+
+def test_frames_are_independent_and_checked():
+    contents = [(5, b"abcd" * 10), (None, b""), (-7, b"wxyz")]
+    data = written(contents)
+    frames = files.FrameReader(io.BytesIO(data), len(data))
+    assert frames.doc_ids == [5, None, -7]
+    assert [frames.content(i) for i in (2, 0, 1)] == [b"wxyz", b"abcd" * 10, b""]
+    # The seek table: magic, size, entries, footer.
+    n = len(contents) + 1
+    magic, size = struct.unpack("<II", data[-9 - 12 * n - 8 : -9 - 12 * n])
+    assert (magic, size) == (0x184D2A5E, 12 * n + 9)
+    assert struct.unpack("<IBI", data[-9:]) == (n, 0x80, 0x8F92EAB1)
+    other = bytearray(data)
+    place = data.rindex(b"wxyz")
+    other[place] ^= 1
+    damaged = files.FrameReader(io.BytesIO(bytes(other)), len(other))
+    assert damaged.content(0) == b"abcd" * 10  # other documents are still readable
+    with pytest.raises(ValueError, match="checksum"):
+        damaged.content(2)
+    with pytest.raises(ValueError, match="no seek table"):
+        files.FrameReader(io.BytesIO(b"x" * 50), 50)

@@ -1,0 +1,96 @@
+import hashlib
+import re
+
+import pytest
+from corpus_cases import PASSAGE, document_rows, documents, prose
+
+from tripmart.llm import winnowing
+
+ITEMS = [
+    (1, PASSAGE),
+    (2, " ".join(PASSAGE.split()[5:30])),
+    (20, "Two, WORDS"),
+    (3, "one"),
+    (4, None),
+    (5, "?!"),
+    (None, prose(101, 12)),
+    (7, prose(102, 62)),
+    (7, prose(102, 62)),
+    (8, "naïve café x 日本語"),
+    (9, prose(103, 7)),
+    (10, prose(2, 3000, 5000)),
+    (11, "same same same same same same same same same same same"),
+    (12, "nothing of this is in any of the documents here at all"),
+    (13, prose(104, 10)),
+]
+
+
+def folded(text):
+    text = re.sub("[A-Z]", lambda m: m[0].lower(), text or "")
+    return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", text)
+
+
+def brute(rows, items):
+    wanted = {}
+    for item_id, text in items:
+        words = folded(text)
+        n = min(10, len(words))
+        for s in range(len(words) - n + 1):
+            if words:
+                wanted.setdefault(tuple(words[s : s + n]), set()).add(item_id)
+    lengths = {len(w) for w in wanted}
+    found = []
+    for doc_id, text, *_ in rows:
+        words, hit, ids = folded(text), set(), set()
+        for n in lengths:
+            for s in range(len(words) - n + 1):
+                if items_here := wanted.get(tuple(words[s : s + n])):
+                    hit.update(range(s, s + n))
+                    ids |= items_here
+        names = sorted("" if i is None else str(i) for i in ids)
+        digest = hashlib.sha256(",".join(names).encode()).hexdigest()
+        found.append((doc_id, len(words), len(hit), len(ids), digest, bool(hit)))
+    return sorted(found, key=repr)
+
+
+def benchmark(spark, items):
+    frame = spark.createDataFrame(items, "item_id long, text string")
+    return frame.selectExpr("*", "'x' as words", "'x' as hash", "1 as length")
+
+
+def test_documents(spark):
+    rows = document_rows()
+    found = winnowing.contaminated_documents(documents(spark, rows), benchmark(spark, ITEMS))
+    assert found.columns == ["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated"]
+    assert sorted(map(tuple, found.collect()), key=repr) == brute(rows, ITEMS)
+
+
+def test_clean_documents_stay_whole(spark):
+    items = [i for i in ITEMS if i[0] in (1, 11)]
+    rows = document_rows()
+    frame = documents(spark, rows)
+    kept = winnowing.clean_documents(frame, benchmark(spark, items))
+    assert kept.columns == frame.columns
+    clean = [d for d, *_, contaminated in brute(rows, items) if not contaminated]
+    assert sorted((r.doc_id for r in kept.collect()), key=repr) == sorted(clean, key=repr)
+
+
+@pytest.mark.parametrize(("rows", "items"), [([], ITEMS), (document_rows()[:5], []), ([], [])])
+def test_empty_tables(spark, rows, items):
+    found = winnowing.contaminated_documents(documents(spark, rows), benchmark(spark, items))
+    assert sorted(map(tuple, found.collect()), key=repr) == brute(rows, items)
+
+
+def test_minima_and_grams(spark):
+    frame = spark.createDataFrame([([str(i) for i in range(20)],)], "words array<string>")
+    grams = winnowing.with_grams(frame, 5).collect()[0]
+    for n in range(1, 6):  # equal runs have equal hashes, others do not
+        assert len(set(grams[f"g{n}"])) == 20
+    kept = winnowing.with_minima(winnowing.with_grams(frame, 5), "g5", 6).collect()[0].g5
+    assert kept == [min(grams.g5[i : i + 6]) for i in range(20)]
+
+
+def test_no_python_in_the_plan(spark):
+    frame = winnowing.contaminated_documents(documents(spark), benchmark(spark, ITEMS))
+    plan = frame._jdf.queryExecution().executedPlan().toString()
+    assert not re.search("Python|Pandas|Arrow", plan)

@@ -51,6 +51,8 @@ SPREADS = 8
 LEAST_SPREAD = {"word_length": 0.15, "symbols": 0.02, "dup_lines": 0.05, "repeats": 0.05}
 TWO_SIDED = ("word_length",)
 
+LARGEST_KEY = 1 << 62
+
 _STATS = pa.schema(
     [
         ("doc_id", pa.int64()),
@@ -82,7 +84,7 @@ def repeated_words(words: list[str], window: int = WINDOW) -> int:
     ids = np.fromiter((known.setdefault(w, len(known)) for w in words), np.int64, len(words))
     keys = ids[:places]
     for ahead in range(1, window):
-        if int(keys.max()) >= (1 << 62) // len(known):  # number the runs so far anew
+        if int(keys.max()) >= LARGEST_KEY // len(known):  # number the runs so far anew
             keys = np.unique(keys, return_inverse=True)[1].astype(np.int64)
         keys = keys * len(known) + ids[ahead : ahead + places]
     _, which, counts = np.unique(keys, return_inverse=True, return_counts=True)
