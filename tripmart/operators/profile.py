@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tripmart.functions.columns import bin_edge, named
 from tripmart.functions.frames import union_all
 
-# The statistics of a summary, in order.
+# The statistics of a summary, in order, and the columns of the top trips.
 STATISTICS = ("count", "mean", "stddev", "min", "25%", "50%", "75%", "max")
 QUARTILES = {0.25: "25%", 0.5: "50%", 0.75: "75%"}
 SUMMARY_COLUMNS = ("passenger_count", "total_amount")
@@ -36,30 +36,25 @@ def summary_text(df: DataFrame, columns: Sequence[str] = SUMMARY_COLUMNS) -> Dat
     return df.select(*columns).summary(*STATISTICS)
 
 
-def quantiles(
-    df: DataFrame, column: str, probabilities: Sequence[float], ranges: int = 1024
-) -> DataFrame:
-    """Exact quantiles: the smallest value that at least that share of rows reaches.
-
-    Works on the distinct values and their counts, so a frequent value is one row. They
-    are cut into ranges at a fixed sample of themselves; the totals of the ranges tell
-    which one holds each quantile, and only that range is sorted. NULL is left out.
-    """
-    value, rank, running = F.col("value"), F.col("rank"), F.col("running")
-    counts = (
-        df.select(named(column).alias("value"))
-        .filter(value.isNotNull())
-        .groupBy("value")
+def value_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """How often each value occurs: column, value, n. NULL is left out."""
+    entries = F.array(*(F.struct(F.lit(c).alias("column"), named(c).alias("value")) for c in columns))
+    return (
+        df.select(F.inline(entries))
+        .filter(F.col("value").isNotNull())
+        .groupBy("column", "value")
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    # The rows with the smallest hashes: evenly spread, and the same on every evaluation.
-    # Hashing the count as well lets all branches share one exchange of counts.
-    cuts = (
-        counts.orderBy(F.xxhash64("value", "n"), "value")
-        .limit(ranges - 1)
-        .agg(F.sort_array(F.collect_list("value")))
-        .scalar()
-    )
+
+
+def _ranged(rows: DataFrame, group: Sequence[str], ranges: int) -> DataFrame:
+    """Add ``bucket``: the range of a value, among so many of about the same number of
+    distinct values in its group."""
+    value = F.col("value")
+    floating = rows.schema["value"].dataType.typeName() in ("double", "float")
+    numbers = F.when(~F.isnan(value), value) if floating else value
+    shares = [i / ranges for i in range(1, ranges)]
+    cuts = rows.groupBy(*group).agg(F.percentile_approx(numbers, shares, 20 * ranges).alias("cuts"))
     # How many cuts a value has reached, by halving steps. Past the last cut, get() is
     # NULL and the step is not taken.
     steps = [1 << bit for bit in reversed(range((ranges - 1).bit_length()))]
@@ -68,64 +63,113 @@ def quantiles(
         F.lit(0),
         lambda at, step: F.when(F.get("cuts", at + step - 1) <= value, at + step).otherwise(at),
     )
-    # Never NULL, or the join would test it on every input row, before the grouping.
     bucket = F.coalesce(reached, F.lit(0)).alias("bucket")
-    ranged = counts.withColumn("cuts", cuts).select("value", "n", bucket)
-    # At most one row per bucket from here to the join.
-    rows, upto = F.col("rows"), F.col("upto")
-    totals = (
-        ranged.groupBy("bucket")
-        .agg(F.sum("n").alias("rows"))
-        .withColumn("upto", F.sum("rows").over(Window.orderBy("bucket")))
-        .withColumn("total", F.sum("rows").over(Window.partitionBy()))
-    )
+    # One row of cuts per group, of which there are columns times probabilities at most.
+    return rows.join(F.broadcast(cuts), list(group)).select(*rows.columns, bucket)
+
+
+def _upto(totals: DataFrame, group: Sequence[str]) -> DataFrame:
+    """Add the running sum of the rows of the buckets, of which there are few."""
+    return totals.withColumn("upto", F.sum("rows").over(Window.partitionBy(*group).orderBy("bucket")))
+
+
+def value_quantiles(counts: DataFrame, probabilities: Sequence[float], ranges: int = 256) -> DataFrame:
+    """Exact quantiles of counted values: column, probability, value. A quantile is the
+    smallest value that at least that share of rows reaches.
+
+    The totals of ranges of values tell which one holds each quantile; that one is cut into
+    ranges again, and only one of these is sorted. So what is sorted is the distinct values
+    divided by the square of ``ranges``.
+    """
+    ranges = max(ranges, 2)
+    rank, upto, rows = F.col("rank"), F.col("upto"), F.col("rows")
+    held = (rank <= upto) & (rank > upto - rows)
+    rest = (rank - (upto - rows)).alias("rank")
+    first = _ranged(counts, ["column"], ranges)
+    totals = first.groupBy("column", "bucket").agg(F.sum("n").alias("rows"))
+    total = F.sum("rows").over(Window.partitionBy("column"))
     wanted = (
-        totals.withColumn("probability", F.explode(F.array(*map(F.lit, probabilities))))
+        _upto(totals, ["column"])
+        .withColumn("total", total)
+        .withColumn("probability", F.explode(F.array(*map(F.lit, probabilities))))
         .withColumn("rank", F.greatest(F.ceil(F.col("probability") * F.col("total")), F.lit(1)))
-        .filter((rank <= upto) & (rank > upto - rows))
-        .select("bucket", "probability", (rank - (upto - rows)).alias("rank"))
+        .filter(held)
+        .select("column", "probability", "bucket", rest)
     )
-    in_order = Window.partitionBy("probability").orderBy("value")
+    near = first.join(F.broadcast(wanted), ["column", "bucket"]).drop("bucket")
+    group = ["column", "probability"]
+    second = _ranged(near, group, ranges)
+    totals = second.groupBy(*group, "rank", "bucket").agg(F.sum("n").alias("rows"))
+    wanted = _upto(totals, group).filter(held).select(*group, "bucket", rest)
+    running = F.sum("n").over(Window.partitionBy(*group).orderBy("value"))
     return (
-        ranged.join(F.broadcast(wanted), "bucket")
-        .withColumn("running", F.sum("n").over(in_order))
-        .filter((running >= rank) & (running - F.col("n") < rank))
-        .select("probability", "value")
+        second.drop("rank")
+        .join(F.broadcast(wanted), [*group, "bucket"])
+        .withColumn("running", running)
+        .filter((F.col("running") >= rank) & (F.col("running") - F.col("n") < rank))
+        .select(*group, "value")
     )
 
 
+def quantiles(
+    df: DataFrame, column: str, probabilities: Sequence[float], ranges: int = 256
+) -> DataFrame:
+    """Exact quantiles of one column: probability, value."""
+    found = value_quantiles(value_counts(df, [column]), probabilities, ranges)
+    return found.select("probability", "value")
+
+
 def summary(df: DataFrame, columns: Sequence[str] = SUMMARY_COLUMNS) -> DataFrame:
-    """Summary as numbers with exact quartiles, one row per statistic."""
+    """Summary as numbers with exact quartiles, one row per statistic.
 
-    def row(statistic: Column, values: dict[str, Column]) -> Column:
-        return F.struct(
-            statistic.alias("summary"),
-            *(values.get(c, F.lit(None)).cast("double").alias(c) for c in columns),
+    All statistics follow from the counts of the values, so the input is read once.
+    """
+    counts = value_counts(df.select(*(named(c).cast("double").alias(c) for c in columns)), columns)
+    n, value = F.col("n"), F.col("value")
+    moments = counts.groupBy("column").agg(
+        F.sum("n").alias("rows"),
+        (F.sum(value * n) / F.sum("n")).alias("mean"),
+        F.min("value").alias("min"),
+        F.max("value").alias("max"),
+    )
+    # Around the mean, so that large values do not swallow the differences.
+    squares = F.sum(n * (value - F.col("mean")) * (value - F.col("mean")))
+    moments = (
+        counts.join(F.broadcast(moments), "column")  # one row per column
+        .groupBy("column", "rows", "mean", "min", "max")
+        .agg(squares.alias("squares"))
+        .withColumn("stddev", F.sqrt(F.col("squares") / F.nullif(F.col("rows") - 1, F.lit(0))))
+    )
+    rows = F.array(
+        *(
+            F.struct(F.lit(name).alias("summary"), F.col(source).cast("double").alias("value"))
+            for name, source in (
+                ("count", "rows"), ("mean", "mean"), ("stddev", "stddev"), ("min", "min"),
+                ("max", "max"),
+            )
         )
-
-    moments = {
-        "count": F.count,
-        "mean": F.avg,
-        "stddev": F.stddev_samp,
-        "min": F.min,
-        "max": F.max,
-    }
-    rows = [
-        row(F.lit(name), {c: moments[name](named(c)) for c in columns if name in moments})
-        for name in STATISTICS
-    ]
-    parts = [df.agg(F.array(*rows).alias("rows")).select(F.inline("rows"))]
+    )
     label = F.create_map(*(F.lit(x) for p, name in QUARTILES.items() for x in (p, name)))
-    for column in columns:
-        quartile = row(label[F.col("probability")], {column: F.col("value")})
-        found = quantiles(df, column, list(QUARTILES))
-        parts.append(found.select(quartile.alias("row")).select("row.*"))
-    position = F.array_position(F.array(*map(F.lit, STATISTICS)), F.col("summary"))
+    quartiles = value_quantiles(counts, list(QUARTILES))
+    found = union_all(
+        [
+            moments.select("column", F.inline(rows)),
+            quartiles.select("column", label[F.col("probability")].alias("summary"), "value"),
+            df.sparkSession.range(1).select(  # every statistic has a row
+                F.lit(None).cast("string").alias("column"),
+                F.explode(F.array(*map(F.lit, STATISTICS))).alias("summary"),
+                F.lit(None).cast("double").alias("value"),
+            ),
+        ]
+    )
+    place = F.array_position(F.array(*map(F.lit, STATISTICS)), F.col("summary"))
+    values = {c: F.max(F.when(F.col("column") == c, F.col("value"))) for c in columns}
+    none = F.when(F.col("summary") == "count", 0.0)
     return (
-        union_all(parts)
-        .groupBy("summary")
-        .agg(*(F.max(named(c)).alias(c) for c in columns))
-        .orderBy(position)
+        found.groupBy("summary")
+        .agg(*(v.alias(c) for c, v in values.items()))
+        .select("summary", *(F.coalesce(named(c), none).alias(c) for c in columns))
+        .orderBy(place)
     )
 
 
