@@ -34,9 +34,10 @@ from pyspark.sql import functions as F
 from tripmart.functions.frames import union_all
 from tripmart.llm.common import as_rows, stored
 
-# Fixed values of the contract: what a word of folded text is, and how many make a window.
-WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-WORD_ANY_CASE = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+# Fixed values of the contract: what lies between the words of folded text (and of text of
+# any case), and how many words make a window.
+BETWEEN = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+BETWEEN_ANY_CASE = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 WINDOW = 10
 
 GRAM = 5
@@ -47,7 +48,12 @@ _ALL = 1 << 30
 
 def folded_words(text: Column) -> Column:
     folded = F.translate(F.coalesce(text, F.lit("")), _UPPER, _LOWER)
-    return F.regexp_extract_all(folded, F.lit(WORD), F.lit(0))
+    return F.array_remove(F.split(folded, BETWEEN), "")
+
+
+def word_count(text: Column) -> Column:
+    words = F.split(F.coalesce(text, F.lit("")), BETWEEN_ANY_CASE)
+    return F.size(F.array_remove(words, "")).cast("long")
 
 
 def text_key(text: Column) -> Column:
@@ -63,7 +69,9 @@ def with_grams(df: DataFrame, length: int) -> DataFrame:
     """Add hashes ``g1`` to ``g<length>``: of the runs of so many words at each position.
 
     Needs ``words``. Runs that would pass the end are hashed as far as they go. Each step
-    is a column of its own, so that none is evaluated twice.
+    is a column of its own, so that none is evaluated twice. For the same reason what comes
+    of them is unfolded by outer functions: the others first test whether there is anything
+    to unfold, and the planner moves that test, with all steps in it, to the scan.
     """
     df = df.withColumn("g1", F.transform("words", lambda w: F.xxhash64(w)))
     for n in range(2, length + 1):
@@ -160,7 +168,7 @@ def found_windows(texts: DataFrame, benchmark: DataFrame) -> DataFrame:
     )
     hit_keys = (
         kept_hashes(texts.select("key", folded_words(F.col("text")).alias("words")), short)
-        .select("key", F.explode("hashes").alias("hash"))
+        .select("key", F.explode_outer("hashes").alias("hash"))
         .join(hashes, "hash", "left_semi")
         .select("key")
         .distinct()
@@ -178,7 +186,7 @@ def found_windows(texts: DataFrame, benchmark: DataFrame) -> DataFrame:
     for gram in sorted({g for _, g in shapes}):
         at = (
             with_grams(suspects, gram)
-            .select("key", F.posexplode(f"g{gram}").alias("at", "hash"))
+            .select("key", F.posexplode_outer(f"g{gram}").alias("at", "hash"))
             .join(hashes, "hash", "left_semi")
             .groupBy("key")
             .agg(F.collect_list("at").alias("at"))
@@ -189,8 +197,11 @@ def found_windows(texts: DataFrame, benchmark: DataFrame) -> DataFrame:
                 "starts", _starts(F.col("at"), n_words, length, gram)
             )
             runs = F.arrays_zip(F.col("starts").alias("start"), _runs(F.col("starts"), length).alias("window"))
-            found.append(starts.select("key", F.inline(runs).alias("start", "window")))
-            found[-1] = found[-1].withColumn("length", F.lit(length))
+            found.append(
+                starts.select("key", F.inline_outer(runs).alias("start", "window")).withColumn(
+                    "length", F.lit(length)
+                )
+            )
     return union_all(found).join(windows, ["window", "length"], "left_semi")
 
 
@@ -233,10 +244,8 @@ def contamination(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
 def contaminated_documents(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     """One row per document: doc_id, n_words, n_hit, n_items, items_sha256, contaminated."""
     found = stored(contamination(documents, benchmark), "contamination")
-    n_words = F.regexp_count(F.coalesce("text", F.lit("")), F.lit(WORD_ANY_CASE))
-    keyed = documents.select(
-        "doc_id", text_key(F.col("text")).alias("key"), n_words.cast("long").alias("n_words")
-    )
+    text = F.col("text")
+    keyed = documents.select("doc_id", text_key(text).alias("key"), word_count(text).alias("n_words"))
     none = F.sha2(F.lit(""), 256)
     return keyed.join(found, "key", "left").select(
         "doc_id",
