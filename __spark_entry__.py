@@ -90,10 +90,13 @@ def _lake(spark: SparkSession, sf_dir: str, adapter: Adapter) -> Lake:
     return _lakes[key]
 
 
-def _fresh_table(spark: SparkSession, name: str) -> str:
-    lake = _fresh_lake(spark, "")
-    tables.ensure_schema(spark, lake.gold_schema, lake.schema_location(lake.gold_schema))
-    return lake.gold_table(name)
+def _own_table(spark: SparkSession, name: str) -> str:
+    """A table of one query, which replaces it on every run; one schema per session."""
+    key = (spark.sparkContext.applicationId, "", "")
+    if key not in _lakes:
+        _lakes[key] = lake = _fresh_lake(spark, "")
+        tables.ensure_schema(spark, lake.gold_schema, lake.schema_location(lake.gold_schema))
+    return _lakes[key].gold_table(name)
 
 
 # -- Outputs ----------------------------------------------------------------------
@@ -298,27 +301,27 @@ def _bronze(spark, sf_dir):
 
 
 def _bronze_roundtrip(spark, sf_dir):
-    name = _fresh_table(spark, "bronze_trips")
+    name = _own_table(spark, "bronze_trips")
     landed = read_landing(spark, _landing(spark, sf_dir, EVENTS))
     tables.write_bronze(stamp_ingestion(landed), name)
     return _entry_name(tables.read_table(spark, name)).drop("_ingested_at")
 
 
 def _silver_roundtrip(spark, sf_dir):
-    name = _fresh_table(spark, "silver_trips")
+    name = _own_table(spark, "silver_trips")
     tables.write_silver(_silver_events(spark, sf_dir), name)
     return tables.read_table(spark, name)
 
 
 def _gold_roundtrip(spark, sf_dir):
-    name = _fresh_table(spark, "gold_hours")
+    name = _own_table(spark, "gold_hours")
     tables.write_gold(_gold_hour(spark, sf_dir), name)
     return tables.read_table(spark, name)
 
 
 def _partition_refresh(spark, sf_dir):
     """March is recomputed with doubled amounts; the other months stay as they are."""
-    name = _fresh_table(spark, "refreshed_trips")
+    name = _own_table(spark, "refreshed_trips")
     silver = _silver(spark, sf_dir, LINEITEM)
     tables.write_silver(silver, name)
     march = silver.filter("trip_month = 3").withColumn("total_amount", F.col("total_amount") * 2)

@@ -7,11 +7,11 @@ RAW_SCHEMA = (
     "tpep_pickup_datetime timestamp, tpep_dropoff_datetime timestamp"
 )
 BASE = {
-    "VendorID": 1,
-    "passenger_count": 2.0,
-    "total_amount": 15.5,
-    "tpep_pickup_datetime": datetime(2023, 5, 10, 8, 0),
-    "tpep_dropoff_datetime": datetime(2023, 5, 10, 8, 20),
+    "VendorID": 6,
+    "passenger_count": 3.0,
+    "total_amount": 31.75,
+    "tpep_pickup_datetime": datetime(2023, 2, 21, 17, 5),
+    "tpep_dropoff_datetime": datetime(2023, 2, 21, 17, 52),
 }
 
 

@@ -18,8 +18,8 @@ def silver(spark, *rows):
     )
 
 
-MAY_10H = datetime(2023, 5, 1, 10, 15)
-MAY_10H_LATER = datetime(2023, 5, 1, 10, 45)
+MAY_10H = datetime(2023, 5, 17, 10, 2)
+MAY_10H_LATER = datetime(2023, 5, 29, 10, 59)
 MAY_22H = datetime(2023, 5, 9, 22)
 APRIL_10H = datetime(2023, 4, 1, 10)
 
@@ -29,18 +29,18 @@ def values(df):
 
 
 def test_mean_amount_of_a_month(spark):
-    df = silver(spark, (MAY_10H, 10.0, 1), (MAY_10H_LATER, 20.0, 1))
+    df = silver(spark, (MAY_10H, 7.5, 1), (MAY_10H_LATER, 12.0, 1))
     result = marts.amount_by_month(df)
-    assert values(result) == [(2023, 5, 15.0)]
+    assert values(result) == [(2023, 5, 9.75)]
     assert result.schema.simpleString() == (
         "struct<trip_year:int,trip_month:int,avg_total_amount:double>"
     )
 
 
 def test_mean_passengers_of_an_hour(spark):
-    df = silver(spark, (MAY_10H, 1.0, 2), (MAY_10H_LATER, 1.0, 4))
+    df = silver(spark, (MAY_10H, 1.0, 1), (MAY_10H_LATER, 1.0, 6))
     result = marts.passengers_by_hour(df)
-    assert values(result) == [(10, 3.0)]
+    assert values(result) == [(10, 3.5)]
     assert result.schema.simpleString() == "struct<pickup_hour:int,avg_passenger_count:double>"
 
 
