@@ -24,6 +24,9 @@ def n_words(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
+BATCH_BYTES = 16 * 1024 * 1024
+
+
 def as_rows(df: DataFrame) -> Column:
     """All columns of a frame as one, ``row``, so that none clashes with those to come."""
     return F.struct(*(named(c) for c in df.columns)).alias("row")
@@ -45,17 +48,20 @@ def rows_in_arrow(
 ) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """A ``mapInArrow`` function from one over dictionaries of a task's rows.
 
-    The rows pass one Arrow batch at a time, in either direction.
+    The rows pass one Arrow batch at a time, in either direction. A batch that goes out is
+    full at ``rows`` rows, or at ``BATCH_BYTES`` of texts, however long a single one is.
     """
 
     def batches(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         incoming = (row for batch in found for row in batch_rows(batch))
         pending: list[tuple] = []
+        size = 0
         for row in function(incoming):
             pending.append(row)
-            if len(pending) >= rows:
+            size += sum(len(value) for value in row if isinstance(value, str | bytes))
+            if len(pending) >= rows or size >= BATCH_BYTES:
                 yield as_batch(pending, schema)
-                pending = []
+                pending, size = [], 0
         if pending:
             yield as_batch(pending, schema)
 
