@@ -34,7 +34,11 @@ def connected_components(links: DataFrame) -> DataFrame:
         lowest = F.least("upper", "seen")
         offers = F.array(
             F.struct("node", lowest.alias("offer"), F.col("parent").alias("old")),
-            F.struct(F.col("parent").alias("node"), lowest.alias("offer"), F.lit(None).cast("long").alias("old")),
+            F.struct(
+                F.col("parent").alias("node"),
+                lowest.alias("offer"),
+                F.lit(None).cast("long").alias("old"),
+            ),
         )
         parents = stored(
             raised.join(seen, "node")

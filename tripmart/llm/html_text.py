@@ -20,6 +20,7 @@ import re
 from collections import deque
 from collections.abc import Iterator
 from html.parser import HTMLParser
+from itertools import pairwise
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -223,14 +224,16 @@ def closeness(a: Element, b: Element) -> float:
         return APART
     if a is b or a.parent is b.parent or a is b.parent or b is a.parent:
         return SAME_PARENT
-    grand = (a.parent and a.parent.parent, b.parent and b.parent.parent)
-    if grand[0] is not None and (grand[0] is grand[1] or a.parent is grand[1] or b.parent is grand[0]):
+    above_a, above_b = a.parent and a.parent.parent, b.parent and b.parent.parent
+    if above_a and (above_a is above_b or a.parent is above_b or b.parent is above_a):
         return SAME_GRANDPARENT
     return APART
 
 
 def edges(blocks: list[Block]) -> list[tuple[int, int, float]]:
-    found = [(i, i + 1, closeness(blocks[i].element, blocks[i + 1].element)) for i in range(len(blocks) - 1)]
+    found = [
+        (i, i + 1, closeness(a.element, b.element)) for i, (a, b) in enumerate(pairwise(blocks))
+    ]
     last: dict[int, int] = {}
     for i, block in enumerate(blocks):
         parent = id(block.element.parent)

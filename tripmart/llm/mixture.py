@@ -135,7 +135,9 @@ def pareto_cuts(ranked: DataFrame) -> DataFrame:
     NULL if no row of that bin is in. It is read three times, so it should be stored.
     """
     coarse, fine = _bins()
-    rows = ranked.filter("quota > 0 and size > 0").select("*", coarse.alias("coarse"), fine.alias("fine"))
+    rows = ranked.filter("quota > 0 and size > 0").select(
+        "*", coarse.alias("coarse"), fine.alias("fine")
+    )
     totals = rows.groupBy("source", "quota", "coarse").agg(F.sum("size").alias("words"))
     first = stored(_reached(totals.withColumn("below", F.lit(0)), "coarse", []), "mixture-cut")
     within = rows.join(
@@ -148,7 +150,10 @@ def pareto_cuts(ranked: DataFrame) -> DataFrame:
     second = stored(_reached(totals, "fine", ["coarse"]), "mixture-cut")
     last = rows.join(
         second.select(
-            F.col("source").alias("s"), F.col("coarse").alias("c"), F.col("fine").alias("f"), "below"
+            F.col("source").alias("s"),
+            F.col("coarse").alias("c"),
+            F.col("fine").alias("f"),
+            "below",
         ),
         rows["source"].eqNullSafe(F.col("s"))
         & (F.col("coarse") == F.col("c"))
@@ -217,7 +222,8 @@ def with_copies(documents: DataFrame, plan: DataFrame) -> DataFrame:
         as_rows(documents), F.col("source").cast("string").alias("source"), *_measures()
     )
     rank = pareto_rank(F.col("u"), F.col("plan.inclusion"))
-    placed = measured.join(plan, F.col("source").eqNullSafe(F.col("named"))).withColumn("rank", rank)
+    same = F.col("source").eqNullSafe(F.col("named"))
+    placed = measured.join(plan, same).withColumn("rank", rank)
     coarse, fine = _bins()
     place, last = F.struct(coarse, fine), F.struct("plan.coarse", "plan.fine")
     sampled = (place < last) | ((place == last) & (F.struct("rank", "tie") <= F.col("plan.cut")))

@@ -214,13 +214,15 @@ def fences(stats: DataFrame) -> DataFrame:
         sketch_quantiles(own, ["lang", "source"]),
         sketch_quantiles(by_language, ["lang"]).withColumn("source", F.lit(None).cast("string")),
         sketch_quantiles(by_corpus, []).select(
-            "*", F.lit(None).cast("string").alias("lang"), F.lit(None).cast("string").alias("source")
+            "*",
+            F.lit(None).cast("string").alias("lang"),
+            F.lit(None).cast("string").alias("source"),
         ),
     ]
     bounds = []
     for level, found in enumerate(levels):
-        spread = F.create_map(*chain.from_iterable((F.lit(k), F.lit(v)) for k, v in LEAST_SPREAD.items()))
-        least = spread[F.col("measure")]
+        spreads = (F.lit(x) for x in chain.from_iterable(LEAST_SPREAD.items()))
+        least = F.create_map(*spreads)[F.col("measure")]
         upper = F.col("high") + SPREADS * F.greatest(F.col("high") - F.col("middle"), least)
         lower = F.col("low") - SPREADS * F.greatest(F.col("middle") - F.col("low"), least)
         keys = ["lang", "source"][: 2 - level]
@@ -238,7 +240,8 @@ def fences(stats: DataFrame) -> DataFrame:
     def packed(df: DataFrame, label: str, keys: list[str]) -> DataFrame:
         if keys:  # too few values to go by; the corpus has to do with what it has
             df = df.filter(F.col("values") >= LEAST)
-        return df.select(*(F.col(k).alias(f"{label}_{k}") for k in keys), F.struct(*names).alias(label))
+        named = (F.col(k).alias(f"{label}_{k}") for k in keys)
+        return df.select(*named, F.struct(*names).alias(label))
 
     groups = stats.select("lang", "source").distinct()
     by_source, by_lang, by_all = (
@@ -251,7 +254,8 @@ def fences(stats: DataFrame) -> DataFrame:
     return (
         groups.join(
             by_source,
-            F.col("lang").eqNullSafe(F.col("s_lang")) & F.col("source").eqNullSafe(F.col("s_source")),
+            F.col("lang").eqNullSafe(F.col("s_lang"))
+            & F.col("source").eqNullSafe(F.col("s_source")),
             "left",
         )
         .join(by_lang, F.col("lang").eqNullSafe(F.col("l_lang")), "left")
@@ -274,7 +278,8 @@ def judged(documents: DataFrame) -> DataFrame:
     return (
         stats.join(
             bounds,
-            F.col("lang").eqNullSafe(F.col("f_lang")) & F.col("source").eqNullSafe(F.col("f_source")),
+            F.col("lang").eqNullSafe(F.col("f_lang"))
+            & F.col("source").eqNullSafe(F.col("f_source")),
         )
         .withColumn("base_failed", base_failed())
         .withColumn("kept", ~F.col("base_failed") & F.coalesce(inside, F.lit(True)))

@@ -185,11 +185,16 @@ spread as (
   from quartiles),
 fenced as (
   select level, lang, source, max(total) as total,
-         max(case when measure = 'word_length' then high + {quality.SPREADS} * greatest(high - middle, least) end) as u1,
-         max(case when measure = 'word_length' then low - {quality.SPREADS} * greatest(middle - low, least) end) as l1,
-         max(case when measure = 'symbols' then high + {quality.SPREADS} * greatest(high - middle, least) end) as u2,
-         max(case when measure = 'dup_lines' then high + {quality.SPREADS} * greatest(high - middle, least) end) as u3,
-         max(case when measure = 'repeats' then high + {quality.SPREADS} * greatest(high - middle, least) end) as u4
+         max(case when measure = 'word_length'
+             then high + {quality.SPREADS} * greatest(high - middle, least) end) as u1,
+         max(case when measure = 'word_length'
+             then low - {quality.SPREADS} * greatest(middle - low, least) end) as l1,
+         max(case when measure = 'symbols'
+             then high + {quality.SPREADS} * greatest(high - middle, least) end) as u2,
+         max(case when measure = 'dup_lines'
+             then high + {quality.SPREADS} * greatest(high - middle, least) end) as u3,
+         max(case when measure = 'repeats'
+             then high + {quality.SPREADS} * greatest(high - middle, least) end) as u4
   from spread group by level, lang, source),
 chosen as (
   select m.*, case when s.total >= {quality.LEAST} then s when l.total >= {quality.LEAST} then l
@@ -242,7 +247,8 @@ quotas as (
   from targets),
 drawn as (
   select d.doc_id, d.size, d.tie, q.*,
-         (cast(('0x' || substr(d.tie, 1, 13))::bigint as double) + 0.5) / 4503599627370496.0::double as u
+         (cast(('0x' || substr(d.tie, 1, 13))::bigint as double) + 0.5)
+           / 4503599627370496.0::double as u
   from sized d join quotas q on d.source is not distinct from q.source),
 ranked as (
   select *, (u / (1.0::double - u))

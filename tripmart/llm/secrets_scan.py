@@ -125,7 +125,8 @@ def _case_guesses(word: str) -> float:
         return 0.0
     if upper == len(word) or (upper == 1 and word[0].isupper()):
         return math.log10(2)
-    return math.log10(sum(math.comb(len(word), i) for i in range(1, min(upper, len(word) - upper) + 1)) or 2)
+    choices = range(1, min(upper, len(word) - upper) + 1)
+    return math.log10(sum(math.comb(len(word), n) for n in choices))
 
 
 def word_matches(value: str, ranks: dict[str, int]) -> Iterator[tuple[int, int, float]]:
@@ -149,7 +150,8 @@ def word_matches(value: str, ranks: dict[str, int]) -> Iterator[tuple[int, int,
 
 
 _DATE = re.compile(
-    r"(?=((?:\d{1,2}([-/._ ])\d{1,2}\2(?:\d{4}|\d{2}))|(?:\d{4}([-/._ ])\d{1,2}\3\d{1,2})))", re.ASCII
+    r"(?=((?:\d{1,2}([-/._ ])\d{1,2}\2(?:\d{4}|\d{2}))|(?:\d{4}([-/._ ])\d{1,2}\3\d{1,2})))",
+    re.ASCII,
 )
 _PLAIN_DATE = re.compile(r"(?=((?:19|20)\d{2}(?:0[1-9]|1[0-2])(?:0[1-9]|[12]\d|3[01])))", re.ASCII)
 _YEAR = re.compile(r"(?=((?:19|20)\d{2}))", re.ASCII)

@@ -105,7 +105,9 @@ def fingerprints(documents: DataFrame, words: int = SHINGLE) -> DataFrame:
         for row in rows:
             yield row["doc_id"], row["tie"], _signed(fingerprint(row["text"], words))
 
-    texts = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text", _tie().alias("tie"))
+    texts = documents.select(
+        F.col("doc_id").cast("long").alias("doc_id"), "text", _tie().alias("tie")
+    )
     return texts.mapInArrow(rows_in_arrow(prints, _PRINTS), "doc_id long, tie string, print long")
 
 
@@ -302,14 +304,18 @@ def classes(prints: DataFrame) -> DataFrame:
     """One row per fingerprint: print, keeper. The keeper is the first document of all that
     the fingerprint reaches, a struct of (no_id, doc_id, tie); ids come before no ids."""
     first = F.struct(
-        F.col("doc_id").isNull().alias("no_id"), F.col("doc_id").alias("doc_id"), F.col("tie").alias("tie")
+        F.col("doc_id").isNull().alias("no_id"),
+        F.col("doc_id").alias("doc_id"),
+        F.col("tie").alias("tie"),
     )
     distinct = stored(prints.groupBy("print").agg(F.min(first).alias("own")), "simhash-distinct")
     linked = stored(links(distinct), "simhash-links")
     reached = connected_components(linked).withColumnRenamed("node", "print")
     members = stored(distinct.join(reached, "print"), "simhash-members")
-    keepers = members.groupBy("component").agg(F.min("own").alias("keeper"))
-    keepers = members.join(stored(keepers, "simhash-keepers"), "component").select("print", "keeper")
+    first_of = stored(
+        members.groupBy("component").agg(F.min("own").alias("keeper")), "simhash-first"
+    )
+    keepers = members.join(first_of, "component").select("print", "keeper")
     keepers = stored(keepers, "simhash-keepers")
     return distinct.join(keepers, "print", "left").select(
         "print", F.coalesce("keeper", "own").alias("keeper")

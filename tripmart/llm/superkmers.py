@@ -127,7 +127,9 @@ def window_minimisers(words: list[bytes], window: int = WINDOW, gram: int = GRAM
     return mixed
 
 
-def super_kmers(words: list[bytes], window: int = WINDOW, gram: int = GRAM) -> list[tuple[int, int, int]]:
+def super_kmers(
+    words: list[bytes], window: int = WINDOW, gram: int = GRAM
+) -> list[tuple[int, int, int]]:
     """(start, windows, minimiser) of each run of windows with one minimiser."""
     if len(words) < window:
         return []
@@ -315,7 +317,7 @@ def _dealt_windows(packed: DataFrame) -> DataFrame:
         rows.drop("low")
         .join(stored(lowest, "supers-windows"), ["window1", "window2"])
         .filter("lowest < high")
-        .select("name1", "name2", "first", F.col("first").alias("last"), F.col("lowest").alias("low"))
+        .selectExpr("name1", "name2", "first", "first as last", "lowest as low")
         .distinct()
     )
 
@@ -329,7 +331,8 @@ def repeated_spans(documents: DataFrame, window: int = WINDOW) -> DataFrame:
         .filter("low < high")
         .select("minimiser")
     )
-    entries = stored(entries.join(stored(shared, "supers-shared"), "minimiser", "left_semi"), "supers-left")
+    shared = stored(shared, "supers-shared")
+    entries = stored(entries.join(shared, "minimiser", "left_semi"), "supers-left")
     strings = stored(
         entries.groupBy("minimiser", "name1", "name2").agg(
             F.min("doc_id").alias("low"),
@@ -379,7 +382,9 @@ def kept_words(words: list[bytes], spans: list[dict] | None) -> list[bytes]:
     return [words[i] for i in np.flatnonzero(np.cumsum(depth)[:-1] == 0)]
 
 
-def without_repeats(documents: DataFrame, window: int = WINDOW, with_text: bool = True) -> DataFrame:
+def without_repeats(
+    documents: DataFrame, window: int = WINDOW, with_text: bool = True
+) -> DataFrame:
     """One row per document: doc_id, n_words, n_removed, kept (the words left, joined by one
     space; NULL unless asked for), kept_sha256."""
     spans = stored(repeated_spans(documents, window), "supers-removed")
