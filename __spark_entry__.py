@@ -143,7 +143,9 @@ def _bronze_table(spark, sf_dir):
     return tables.read_table(spark, _lake(spark, sf_dir, LINEITEM).bronze_table)
 
 
-_PREVIEWED = ("_source_file", *TRIP_COLUMNS, "airport_fee", "note", "code", "_ref_year", "_ref_month")
+_PREVIEWED = (
+    "_source_file", *TRIP_COLUMNS, "airport_fee", "note", "code", "_ref_year", "_ref_month",
+)
 
 
 def _preview(spark, sf_dir):

@@ -38,7 +38,9 @@ def summary_text(df: DataFrame, columns: Sequence[str] = SUMMARY_COLUMNS) -> Dat
 
 def value_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """How often each value occurs: column, value, n. NULL is left out."""
-    entries = F.array(*(F.struct(F.lit(c).alias("column"), named(c).alias("value")) for c in columns))
+    entries = F.array(
+        *(F.struct(F.lit(c).alias("column"), named(c).alias("value")) for c in columns)
+    )
     return (
         df.select(F.inline(entries))
         .filter(F.col("value").isNotNull())
@@ -70,10 +72,13 @@ def _ranged(rows: DataFrame, group: Sequence[str], ranges: int) -> DataFrame:
 
 def _upto(totals: DataFrame, group: Sequence[str]) -> DataFrame:
     """Add the running sum of the rows of the buckets, of which there are few."""
-    return totals.withColumn("upto", F.sum("rows").over(Window.partitionBy(*group).orderBy("bucket")))
+    in_order = Window.partitionBy(*group).orderBy("bucket")
+    return totals.withColumn("upto", F.sum("rows").over(in_order))
 
 
-def value_quantiles(counts: DataFrame, probabilities: Sequence[float], ranges: int = 256) -> DataFrame:
+def value_quantiles(
+    counts: DataFrame, probabilities: Sequence[float], ranges: int = 256
+) -> DataFrame:
     """Exact quantiles of counted values: column, probability, value. A quantile is the
     smallest value that at least that share of rows reaches.
 
