@@ -54,14 +54,14 @@ TOKENIZER = "byte_bpe_50k.json"
 LEVEL = 3
 
 # Pieces remembered per generation; the older of two generations is dropped.
-REMEMBERED = 300_000
+REMEMBERED = 600_000
 
 _FILES = pa.schema(
     [("path", pa.string()), ("part", pa.int32()), ("documents", pa.int64()), ("ids", pa.int64())]
 )
 _FILES_DDL = "path string, part int, documents long, ids long"
 _READ = pa.schema(
-    [("doc_id", pa.int64()), ("start", pa.int64()), ("n_tokens", pa.int64()), ("ids_crc32", pa.int64())]
+    [(name, pa.int64()) for name in ("doc_id", "start", "n_tokens", "ids_crc32")]
 )
 _READ_DDL = "doc_id long, start long, n_tokens long, ids_crc32 long"
 
@@ -214,7 +214,8 @@ class FrameReader:
         frame = self._at(self.offsets[place], self.packed[place])
         size = self.sizes[place]
         content = self.unpacker.decompress(frame, max_output_size=size)
-        if len(content) != size or xxhash.xxh64_intdigest(content) & 0xFFFFFFFF != self.checksums[place]:
+        checksum = xxhash.xxh64_intdigest(content) & 0xFFFFFFFF
+        if len(content) != size or checksum != self.checksums[place]:
             raise ValueError(f"wrong checksum in frame {place}")
         return content
 
