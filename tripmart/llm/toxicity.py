@@ -123,23 +123,23 @@ def _fit(columns, values, rows, toxic, penalty: float) -> tuple[np.ndarray, floa
 
 def _model(bags: list, toxic: np.ndarray) -> tuple[np.ndarray, float]:
     """Weight of each column's damped count, and the bias."""
-    sizes = [len(columns) for columns, _ in bags]
-    rows = np.repeat(np.arange(len(bags)), sizes)
-    columns = np.concatenate([c for c, _ in bags]).astype(np.int64)
-    counts = np.concatenate([n for _, n in bags])
-    capped = np.minimum(counts, MOST_COUNTED)
-    in_toxic = np.bincount(columns, capped * toxic[rows], COLUMNS)
-    in_other = np.bincount(columns, capped * ~toxic[rows], COLUMNS)
-    ratio = np.log((in_toxic + 1) / (toxic.sum() + 2)) - np.log(
-        (in_other + 1) / ((~toxic).sum() + 2)
+    in_class = np.zeros((2, COLUMNS))
+    seen = np.zeros(COLUMNS, dtype=np.int64)
+    for (columns, counts), one in zip(bags, toxic.astype(int), strict=True):
+        in_class[one, columns] += np.minimum(counts, MOST_COUNTED)
+        seen[columns] += 1
+    ratio = np.log((in_class[1] + 1) / (toxic.sum() + 2)) - np.log(
+        (in_class[0] + 1) / ((~toxic).sum() + 2)
     )
-    seen = np.bincount(columns, minlength=COLUMNS)
     kept = (seen >= LEAST_DOCUMENTS) & (np.abs(ratio) >= LEAST_RATIO)
-    # Kept columns are numbered anew for the fit.
+    # Only kept columns go to the fit, numbered anew.
     number = np.cumsum(kept) - 1
-    use = kept[columns]
-    values = damped(counts[use]) * ratio[columns[use]]
-    fitted, bias = _fit(number[columns[use]], values, rows[use], toxic, PENALTY)
+    used = [kept[columns] for columns, _ in bags]
+    rows = np.repeat(np.arange(len(bags)), [int(u.sum()) for u in used])
+    columns = np.concatenate([c[u] for (c, _), u in zip(bags, used, strict=True)])
+    counts = np.concatenate([n[u] for (_, n), u in zip(bags, used, strict=True)])
+    values = damped(counts.astype(np.float64)) * ratio[columns]
+    fitted, bias = _fit(number[columns], values, rows, toxic, PENALTY)
     weights = np.zeros(COLUMNS)
     weights[np.flatnonzero(kept)[: len(fitted)]] = fitted[: kept.sum()]
     return weights * ratio, bias
@@ -147,7 +147,7 @@ def _model(bags: list, toxic: np.ndarray) -> tuple[np.ndarray, float]:
 
 def _total(weights: np.ndarray, bias: float, entry: tuple) -> float:
     columns, counts = entry
-    return float((weights[columns] * damped(counts)).sum() + bias)
+    return float((weights[columns] * damped(counts.astype(np.float64))).sum() + bias)
 
 
 def learn(texts: list[str | None], labels: list[int]) -> tuple[np.ndarray, float]:
@@ -156,7 +156,9 @@ def learn(texts: list[str | None], labels: list[int]) -> tuple[np.ndarray, float
     toxic = np.array(labels, dtype=bool)
     if toxic.all() or not toxic.any():
         return np.zeros(COLUMNS, dtype=np.float32), -np.inf
-    bags = [bag(text) for text in texts]
+    # Counts are damped, so that they need not be exact beyond the smaller type.
+    most = np.iinfo(np.uint16).max
+    bags = [(c, np.minimum(n, most).astype(np.uint16)) for c, n in map(bag, texts)]
     weights, bias = _model(bags, toxic)
     # Rows come in the order of a hash, so every fold gets its share of both classes.
     place = np.zeros(len(bags), dtype=int)
@@ -177,7 +179,9 @@ def learn(texts: list[str | None], labels: list[int]) -> tuple[np.ndarray, float
     return (weights * scale[0]).astype(np.float32), bias * scale[0] + shift
 
 
-def train(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> tuple[np.ndarray, float]:
+def train(
+    documents: DataFrame, labels: DataFrame, sample: int = SAMPLE
+) -> tuple[np.ndarray, float]:
     """Learn from at most ``sample`` documents of each class, those with the smallest hash."""
     known = (
         labels.filter("doc_id is not null and toxic is not null")
