@@ -83,11 +83,11 @@ def test_empty_tables(spark, rows, items):
 
 def test_minima_and_grams(spark):
     frame = spark.createDataFrame([([str(i) for i in range(20)],)], "words array<string>")
-    grams = winnowing.with_grams(frame, 5).collect()[0]
-    for n in range(1, 6):  # equal runs have equal hashes, others do not
+    grams = winnowing.with_grams(frame, 7).collect()[0]
+    for n in range(1, 8):  # equal runs have equal hashes, others do not
         assert len(set(grams[f"g{n}"])) == 20
-    kept = winnowing.with_minima(winnowing.with_grams(frame, 5), "g5", 6).collect()[0].g5
-    assert kept == [min(grams.g5[i : i + 6]) for i in range(20)]
+    kept = winnowing.with_minima(winnowing.with_grams(frame, 7), "g7", 4).collect()[0].g7
+    assert kept == [min(grams.g7[i : i + 4]) for i in range(20)]
 
 
 def test_no_python_in_the_plan(spark):

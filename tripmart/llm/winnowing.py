@@ -40,7 +40,9 @@ BETWEEN = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 BETWEEN_ANY_CASE = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 WINDOW = 10
 
-GRAM = 5
+# Words of a gram. Longer grams occur on both sides by chance less often, so that fewer texts
+# are looked at twice; shorter ones leave fewer hashes per text.
+GRAM = 7
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _ALL = 1 << 30
@@ -88,7 +90,8 @@ def with_minima(df: DataFrame, column: str, width: int) -> DataFrame:
     reach = 1
     while reach < width:
         step = min(reach, width - reach)
-        df = df.withColumn(column, F.zip_with(column, _ahead(column, step), lambda a, b: F.least(a, b)))
+        least = F.zip_with(column, _ahead(column, step), lambda a, b: F.least(a, b))
+        df = df.withColumn(column, least)
         reach += step
     return df
 
@@ -102,11 +105,18 @@ def kept_hashes(df: DataFrame, short: Sequence[int]) -> DataFrame:
     whole = sorted({min(GRAM, n) for n in short})
     df = df.withColumn("kept", F.col(f"g{GRAM}"))
     df = with_minima(df, "kept", WINDOW - GRAM + 1)
-    every = F.concat("kept", *(F.col(f"g{n}") for n in whole))
+    # Without the runs past the end: the last words alone are common to very many texts.
+    kept = _whole_runs("kept", WINDOW)
+    every = F.concat(kept, *(_whole_runs(f"g{n}", n) for n in whole))
     grams = [f"g{n}" for n in range(1, GRAM + 1)]
     return df.withColumn("hashes", F.array_distinct(every)).drop("words", "kept", *grams)
 
 
+def _whole_runs(column: str, length: int) -> Column:
+    """The hashes of the places from which so many words follow."""
+    return F.slice(F.col(column), F.lit(1), F.greatest(F.size("words") - length + 1, F.lit(0)))
+
+
 def _runs(starts: Column, length: Column | int) -> Column:
     """The words of a run at each start, joined by spaces."""
     return F.transform(starts, lambda s: F.array_join(F.slice("words", s + 1, length), " "))
@@ -174,10 +184,12 @@ def found_windows(texts: DataFrame, benchmark: DataFrame) -> DataFrame:
         .distinct()
     )
     hit_texts = texts.join(stored(hit_keys, "benchmark-hits"), "key", "left_semi")
+    # Grouped by another name for the key: so the planner may split the join where very many
+    # documents share a text, and copies meet in the tasks before they are shuffled again.
     suspects = stored(
-        hit_texts.groupBy("key")
+        hit_texts.groupBy(F.hex("key").alias("name"))
         .agg(F.first("text").alias("text"))
-        .select("key", folded_words(F.col("text")).alias("words")),
+        .select(F.unhex("name").alias("key"), folded_words(F.col("text")).alias("words")),
         "benchmark-suspects",
     )
     shapes = [(WINDOW, GRAM), *((n, min(GRAM, n)) for n in short)]
@@ -196,7 +208,9 @@ def found_windows(texts: DataFrame, benchmark: DataFrame) -> DataFrame:
             starts = marked.filter(n_words >= length).withColumn(
                 "starts", _starts(F.col("at"), n_words, length, gram)
             )
-            runs = F.arrays_zip(F.col("starts").alias("start"), _runs(F.col("starts"), length).alias("window"))
+            runs = F.arrays_zip(
+                F.col("starts").alias("start"), _runs(F.col("starts"), length).alias("window")
+            )
             found.append(
                 starts.select("key", F.inline_outer(runs).alias("start", "window")).withColumn(
                     "length", F.lit(length)
@@ -245,7 +259,9 @@ def contaminated_documents(documents: DataFrame, benchmark: DataFrame) -> DataFr
     """One row per document: doc_id, n_words, n_hit, n_items, items_sha256, contaminated."""
     found = stored(contamination(documents, benchmark), "contamination")
     text = F.col("text")
-    keyed = documents.select("doc_id", text_key(text).alias("key"), word_count(text).alias("n_words"))
+    keyed = documents.select(
+        "doc_id", text_key(text).alias("key"), word_count(text).alias("n_words")
+    )
     none = F.sha2(F.lit(""), 256)
     return keyed.join(found, "key", "left").select(
         "doc_id",
