@@ -107,3 +107,16 @@ def test_guesses_follow_patterns():
     assert set(guesses) - set(weak) == {"x7$Kq!9zPm2", "b7db7aa4a5fcc78305"}
     assert guesses["password"] < guesses["p4ssword"]
     assert scan.min_guesses("k" * 5000, RANKS) < scan.LEAST_GUESSES
+
+
+def test_values_that_a_pattern_covers_in_part_are_judged_whole():
+    """The base pattern ends at the first punctuation of a password."""
+    for name in ("password", "passwd", "secret", "token", "api_key"):
+        text = f'{name} = "Winter2024!x7$Kq9zPm2" and more'
+        at = len(name) + 4
+        base, spans = scan.scan_text(text, RANKS)
+        assert base == [(0, "assign", at + 10)]
+        assert spans == [*base, (at, "guess", at + 21)]
+    for text in ("password = 'welcome!'", "token=x7Kq9zPm2x7 done", "api_key: AKIA" + "Z9" * 9):
+        base, spans = scan.scan_text(text, RANKS)
+        assert base and spans == base  # easy to guess, or whole in a base span

@@ -4,8 +4,9 @@ The base patterns are those of the contract. Beyond them, a value that stands wh
 credential belongs is judged by the guesses it would take: it is cut into words, dates,
 repeats, keyboard walks, sequences and spans of brute force, by dynamic programming over its
 characters, such that the guesses multiply to the smallest number. Values of
-``10 ** LEAST_GUESSES`` guesses or more are secrets. A value that a base span covers in part
-or whole is not reported again.
+``10 ** LEAST_GUESSES`` guesses or more are secrets. A value that lies within one base span is
+not reported again; one that a base span covers in part is judged as a whole, so its span may
+overlap that of the pattern.
 
 Words and their ranks come from the vocabulary of a public tokenizer, whose order follows
 frequency; its file is a parameter.
@@ -279,7 +280,7 @@ def base_spans(text: str) -> list[Span]:
 
 
 def guessed_spans(text: str, base: list[Span], ranks: dict[str, int]) -> list[Span]:
-    """Values in a credential's place that are hard to guess and not in a base span."""
+    """Values in a credential's place that are hard to guess and not within one base span."""
     folded = text.lower()
     if not any(name in folded for name in NAMES):
         return []
@@ -288,7 +289,7 @@ def guessed_spans(text: str, base: list[Span], ranks: dict[str, int]) -> list[Sp
         start, end = m.span(m.lastindex)
         if m.lastindex == 3:
             end = start + len(text[start:end].rstrip(_TRAILING))
-        if end - start < LEAST_VALUE or any(s < end and start < e for s, _, e in base):
+        if end - start < LEAST_VALUE or any(s <= start and end <= e for s, _, e in base):
             continue
         if min_guesses(text[start:end], ranks) >= LEAST_GUESSES:
             found.append((start, "guess", end))
