@@ -43,11 +43,13 @@ KINDS = ("assign", "access", "hex", "guess")
 # Where a credential belongs, and the value there: quoted, or up to white space.
 NAMES = (
     "password", "passwd", "passphrase", "passcode", "pwd", "secret", "token", "credential",
-    "api_key", "api-key", "apikey", "access_key", "access-key", "private_key", "private-key",
-    "bearer",
+    "api_key", "api-key", "apikey", "access_key", "access-key", "accesskey", "private_key",
+    "private-key", "privatekey", "bearer",
 )
+# Of a header, the scheme stands before the value, with or without a name before it.
 CONTEXT = re.compile(
-    rf"(?:{'|'.join(NAMES)})s?(?:[\"']?[ \t]*(?::=|=>|[:=])[ \t]*|[ \t]+(?=[\"']))"
+    rf"(?:(?:{'|'.join(NAMES)})s?(?:[\"']?[ \t]*(?::=|=>|[:=])[ \t]*|[ \t]+(?=[\"']))"
+    r"(?:bearer[ \t]+)?|bearer[ \t]+)"
     r"""(?:"([^"\r\n]+)"|'([^'\r\n]+)'|([^\s"'<>,;]+))""",
     re.ASCII | re.IGNORECASE,
 )
