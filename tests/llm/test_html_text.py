@@ -78,3 +78,34 @@ def test_frames(spark):
     assert (None, None, "", 0) in found and (3, None, "", 0) in found
     assert len(found) == 5
     assert html.extracted(pages.limit(0)).collect() == []
+
+
+LONG = "The samples that we took in spring hold far more salt than those of autumn do. " * 6
+SHORT = "The coast is calm. It was not so on Monday."
+
+
+@pytest.mark.parametrize(
+    ("inside", "text"),
+    [
+        (f'<section id="discussion"><h2>Discussion</h2><p>{LONG}</p><p>{LONG}</p></section>',
+         f"Discussion {LONG}{LONG}"),
+        (f'<h2 id="search">Search for salt</h2><p>{SHORT}</p>', f"Search for salt {SHORT}"),
+        (f'<p class="notice">{SHORT}</p><p>{SHORT}</p>', f"{SHORT} {SHORT}"),
+        ('<div class="entry-header"><h1>Salt</h1><p>By A. Bee</p></div>', "Salt By A. Bee"),
+        ("<p>So <math><mi>a</mi><mo>=</mo><mn>2</mn></math> holds.</p>", "So a=2 holds."),
+        ("<noscript><p>The map shows the coast.</p></noscript>", "The map shows the coast."),
+        ("<p>See <object>the chart</object> <svg><title>t</title><text>axis</text></svg></p>",
+         "See the chart axis"),
+        ('<div class="ad"><p>Buy shoes now. They are the best shoes in town.</p></div>', ""),
+        ('<div class="ad">Buy shoes now. Best in town.</div>', ""),
+        ('<section id="comments"><h3>Comments</h3><p>I think so too. Thanks.</p></section>', ""),
+    ],
+)
+def test_words_in_an_article_are_outbid(inside, text):
+    page = f"<nav><a>x</a></nav><article><p>{SHORT}</p>{inside}<p>{SHORT}</p></article>"
+    assert html.main_text(page).split() == f"{SHORT} {text} {SHORT}".split()
+
+
+def test_stand_ins_outside_an_article_are_no_text():
+    page = "<noscript>Please enable scripts. This site needs them.</noscript>"
+    assert html.main_text(f"<body>{page}<article><p>{SHORT}</p></article>") == SHORT

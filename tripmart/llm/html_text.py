@@ -5,11 +5,13 @@ and sentences, how much of it is links, the elements it stands in and what their
 say. Its score becomes a capacity to the source (article) or to the sink (boilerplate).
 Neighbours tend to belong together: edges join blocks that follow each other, the more so
 the closer they are in the element tree, and blocks of one element that something else has
-come between. The minimum cut is the labelling of least total cost; max-flow finds it, and
+come between. In an article, a word in a class or id is a cost that long prose outbids; on a
+heading or paragraph it is one that edges outbid. The minimum cut is the labelling of least total cost; max-flow finds it, and
 what the source still reaches is the article.
 
 Defined results: no html has no text; what no element encloses is judged like any block;
-tags left open are closed by what follows. Scripts, styles and the head never are text.
+tags left open are closed by what follows. Scripts, styles and the head never are text;
+formulas, drawings and what stands in for scripts and objects are text within an article.
 Repeated rows get a result each. Other columns are not read.
 """
 
@@ -35,7 +37,11 @@ BLOCKS = frozenset(
     "main menu nav ol option p pre search section select summary table tbody td tfoot th thead "
     "tr ul".split()
 )
-SILENT = frozenset("script style template title noscript iframe object svg math textarea".split())
+SILENT = frozenset(
+    "script style template title iframe textarea annotation annotation-xml".split()
+)
+SILENT_OUTSIDE = frozenset("noscript object svg math".split())  # of an article
+UNSHOWN = SILENT | SILENT_OUTSIDE | {"head"}
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 # Which open elements a new one ends.
 ENDED_BY = {
@@ -55,6 +61,7 @@ BAD_WORDS = frozenset(
     "rail search share sharing sidebar signup skip social sponsor sponsored subscribe "
     "subscription tags toolbar topbar widget widgets".split()
 )
+OUTSIDE_WORDS = frozenset(["header"])  # bad outside an article alone, as the element is
 GOOD_WORDS = frozenset("article body content entry main post story text".split())
 _WORDS = re.compile(r"[a-z]+")
 _CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
@@ -67,6 +74,11 @@ PER_SENTENCE, MOST_SENTENCES = 0.4, 4
 PER_LINK_SHARE = -4.0
 PER_TAG = {"p": 0.6, "h1": 0.8, "h2": 0.5, "h3": 0.3, "blockquote": 0.5, "pre": 0.5}
 IN_ARTICLE, IN_GOOD, IN_ASIDE = 3.0, 1.5, -9.0
+# A bad word on an element within an article, on a heading or paragraph there, and on one of
+# these elsewhere; and what a heading gets back, so that it follows the text it is next to.
+WORD_WITHIN, WORD_ON_TEXT, WORD_ON_TEXT_OUTSIDE = -5.5, -2.0, -4.0
+HEADING_WITHIN = 2.5
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 NOTICE_MARK = -2.0
 IN_HEADER = -6.0
 SAME_PARENT, SAME_GRANDPARENT, APART = 1.5, 0.5, 0.1
@@ -81,18 +93,27 @@ _TEXTS = pa.schema(
 
 
 class Element:
-    __slots__ = ("bias", "in_article", "parent", "silent", "tag")
+    __slots__ = ("bias", "in_article", "marked", "parent", "silent", "tag")
 
     def __init__(self, tag: str, parent: Element | None, attributes: dict[str, str | None]) -> None:
         self.tag, self.parent = tag, parent
         self.in_article = bool(parent and parent.in_article) or tag in ARTICLE
+        within = bool(parent) and (parent.bias > 0 or parent.marked)
         self.silent = bool(parent and parent.silent) or tag in SILENT or tag == "head"
-        self.bias = (parent.bias if parent else 0.0) + _element_bias(tag, parent, attributes)
-
-
-def _element_bias(tag: str, parent: Element | None, attributes: dict[str, str | None]) -> float:
-    """What an element adds to the score of the blocks in it."""
-    bias = 0.0
+        self.silent |= tag in SILENT_OUTSIDE and not within
+        bias, own = _element_bias(tag, parent, attributes, within)
+        # Within an article, the words of an element and of those in it cost once.
+        self.marked = bool(parent and parent.marked) or own == WORD_WITHIN
+        if parent and parent.marked:
+            own = 0.0
+        self.bias = (parent.bias if parent else 0.0) + bias + own
+
+
+def _element_bias(
+    tag: str, parent: Element | None, attributes: dict[str, str | None], within: bool
+) -> tuple[float, float]:
+    """What an element adds to the score of the blocks in it, and what a bad word adds."""
+    bias = word = 0.0
     if tag in ARTICLE and not (parent and parent.in_article):
         bias += IN_ARTICLE
     if tag in ASIDE:
@@ -101,15 +122,20 @@ def _element_bias(tag: str, parent: Element | None, attributes: dict[str, str |
         bias += IN_HEADER
     names = " ".join(attributes.get(k) or "" for k in ("class", "id", "role"))
     words = set(_WORDS.findall(_CAMEL.sub(" ", names).lower()))
+    if within:
+        words -= OUTSIDE_WORDS
     if tag not in ("body", "html", *ARTICLE):
         if words & BAD_WORDS:
-            bias += IN_ASIDE
+            if tag == "p" or tag in HEADINGS:
+                word = WORD_ON_TEXT if within else WORD_ON_TEXT_OUTSIDE
+            else:
+                word = WORD_WITHIN if within else IN_ASIDE
         elif words & GOOD_WORDS:
             bias += IN_GOOD
     style = (attributes.get("style") or "").replace(" ", "").lower()
     if "hidden" in attributes or attributes.get("aria-hidden") == "true" or "display:none" in style:
         bias += IN_ASIDE
-    return bias
+    return bias, word
 
 
 class Block:
@@ -150,7 +176,7 @@ class BlockParser(HTMLParser):
             if tag in ("br", "hr", "img"):
                 self.parts.append(" ")
             return
-        if tag in BLOCKS or tag in SILENT or tag == "head":
+        if tag in BLOCKS or tag in UNSHOWN:
             if tag in BLOCKS:
                 self._flush()
                 self._close({"p", "head"}, _SCOPES - {"head"})
@@ -169,7 +195,7 @@ class BlockParser(HTMLParser):
             self.handle_endtag(tag)
 
     def handle_endtag(self, tag: str) -> None:
-        if tag in BLOCKS or tag in SILENT or tag == "head":
+        if tag in BLOCKS or tag in UNSHOWN:
             if any(e.tag == tag for e in self.open):
                 if tag in BLOCKS:
                     self._flush()
@@ -212,6 +238,8 @@ def block_score(block: Block) -> float:
     score = BIAS + PER_WORDS * math.log1p(words) + PER_SENTENCE * sentences + block.element.bias
     score += PER_TAG.get(block.element.tag, 0.0)
     score += PER_LINK_SHARE * min(1.0, block.linked / len(block.text))
+    if block.element.marked and block.element.tag in HEADINGS:
+        score += HEADING_WITHIN
     if "©" in block.text:
         score += NOTICE_MARK
     return score
