@@ -4,7 +4,7 @@ import re
 import numpy as np
 import pytest
 import xxhash
-from corpus_cases import CLASHING, as_tuples, document_rows, documents
+from corpus_cases import CLASHING, as_tuples, document_rows, documents, prose
 
 from tripmart.llm import simhash
 from tripmart.llm.components import connected_components
@@ -140,3 +140,14 @@ def test_one_of_each_group_stays(spark):
 def test_no_documents(spark):
     assert simhash.near_duplicates(documents(spark, [])).collect() == []
     assert simhash.without_near_duplicates(documents(spark, [])).collect() == []
+
+
+def test_rows_of_one_id_with_different_texts(spark):
+    """No distinct text goes, and no near copy stays in its place."""
+    texts = [prose(900 + i, 80) for i in range(30)]
+    rows = [(5, t, "en", "a", 1) for t in texts]  # one id for all
+    rows += [(3, t, "en", "a", 1) for t in texts[:10]]  # copies of some, with a smaller id
+    rows += [(5, texts[29], "en", "a", 1)]  # and a repeated row
+    found = simhash.without_near_duplicates(documents(spark, rows)).collect()
+    expected = [(3, t) for t in texts[:10]] + [(5, t) for t in texts[10:]]
+    assert sorted((r.doc_id, r.text) for r in found) == sorted(expected)

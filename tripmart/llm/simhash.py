@@ -21,7 +21,8 @@ Components of these links are found in Spark.
 
 Defined results: see the contract for texts of few or no words; no text has none. Documents
 without an id are linked like any other; a group in which no document has one has no
-component id. Repeated rows are copies. Other columns are kept or not read.
+component id. Rows of one id with different texts are different documents. Repeated rows
+are copies. Other columns are kept or not read.
 """
 
 from __future__ import annotations
@@ -94,19 +95,22 @@ def _signed(number: int) -> int:
 
 
 def _tie() -> Column:
-    """Tells documents without an id apart."""
-    return F.when(F.col("doc_id").isNull(), F.sha1(F.coalesce("text", F.lit("")))).otherwise("")
+    """Tells documents of one id, or without an id, apart."""
+    return F.sha1(F.coalesce("text", F.lit("")))
 
 
-def fingerprints(documents: DataFrame, words: int = SHINGLE) -> DataFrame:
-    """One row per document: doc_id, tie, print (as a signed number)."""
+def fingerprints(
+    documents: DataFrame, words: int = SHINGLE, tie: Column | None = None
+) -> DataFrame:
+    """One row per document: doc_id, tie (empty unless given), print (as a signed number)."""
+    tie = F.lit("") if tie is None else tie
 
     def prints(rows: Iterator[dict]) -> Iterator[tuple]:
         for row in rows:
             yield row["doc_id"], row["tie"], _signed(fingerprint(row["text"], words))
 
     texts = documents.select(
-        F.col("doc_id").cast("long").alias("doc_id"), "text", _tie().alias("tie")
+        F.col("doc_id").cast("long").alias("doc_id"), "text", tie.alias("tie")
     )
     return texts.mapInArrow(rows_in_arrow(prints, _PRINTS), "doc_id long, tie string, print long")
 
@@ -334,8 +338,12 @@ def near_duplicates(documents: DataFrame, words: int = SHINGLE) -> DataFrame:
 
 
 def without_near_duplicates(documents: DataFrame, words: int = SHINGLE) -> DataFrame:
-    """One document of each group, that of the smallest id, with its own columns."""
-    prints = stored(fingerprints(documents, words), "simhash-prints")
+    """One document of each group, that of the smallest id, with its own columns.
+
+    Id and text name a document, so a name is of one fingerprint and one group, whatever
+    the ids.
+    """
+    prints = stored(fingerprints(documents, words, _tie()), "simhash-prints")
     name = F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("none")), "tie")
     keepers = classes(prints).select("keeper.doc_id", "keeper.tie").distinct()
     kept = stored(keepers.select(name.alias("name")), "simhash-kept")
