@@ -151,3 +151,24 @@ def test_rows_of_one_id_with_different_texts(spark):
     found = simhash.without_near_duplicates(documents(spark, rows)).collect()
     expected = [(3, t) for t in texts[:10]] + [(5, t) for t in texts[10:]]
     assert sorted((r.doc_id, r.text) for r in found) == sorted(expected)
+
+
+def test_a_family_of_near_copies_is_cut_until_it_is_small(spark, monkeypatch):
+    """Fingerprints that agree in an outer and an inner block are not one run."""
+    monkeypatch.setattr(simhash, "LARGE", 16)
+    monkeypatch.setattr(simhash, "STILL_LARGE", 32)
+    rng = random.Random(21)
+    # 28 bits in common; then pairs at the full distance, in any of the other bits.
+    prints = [rng.getrandbits(36) | 0xABCDEF1 << 36 for _ in range(150)]
+    for p in prints[:60]:
+        for b in rng.sample(range(36), 3):
+            p ^= 1 << b
+        prints.append(p)
+    prints = list(dict.fromkeys(prints))
+    frame = spark.createDataFrame(
+        [(i, "", simhash._signed(p)) for i, p in enumerate(prints)], "doc_id long, tie string, print long"
+    )
+    runs = simhash._dealt(frame).groupBy("bucket", "inner").count()
+    assert runs.agg({"count": "max"}).first()[0] < len(prints) / 4
+    found = {r.print: r.doc_id for r in simhash.classes(frame).select("print", "keeper.doc_id").collect()}
+    assert [found[simhash._signed(p)] for p in prints] == brute_groups(prints)

@@ -7,7 +7,10 @@ Candidates: the bits are cut into ``DISTANCE + 1`` blocks; two linked fingerprin
 one of them. Each fingerprint goes into one bucket per block, turned so that the block comes
 first. A bucket of more than ``LARGE`` fingerprints is cut once more in the same way over
 the other bits. There are at most ``BLOCKS * 2**16`` buckets before that, whatever the
-corpus, so the list of the large ones may be broadcast.
+corpus, so the list of the large ones may be broadcast. What still holds more than
+``STILL_LARGE`` is cut again by blocks of the bits left over, and again, down to
+``LEAST_BITS``: two that are linked and agree in all blocks so far differ in ``DISTANCE`` of
+the other bits at most. A family of near copies of whatever size so becomes many runs.
 
 Index: a bucket is sorted by Gray rank, in which neighbours differ in few bits. Runs of
 ``FAN`` fingerprints share a masked bit pattern, which is factored into a node; runs of
@@ -46,9 +49,10 @@ DISTANCE = 3
 
 BLOCKS = DISTANCE + 1
 BLOCK_BITS = BITS // BLOCKS
-INNER_BITS = (BITS - BLOCK_BITS) // BLOCKS
 
 LARGE = 1024
+STILL_LARGE = 16_384
+LEAST_BITS = 14  # fewer can tell no more than STILL_LARGE fingerprints apart
 FAN = 16
 PAIRS_AT_ONCE = 2048
 
@@ -226,19 +230,56 @@ def _buckets(prints: DataFrame) -> DataFrame:
     return prints.select(F.inline(F.array(*turns)))
 
 
-def _cut_large(rows: DataFrame, large: DataFrame) -> DataFrame:
-    """Cut the buckets named in ``large`` by the blocks of the remaining bits."""
-    inner = [
-        F.shiftrightunsigned("turned", i * INNER_BITS)
-        .bitwiseAND(F.lit((1 << INNER_BITS) - 1))
-        .bitwiseOR(F.lit(i << INNER_BITS))
-        for i in range(BLOCKS)
-    ]
-    whole = F.array(F.lit(-1).cast("long"))
-    return rows.join(F.broadcast(large), "bucket", "left").select(
-        "bucket", "turned",
-        F.explode(F.when(F.col("large"), F.array(*inner)).otherwise(whole)).alias("inner"),
-    )
+def _large(rows: DataFrame, keys: list[str], least: int) -> DataFrame:
+    """The keys of more than ``least`` rows, stored, and marked ``large``."""
+    counted = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > least)
+    return stored(counted.select(*keys, F.lit(True).alias("large")), "simhash-large")
+
+
+def _cut(rows: DataFrame, bits: int) -> DataFrame:
+    """Cut the rows marked ``large`` by the blocks of their ``bits`` bits of rest.
+
+    ``inner`` tells the runs of a bucket apart: a one, and the number and value of the block
+    of each cut. The blocks need not hold all bits: no more than ``DISTANCE`` can differ.
+    """
+    width = bits // BLOCKS
+    rest, inner = F.col("rest"), F.col("inner")
+    blocks = []
+    for i in range(BLOCKS):
+        low = i * width
+        value = F.shiftrightunsigned(rest, low).bitwiseAND(F.lit((1 << width) - 1))
+        above = F.shiftleft(F.shiftrightunsigned(rest, low + width), low)
+        blocks.append(
+            F.struct(
+                F.shiftleft(inner, width + 2)
+                .bitwiseOR(F.lit(i << width))
+                .bitwiseOR(value)
+                .alias("inner"),
+                above.bitwiseOR(rest.bitwiseAND(F.lit((1 << low) - 1))).alias("rest"),
+            )
+        )
+    whole = F.array(F.struct(inner.alias("inner"), rest.alias("rest")))
+    cut = F.when(F.col("large"), F.array(*blocks)).otherwise(whole)
+    return rows.select("bucket", "turned", F.inline(cut))
+
+
+def _dealt(prints: DataFrame) -> DataFrame:
+    """Every fingerprint in its runs: bucket, inner, rest, turned."""
+    bits = BITS - BLOCK_BITS
+    rest = F.col("turned").bitwiseAND(F.lit((1 << bits) - 1))
+    rows = _buckets(prints).withColumn("inner", F.lit(1).cast("long")).withColumn("rest", rest)
+    # At most BLOCKS * 2**BLOCK_BITS rows.
+    large = _large(rows, ["bucket"], LARGE)
+    rows = _cut(rows.join(F.broadcast(large), "bucket", "left"), bits)
+    bits -= bits // BLOCKS
+    # Only what has been cut can be so large.
+    while bits > LEAST_BITS:
+        large = _large(rows.filter("inner > 1"), ["bucket", "inner"], STILL_LARGE)
+        if large.isEmpty():
+            break
+        rows = _cut(rows.join(large, ["bucket", "inner"], "left"), bits)
+        bits -= bits // BLOCKS
+    return rows
 
 
 def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, np.ndarray]]:
@@ -285,17 +326,8 @@ def _chains(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def links(prints: DataFrame) -> DataFrame:
     """Links that join what the distance links, among distinct fingerprints: a, b."""
-    buckets = _buckets(prints)
-    # At most BLOCKS * 2**BLOCK_BITS rows.
-    large = stored(
-        buckets.groupBy("bucket")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .filter(F.col("n") > LARGE)
-        .select("bucket", F.lit(True).alias("large")),
-        "simhash-large",
-    )
     dealt = (
-        _cut_large(buckets, large)
+        _dealt(prints)
         .withColumn("rank", gray_rank(F.col("turned")))
         .repartition("bucket", "inner")
         .sortWithinPartitions("bucket", "inner", "rank")
