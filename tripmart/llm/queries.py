@@ -12,10 +12,13 @@ from pyspark.sql import functions as F
 
 from tripmart.llm import (
     html_text,
+    minmax,
     mixture,
+    periodic_runs,
     quality,
     secrets_scan,
     simhash,
+    spelling,
     superkmers,
     token_files,
     toxicity,
@@ -89,6 +92,32 @@ def op10_substrings(spark, sf_dir):
     return found.drop("kept")
 
 
+def op11_minmax(spark, sf_dir):
+    return minmax.near_duplicates(_table(spark, sf_dir, "documents"))
+
+
+def op12_spelling(spark, sf_dir):
+    return spelling.variants(_table(spark, sf_dir, "documents"), planted=True)
+
+
+def op13_periodic_runs(spark, sf_dir):
+    documents = periodic_runs.with_planted_runs(_table(spark, sf_dir, "documents"))
+    found = periodic_runs.periodic_runs(documents, with_text=False)
+    best = {c: F.get(c, F.col("best").cast("int")) for c in ("start", "length", "period")}
+    lines = F.transform(
+        F.arrays_zip("start", "length", "period"),
+        lambda run: F.concat(F.concat_ws(",", run.start, run.length, run.period), F.lit("\n")),
+    )
+    return found.select(
+        "doc_id",
+        F.size("start").cast("long").alias("n_runs"),
+        *(value.alias(c) for c, value in best.items()),
+        F.floor(1000 * best["length"] / best["period"]).alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"),
+        "collapsed_sha256",
+    )
+
+
 QUERIES = {
     "op1_warc": op1_warc,
     "op2_secrets": op2_secrets,
@@ -100,6 +129,9 @@ QUERIES = {
     "op8_decontamination": op8_decontamination,
     "op9_toxicity": op9_toxicity,
     "op10_substrings": op10_substrings,
+    "op11_minmax": op11_minmax,
+    "op12_spelling": op12_spelling,
+    "op13_periodic_runs": op13_periodic_runs,
 }
 
 # -- SQL counterparts, for DuckDB -----------------------------------------------------
@@ -325,10 +357,166 @@ select doc_id, cast(len(d.words) as bigint) as n_words,
 from d left join kept using (r)
 """
 
+_OP11 = r"""
+with recursive d as (
+  select row_number() over () as r, doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+           'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') as words
+  from documents),
+sets as (
+  select r, doc_id, list_sort(list_distinct(
+           case when len(words) < 2 then words
+                else list_transform(range(1, len(words)),
+                                    lambda i: words[i] || ' ' || words[i + 1]) end)) as s
+  from d),
+classes as (
+  select row_number() over () as c, s, len(s) as n, min(doc_id) as low
+  from sets where len(s) > 0 group by s),
+members as (select c, n, unnest(s) as shingle from classes),
+links as (
+  select a.c as a, b.c as b
+  from members a join members b on a.shingle = b.shingle and a.c < b.c
+    and 100 * least(a.n, b.n) >= 80 * greatest(a.n, b.n)
+  group by a.c, b.c, a.n, b.n
+  having 100 * count(*) >= 80 * (a.n + b.n - count(*))),
+steps as (select a, b from links union all select b, a from links),
+reach as (select a, b from steps
+          union select reach.a, steps.b from reach join steps on reach.b = steps.a),
+lowest as (
+  select c, min(low) as low
+  from (select c, low from classes
+        union all select reach.a, classes.low from reach join classes on reach.b = classes.c)
+  group by c)
+select doc_id, cast(len(sets.s) as bigint) as n_shingles,
+       case when c is null then doc_id else lowest.low end as component_id,
+       doc_id is not distinct from case when c is null then doc_id else lowest.low end as kept
+from sets left join classes using (s) left join lowest using (c)
+"""
+
+# Checksums of strings, of which DuckDB has no function: a table of the 256 bytes, and one
+# step per byte of UTF-8.
+_CRC_TABLE = """crc as (
+  select list(c order by i) as steps
+  from (select i, list_reduce(list_prepend(i, range(8)), lambda c, k:
+          case when c & 1 = 1 then xor(c >> 1, 3988292384::bigint) else c >> 1 end) as c
+        from range(256) as r(i)))"""
+
+
+def _crc32(text: str) -> str:
+    return f"""xor(4294967295::bigint, list_reduce(
+      list_prepend(4294967295::bigint, list_transform(range(0, strlen({text})), lambda i:
+        ('0x' || substr(hex({text}), cast(2 * i + 1 as int), 2))::bigint)),
+      lambda c, b: xor(c >> 8, steps[(xor(c, b) & 255) + 1])))"""
+
+
+_OP12 = rf"""
+with recursive {_CRC_TABLE},
+runs as (
+  select doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''),
+           'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[A-Za-z\x{{C0}}-\x{{FF}}]+')) as run
+  from documents),
+counted as (
+  select run, count(*) as n, coalesce(cast(doc_id as varchar), '') || ':' || run as name
+  from runs group by doc_id, run),
+checked as (select run, n, {_crc32("name")} as h from counted, crc),
+typed as (
+  select case when h % 199 = 0 then substr(run, 1, cast(h % length(run) as int))
+                                    || substr(run, cast(h % length(run) as int) + 2)
+              else run end as word, n
+  from checked),
+words as (
+  select word, cast(sum(n) as bigint) as n from typed
+  where length(word) >= 6 group by word having sum(n) >= 5),
+cut as (
+  select word, n, pos, substr(word, 1, cast(pos - 1 as int)) || substr(word, cast(pos + 1 as int))
+           as rest
+  from (select word, n, unnest(range(1, length(word) + 1)) as pos from words)),
+near as (
+  select a.word, b.word as other, b.n as other_n
+  from cut a join cut b using (pos, rest) where a.word <> b.word
+  union select words.word, cut.word, cut.n from words join cut on words.word = cut.rest
+  union select cut.word, words.word, words.n from words join cut on words.word = cut.rest),
+best as (
+  select word, count(*) as n_near, max(other_n) as most,
+         min(other) filter (where other_n = largest) as other
+  from (select *, max(other_n) over (partition by word) as largest from near) group by word),
+judged as (
+  select word, n, coalesce(n_near, 0) as n_near,
+         case when most >= 5 * n then other end as form,
+         case when most >= 5 * n then most end as form_n
+  from words left join best using (word)),
+climb as (
+  select word, word as root, 0 as depth from words
+  union all
+  select climb.word, judged.form, depth + 1 from climb join judged on climb.root = judged.word
+  where judged.form is not null)
+select word, n, cast(n_near as bigint) as n_near, form, form_n,
+       (select arg_max(root, depth) from climb where climb.word = judged.word) as root
+from judged
+"""
+
+_OP13 = rf"""
+with {_CRC_TABLE},
+d as (
+  select row_number() over () as r, doc_id,
+         regexp_extract_all(coalesce(text, ''), '[^ 	-]+') as words,
+         coalesce(cast(doc_id as varchar), '') as name
+  from documents),
+checked as (select r, doc_id, words, {_crc32("name")} as h from d, crc),
+placed as (
+  select *, len(words) as n, h // 10 as g,
+         doc_id is not null and h % 10 = 0 and len(words) > 0 as planted
+  from checked),
+bent as (
+  select r, doc_id, n, case when planted then g % n end as a,
+         case when planted then 1 + (n - g % n) // (3 + g % 8) end as p, words
+  from placed),
+texts as (
+  select r, doc_id, n, case when a is null then words else list_transform(range(0, n),
+           lambda i: words[1 + case when i < a then i else a + (i - a) % p end]) end as words
+  from bent),
+placed_words as (
+  select r, n, pos, words[pos + 1] as word
+  from (select r, n, words, unnest(range(0, n)) as pos from texts)),
+pairs as (
+  select x.r, x.pos, y.pos - x.pos as period
+  from placed_words x join placed_words y
+    on x.r = y.r and x.word = y.word and y.pos > x.pos and 3 * (y.pos - x.pos) <= x.n),
+islands as (
+  select r, period, min(pos) as start, count(*) + period as length
+  from (select *, pos - row_number() over (partition by r, period order by pos) as island
+        from pairs)
+  group by r, period, island having count(*) + period >= greatest(24, 3 * period)),
+runs as (select r, start, length, min(period) as period from islands group by r, start, length),
+gone as (
+  select distinct r, unnest(range(start + period, start + length)) as pos from runs),
+left_over as (
+  select r, string_agg(word, ' ' order by pos) as words
+  from placed_words anti join gone using (r, pos) group by r),
+best as (
+  select *, row_number() over (partition by r
+           order by cast(length as double) / period desc, start, period) as place
+  from runs),
+listed as (
+  select r, count(*) as n_runs, string_agg(start || ',' || length || ',' || period || chr(10), ''
+           order by start, period) as lines
+  from runs group by r)
+select doc_id, cast(coalesce(n_runs, 0) as bigint) as n_runs, best.start, best.length,
+       best.period, 1000 * best.length // best.period as exponent_milli,
+       sha256(coalesce(lines, '')) as runs_sha256,
+       sha256(coalesce(left_over.words, '')) as collapsed_sha256
+from texts left join listed using (r) left join left_over using (r)
+  left join best on best.r = texts.r and best.place = 1
+"""
+
 ORACLES = {
     "op1_warc": _OP1,
     "op3_quality": _OP3,
     "op6_mixture": _OP6,
     "op8_decontamination": _OP8,
     "op10_substrings": _OP10,
+    "op11_minmax": _OP11,
+    "op12_spelling": _OP12,
+    "op13_periodic_runs": _OP13,
 }
