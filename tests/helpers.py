@@ -42,8 +42,9 @@ def count_in_plan(df, operator):
     return sum(operator in line for line in tree.splitlines())
 
 
-def shuffled_rows(df):
-    """Run a frame and count the rows each of its shuffles wrote, from the metrics."""
+def _metrics(df, operator, metric):
+    """Run a frame and read a metric of every operator of its final plan, subqueries included,
+    that has a name beginning so; what is reused counts once."""
     df.collect()
     found = []
 
@@ -53,11 +54,23 @@ def shuffled_rows(df):
             return visit(node.executedPlan())
         if name in ("ShuffleQueryStage", "ResultQueryStage", "BroadcastQueryStage"):
             return visit(node.plan())
-        if name == "Exchange":
-            found.append(node.metrics().apply("shuffleRecordsWritten").value())
-        children = node.children()
-        for i in range(children.size()):
-            visit(children.apply(i))
+        if name.startswith("Reused"):
+            return None
+        if name.startswith(operator):
+            found.append(node.metrics().apply(metric).value())
+        for nodes in (node.children(), node.subqueries()):
+            for i in range(nodes.size()):
+                visit(nodes.apply(i))
 
     visit(df._jdf.queryExecution().executedPlan())
     return found
+
+
+def shuffled_rows(df):
+    """How many rows each shuffle of a frame wrote."""
+    return _metrics(df, "Exchange", "shuffleRecordsWritten")
+
+
+def scanned_rows(df):
+    """How many rows each scan of files gave."""
+    return _metrics(df, "Scan ", "numOutputRows")

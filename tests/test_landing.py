@@ -276,3 +276,46 @@ def test_one_ingestion_time_per_run(spark):
     stamped = stamp_ingestion(spark.range(100).repartition(4))
     assert stamped.select("_ingested_at").distinct().count() == 1
     assert stamped.filter("_ingested_at is null").count() == 0
+
+
+class WithoutHandles:
+    """A session that has none of the JVM."""
+
+    def __init__(self, spark):
+        self._spark = spark
+
+    def __getattr__(self, name):
+        if name in ("_jvm", "_jsc", "_jsparkSession", "sparkContext"):
+            raise AttributeError(f"no {name} here")
+        return getattr(self._spark, name)
+
+
+def test_landing_needs_no_jvm_handle(spark, landing):
+    assert read_landing(WithoutHandles(spark), landing).count() == 15
+
+
+def test_listing_names_sizes_and_times(spark, landing):
+    """Of all files below an entry, and by Spark's own reader."""
+    entries = landing_entries(spark, landing)
+    assert [e.month for e in entries] == list(MONTHS)
+    for entry in entries:
+        files = [f for f in Path(entry.path).iterdir() if f.suffix == ".parquet" and f.name[0] not in "._"]
+        assert entry.size == sum(f.stat().st_size for f in files)
+        assert abs(entry.modified - max(f.stat().st_mtime for f in files) * 1e6) < 2e6
+
+
+def test_listing_below_a_folder_named_like_an_entry(spark, tmp_path):
+    folder = f"{tmp_path}/old_2020-01.parquet/in"
+    for name in ("x.parquet.copy_2023-02.parquet", "a_2023-01.parquet"):
+        raw_trips(spark, {}).write.parquet(f"{folder}/{name}")
+    found = [(e.month, e.name) for e in landing_entries(spark, folder)]
+    assert found == [(1, "a_2023-01.parquet"), (2, "x.parquet.copy_2023-02.parquet")]
+    assert {r._source_file for r in read_landing(spark, folder).collect()} == {
+        f"{folder}/{name}" for _, name in found
+    }
+
+
+def test_columns_can_be_made_text(spark, landing):
+    df = read_landing(spark, landing, as_text={"AIRPORT_FEE"})
+    assert dict(df.dtypes)["airport_fee"] == "string"
+    assert {r.airport_fee for r in df.collect()} == {"1", "1.25", None, "2.50", "0.5"}

@@ -3,7 +3,14 @@
 import pytest
 
 import __spark_entry__ as contract
-from helpers import count_in_plan, formatted_plan, initial_plan, scan_lines
+from helpers import (
+    count_in_plan,
+    formatted_plan,
+    initial_plan,
+    scan_lines,
+    scanned_rows,
+    shuffled_rows,
+)
 from tripmart.adapters import LINEITEM
 from tripmart.functions.frames import stamp_ingestion
 from tripmart.operators import marts, profile
@@ -98,12 +105,22 @@ def test_histogram_joins_nothing_and_finds_its_bounds_once(silver):
         assert "GreaterThan(total_amount,0.0)" in pushed and "LessThan(total_amount" in pushed
 
 
-def test_quantiles_read_their_column_once(silver):
-    df = profile.quantiles(silver, "total_amount", [0.25, 0.5, 0.75])
+def test_summary_takes_few_shuffles(bronze):
+    """One for duplicates, which both passes use, and three of a few rows."""
+    df = profile.summary(refine(bronze, LINEITEM.period))
     plan = final_plan(df)
-    assert plan.split("== Initial Plan ==")[0].count("FileScan") == 1
-    assert "ReusedExchange" in plan
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+    kept = refine(bronze, LINEITEM.period).count()
+    written = shuffled_rows(df)
+    assert len(written) <= 4
+    assert sum(n > kept / 4 for n in written) <= 1
+
+
+def test_summary_reads_its_input_twice_at_most(bronze, silver):
+    assert sum(scanned_rows(profile.summary(silver))) <= 2 * silver.count()
+    # Behind a shuffle, once: both passes read what it wrote.
+    trips = refine(bronze, LINEITEM.period)
+    assert sum(scanned_rows(profile.summary(trips))) == sum(scanned_rows(trips))
 
 
 def test_entries_share_a_scan_per_schema(spark):

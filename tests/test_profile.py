@@ -7,8 +7,9 @@ import numpy as np
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
-from helpers import raw_trips
+from helpers import BASE, raw_trips
 from tripmart.operators import profile
 from tripmart.operators.completeness import missing_months
 
@@ -61,10 +62,10 @@ def discrete_quantile(values, share):
 
 
 @few
-@given(amounts, st.sampled_from([1, 2, 5, 1024]))
-def test_quantiles_of_any_amounts(spark, values, ranges):
+@given(amounts, st.sampled_from([1, 20, 100, 10_000]))
+def test_quantiles_of_any_amounts(spark, values, accuracy):
     shares = [0.0, 0.25, 0.5, 0.75, 1.0]
-    rows = profile.quantiles(frame(spark, values), "total_amount", shares, ranges).collect()
+    rows = profile.quantiles(frame(spark, values), "total_amount", shares, accuracy).collect()
     assert {row.probability: row.value for row in rows} == {
         share: discrete_quantile(values, share) for share in shares
     }
@@ -72,7 +73,7 @@ def test_quantiles_of_any_amounts(spark, values, ranges):
 
 def test_quantiles_with_a_hot_value_and_nulls(spark):
     values = [None] * 10 + [4.0] * 500 + [float(i) for i in range(1000)]
-    rows = profile.quantiles(frame(spark, values), "total_amount", [0.25, 0.5], 16).collect()
+    rows = profile.quantiles(frame(spark, values), "total_amount", [0.25, 0.5], 100).collect()
     known = [v for v in values if v is not None]
     assert {row.probability: row.value for row in rows} == {
         share: discrete_quantile(known, share) for share in (0.25, 0.5)
@@ -81,12 +82,41 @@ def test_quantiles_with_a_hot_value_and_nulls(spark):
 
 def test_nan_is_the_largest_value(spark):
     df = frame(spark, [1.0, 2.0, 3.0, math.nan, math.nan])
-    for ranges in (2, 1024):
-        rows = profile.quantiles(df, "total_amount", [0.5, 1.0], ranges).collect()
+    for accuracy in (2, 10_000):
+        rows = profile.quantiles(df, "total_amount", [0.5, 1.0], accuracy).collect()
         found = {row.probability: row.value for row in rows}
         assert found[0.5] == 3.0 and math.isnan(found[1.0])
 
 
+def test_quantiles_of_many_distinct_values(spark):
+    """Most values lie outside of the brackets, in several tasks."""
+    df = spark.range(0, 50_000, 1, 7).select(
+        (F.xxhash64("id") % 1_000_003 / 8).alias("total_amount")
+    )
+    values = [r[0] for r in df.collect()]
+    shares = [0.01, 0.25, 0.5, 0.75, 0.999]
+    rows = profile.quantiles(df, "total_amount", shares, 500).collect()
+    assert {row.probability: row.value for row in rows} == {
+        share: discrete_quantile(values, share) for share in shares
+    }
+
+
+def test_a_bracket_that_misses_is_an_error(spark, monkeypatch):
+    """And never a wrong quantile."""
+    df = spark.range(1000).select(F.col("id").cast("double").alias("total_amount"))
+    real = profile._brackets
+    monkeypatch.setattr(
+        profile,
+        "_brackets",
+        lambda *a: F.transform(
+            real(*a),
+            lambda b: F.struct((b["low"] + 50).alias("low"), (b["high"] + 50).alias("high")),
+        ),
+    )
+    with pytest.raises(Exception, match="outside of its bracket"):
+        profile.quantiles(df, "total_amount", [0.5]).collect()
+
+
 def test_summary(spark):
     values = [1.0, 2.5, 2.5, 9.0, 11.0]
     df = spark.createDataFrame(
@@ -146,7 +176,7 @@ def test_counts_and_bounds(spark):
     df = raw_trips(spark, {"tpep_pickup_datetime": first}, {"tpep_pickup_datetime": last})
     assert profile.row_count(df).first().row_count == 2
     assert tuple(profile.period_bounds(df).first()) == (first, last)
-    assert [tuple(r) for r in profile.rows_per(df, "VendorID").collect()] == [(1, 2)]
+    assert [tuple(r) for r in profile.rows_per(df, "VendorID").collect()] == [(BASE["VendorID"], 2)]
 
 
 def test_missing_months(spark):

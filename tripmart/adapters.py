@@ -102,13 +102,21 @@ _VARIANTS = {
 UNDATED = "1900-01-01"
 
 
-def write_landing(spark: SparkSession, sf_dir: str, adapter: Adapter) -> str:
+def write_landing(
+    spark: SparkSession,
+    sf_dir: str,
+    adapter: Adapter,
+    where: str = "true",
+    folder: str | None = None,
+) -> str:
     """Write the raw rows as landing folders, one per month, and the repeated slice as
     further folders with another prefix. Returns the landing path.
+
+    Only rows for which ``where`` holds land, in a fresh folder or beside what is in ``folder``.
     """
-    folder = scratch_folder(spark, f"landing-{adapter.table}")
+    folder = folder or scratch_folder(spark, f"landing-{adapter.table}")
     once, twice = F.array(F.lit("trips")), F.array(F.lit("trips"), F.lit("rerun"))
-    rows = raw_rows(spark, sf_dir, adapter).select(
+    rows = raw_rows(spark, sf_dir, adapter).filter(where).select(
         "*", F.explode(F.when(F.expr(_AGAIN), twice).otherwise(once)).alias("prefix")
     )
     pickup = F.coalesce("tpep_pickup_datetime", F.lit(UNDATED).cast("timestamp_ntz"))

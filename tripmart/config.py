@@ -42,6 +42,10 @@ class Period:
     def months(self) -> int:
         return self.last_month - self.first_month + 1
 
+    def month(self, number: int) -> Period:
+        """One month of the same year."""
+        return Period(self.year, number, number)
+
     @property
     def start(self) -> str:
         """First instant inside the period."""
@@ -89,6 +93,16 @@ class Lake:
     def silver_table(self) -> str:
         return f"{self.schema(self.silver_schema)}.{self.trips}"
 
+    @property
+    def ledger_table(self) -> str:
+        """What has been ingested: one row per landing entry."""
+        return f"{self.bronze_table}_ledger"
+
+    @property
+    def pending_table(self) -> str:
+        """Event months that a run has begun to change."""
+        return f"{self.bronze_table}_pending"
+
     def gold_table(self, mart: str) -> str:
         return f"{self.schema(self.gold_schema)}.{mart}"
 

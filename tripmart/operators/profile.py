@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import or_
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tripmart.functions.columns import bin_edge, named
-from tripmart.functions.frames import union_all
 
 # The statistics of a summary, in order, and the columns of the top trips.
 STATISTICS = ("count", "mean", "stddev", "min", "25%", "50%", "75%", "max")
@@ -16,6 +17,9 @@ QUARTILES = {0.25: "25%", 0.5: "50%", 0.75: "75%"}
 SUMMARY_COLUMNS = ("passenger_count", "total_amount")
 TOP_COLUMNS = ("tpep_pickup_datetime", "passenger_count", "total_amount")
 
+# The sketch that brackets quantiles is off by one rank in so many at most.
+ACCURACY = 10_000
+
 
 def rows_per(df: DataFrame, *keys: str) -> DataFrame:
     """Number of rows per key, sorted by key."""
@@ -36,146 +40,148 @@ def summary_text(df: DataFrame, columns: Sequence[str] = SUMMARY_COLUMNS) -> Dat
     return df.select(*columns).summary(*STATISTICS)
 
 
-def value_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """How often each value occurs: column, value, n. NULL is left out."""
-    entries = F.array(
-        *(F.struct(F.lit(c).alias("column"), named(c).alias("value")) for c in columns)
-    )
-    return (
-        df.select(F.inline(entries))
-        .filter(F.col("value").isNotNull())
-        .groupBy("column", "value")
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
+def _numbers(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    return df.select(*(named(c).cast("double").alias(c) for c in columns))
 
 
-def _ranged(rows: DataFrame, group: Sequence[str], ranges: int) -> DataFrame:
-    """Add ``bucket``: the range of a value, among so many of about the same number of
-    distinct values in its group."""
-    value = F.col("value")
-    floating = rows.schema["value"].dataType.typeName() in ("double", "float")
-    numbers = F.when(~F.isnan(value), value) if floating else value
-    shares = [i / ranges for i in range(1, ranges)]
-    cuts = rows.groupBy(*group).agg(F.percentile_approx(numbers, shares, 20 * ranges).alias("cuts"))
-    # How many cuts a value has reached, by halving steps. Past the last cut, get() is
-    # NULL and the step is not taken.
-    steps = [1 << bit for bit in reversed(range((ranges - 1).bit_length()))]
-    reached = F.aggregate(
-        F.array(*map(F.lit, steps)).cast("array<int>"),
-        F.lit(0),
-        lambda at, step: F.when(F.get("cuts", at + step - 1) <= value, at + step).otherwise(at),
-    )
-    bucket = F.coalesce(reached, F.lit(0)).alias("bucket")
-    # One row of cuts per group, of which there are columns times probabilities at most.
-    return rows.join(F.broadcast(cuts), list(group)).select(*rows.columns, bucket)
+def _brackets(column: str, probabilities: Sequence[float], accuracy: int) -> Column:
+    """Values between which each quantile lies: an array of (low, high).
 
+    They come from a mergeable sketch whose ranks are off by one part in ``accuracy`` at most.
+    Two parts on either side leave room for the rounding of ranks.
+    """
+    margin = 2 / accuracy
+    inner = [s for p in probabilities for s in (p - margin, p + margin) if 0 < s < 1]
+    found = iter(range(len(inner)))
+    sketch = F.percentile_approx(named(column), inner or [0.5], accuracy)
 
-def _upto(totals: DataFrame, group: Sequence[str]) -> DataFrame:
-    """Add the running sum of the rows of the buckets, of which there are few."""
-    in_order = Window.partitionBy(*group).orderBy("bucket")
-    return totals.withColumn("upto", F.sum("rows").over(in_order))
+    def end(share: float) -> Column:  # beyond all ranks it is known exactly
+        if share <= 0:
+            return F.min(named(column))
+        return F.max(named(column)) if share >= 1 else F.get(sketch, next(found))
 
+    return F.array(
+        *(
+            F.struct(end(p - margin).alias("low"), end(p + margin).alias("high"))
+            for p in probabilities
+        )
+    )
 
-def value_quantiles(
-    counts: DataFrame, probabilities: Sequence[float], ranges: int = 256
+
+def _first_look(
+    numbers: DataFrame, columns: Sequence[str], probabilities: Sequence[float], accuracy: int
+) -> Column:
+    """Moments of each column and brackets of its quantiles, from one pass: a struct per
+    column, as a scalar subquery."""
+    looks = [
+        F.struct(
+            F.count(named(c)).alias("rows"),
+            F.avg(named(c)).alias("mean"),
+            F.stddev_samp(named(c)).alias("stddev"),
+            F.min(named(c)).alias("min"),
+            F.max(named(c)).alias("max"),
+            _brackets(c, probabilities, accuracy).alias("brackets"),
+        ).alias(f"c{i}")
+        for i, c in enumerate(columns)
+    ]
+    return numbers.agg(F.struct(*looks)).scalar()
+
+
+def _wanted(
+    numbers: DataFrame,
+    columns: Sequence[str],
+    probabilities: Sequence[float],
+    looks: Column,
 ) -> DataFrame:
-    """Exact quantiles of counted values: column, probability, value. A quantile is the
-    smallest value that at least that share of rows reaches.
+    """One row with the exact quantiles of each column: an array per column, ``q0``, ``q1`` ...
 
-    The totals of ranges of values tell which one holds each quantile; that one is cut into
-    ranges again, and only one of these is sorted. So what is sorted is the distinct values
-    divided by the square of ``ranges``.
+    A quantile is the smallest value that at least that share of rows reaches. Values within a
+    bracket are counted one by one. All others take the value of the last bracket below them, as
+    ``rest``, so one row per task and bracket stands for them. What is sorted then is the
+    distinct values of the brackets, a few parts in ``accuracy`` of all.
     """
-    ranges = max(ranges, 2)
-    rank, upto, rows = F.col("rank"), F.col("upto"), F.col("rows")
-    held = (rank <= upto) & (rank > upto - rows)
-    rest = (rank - (upto - rows)).alias("rank")
-    first = _ranged(counts, ["column"], ranges)
-    totals = first.groupBy("column", "bucket").agg(F.sum("n").alias("rows"))
-    total = F.sum("rows").over(Window.partitionBy("column"))
-    wanted = (
-        _upto(totals, ["column"])
-        .withColumn("total", total)
-        .withColumn("probability", F.explode(F.array(*map(F.lit, probabilities))))
-        .withColumn("rank", F.greatest(F.ceil(F.col("probability") * F.col("total")), F.lit(1)))
-        .filter(held)
-        .select("column", "probability", "bucket", rest)
-    )
-    near = first.join(F.broadcast(wanted), ["column", "bucket"]).drop("bucket")
-    group = ["column", "probability"]
-    second = _ranged(near, group, ranges)
-    totals = second.groupBy(*group, "rank", "bucket").agg(F.sum("n").alias("rows"))
-    wanted = _upto(totals, group).filter(held).select(*group, "bucket", rest)
-    running = F.sum("n").over(Window.partitionBy(*group).orderBy("value"))
-    return (
-        second.drop("rank")
-        .join(F.broadcast(wanted), [*group, "bucket"])
-        .withColumn("running", running)
-        .filter((F.col("running") >= rank) & (F.col("running") - F.col("n") < rank))
-        .select(*group, "value")
+    entries = []
+    for i, column in enumerate(columns):
+        value, brackets = named(column), F.col(f"looks.c{i}.brackets")
+        ends = [F.get(brackets, j) for j in range(len(probabilities))]
+        inside = reduce(or_, ((value >= e["low"]) & (value <= e["high"]) for e in ends))
+        below = [F.when(e["high"] < value, e["high"]) for e in ends]
+        below = F.greatest(*below, F.lit(None).cast("double"))
+        entries.append(
+            F.struct(
+                F.lit(i).alias("column"),
+                F.when(inside, value).otherwise(below).alias("value"),
+                (~inside).alias("rest"),
+                value.isNotNull().alias("known"),
+            )
+        )
+    counted = (
+        numbers.withColumn("looks", looks)
+        .select(F.inline(F.array(*entries)))
+        .filter("known")
+        .groupBy("column", "value", "rest")
+        .agg(F.count(F.lit(1)).alias("n"))
+        .repartition(1)
     )
+    # The rest comes after the bracket that it has its value from, and first of all without one.
+    in_order = Window.partitionBy("column").orderBy("value", "rest")
+    running = counted.withColumn("upto", F.sum("n").over(in_order)).withColumn("looks", looks)
+    found = []
+    for i in range(len(columns)):
+        rows = F.col(f"looks.c{i}.rows")
+        quantiles = []
+        for p in probabilities:
+            rank = F.greatest(F.ceil(F.lit(p) * rows), F.lit(1))
+            first = F.min(
+                F.when((F.col("column") == i) & (F.col("upto") >= rank), F.struct("value", "rest"))
+            )
+            missed = F.raise_error(F.lit("a quantile lies outside of its bracket"))
+            quantiles.append(F.when(first["rest"], missed.cast("double")).otherwise(first["value"]))
+        found.append(F.array(*quantiles).alias(f"q{i}"))
+    return running.agg(*found)
 
 
 def quantiles(
-    df: DataFrame, column: str, probabilities: Sequence[float], ranges: int = 256
+    df: DataFrame, column: str, probabilities: Sequence[float], accuracy: int = ACCURACY
 ) -> DataFrame:
-    """Exact quantiles of one column: probability, value."""
-    found = value_quantiles(value_counts(df, [column]), probabilities, ranges)
-    return found.select("probability", "value")
+    """Exact quantiles of one column: probability, value. A quantile is the smallest value that
+    at least that share of rows reaches; there is none of no rows."""
+    numbers = _numbers(df, [column])
+    looks = _first_look(numbers, [column], probabilities, accuracy)
+    pairs = (
+        F.struct(F.lit(float(p)).alias("probability"), F.get("q0", i).alias("value"))
+        for i, p in enumerate(probabilities)
+    )
+    found = _wanted(numbers, [column], probabilities, looks).select(F.inline(F.array(*pairs)))
+    return found.filter(F.col("value").isNotNull())
 
 
-def summary(df: DataFrame, columns: Sequence[str] = SUMMARY_COLUMNS) -> DataFrame:
-    """Summary as numbers with exact quartiles, one row per statistic.
+def summary(
+    df: DataFrame, columns: Sequence[str] = SUMMARY_COLUMNS, accuracy: int = ACCURACY
+) -> DataFrame:
+    """Summary as numbers with exact quartiles, one row per statistic, in their order.
 
-    All statistics follow from the counts of the values, so the input is read once.
+    Two passes: moments and brackets of the quartiles, then the values within the brackets.
     """
-    counts = value_counts(df.select(*(named(c).cast("double").alias(c) for c in columns)), columns)
-    n, value = F.col("n"), F.col("value")
-    moments = counts.groupBy("column").agg(
-        F.sum("n").alias("rows"),
-        (F.sum(value * n) / F.sum("n")).alias("mean"),
-        F.min("value").alias("min"),
-        F.max("value").alias("max"),
-    )
-    # Around the mean, so that large values do not swallow the differences.
-    squares = F.sum(n * (value - F.col("mean")) * (value - F.col("mean")))
-    moments = (
-        counts.join(F.broadcast(moments), "column")  # one row per column
-        .groupBy("column", "rows", "mean", "min", "max")
-        .agg(squares.alias("squares"))
-        .withColumn("stddev", F.sqrt(F.col("squares") / F.nullif(F.col("rows") - 1, F.lit(0))))
-    )
-    rows = F.array(
-        *(
-            F.struct(F.lit(name).alias("summary"), F.col(source).cast("double").alias("value"))
-            for name, source in (
-                ("count", "rows"), ("mean", "mean"), ("stddev", "stddev"), ("min", "min"),
-                ("max", "max"),
-            )
+    numbers, shares = _numbers(df, columns), list(QUARTILES)
+    looks = _first_look(numbers, columns, shares, accuracy)
+    found = _wanted(numbers, columns, shares, looks).withColumn("looks", looks)
+    label = {name: j for j, name in enumerate(QUARTILES.values())}
+    source = {"count": "rows"}
+
+    def value(statistic: str, i: int) -> Column:
+        if statistic in label:
+            return F.get(f"q{i}", label[statistic])
+        return F.col(f"looks.c{i}.{source.get(statistic, statistic)}").cast("double")
+
+    rows = (
+        F.struct(
+            F.lit(statistic).alias("summary"),
+            *(value(statistic, i).alias(c) for i, c in enumerate(columns)),
         )
-    )
-    label = F.create_map(*(F.lit(x) for p, name in QUARTILES.items() for x in (p, name)))
-    quartiles = value_quantiles(counts, list(QUARTILES))
-    found = union_all(
-        [
-            moments.select("column", F.inline(rows)),
-            quartiles.select("column", label[F.col("probability")].alias("summary"), "value"),
-            df.sparkSession.range(1).select(  # every statistic has a row
-                F.lit(None).cast("string").alias("column"),
-                F.explode(F.array(*map(F.lit, STATISTICS))).alias("summary"),
-                F.lit(None).cast("double").alias("value"),
-            ),
-        ]
-    )
-    place = F.array_position(F.array(*map(F.lit, STATISTICS)), F.col("summary"))
-    values = {c: F.max(F.when(F.col("column") == c, F.col("value"))) for c in columns}
-    none = F.when(F.col("summary") == "count", 0.0)
-    return (
-        found.groupBy("summary")
-        .agg(*(v.alias(c) for c, v in values.items()))
-        .select("summary", *(F.coalesce(named(c), none).alias(c) for c in columns))
-        .orderBy(place)
+        for statistic in STATISTICS
     )
+    return found.select(F.inline(F.array(*rows)))
 
 
 def in_band(

@@ -12,11 +12,14 @@ from collections.abc import Callable, Collection, Iterable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from itertools import groupby
 from typing import NamedTuple, TypeVar
+from urllib.parse import unquote
 
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructType
 
+from tripmart.config import applied
 from tripmart.functions.frames import normalize_numerics, union_all
 
 log = logging.getLogger(__name__)
@@ -37,6 +40,7 @@ class Entry(NamedTuple):
     path: str
     uri: str
     size: int
+    modified: int  # microseconds since 1970
 
     @property
     def period(self) -> tuple[int, int]:
@@ -49,32 +53,69 @@ def _at_once(function: Callable[[T], R], items: Iterable[T]) -> list[R]:
         return list(pool.map(function, items))
 
 
-def landing_entries(spark: SparkSession, landing_path: str) -> list[Entry]:
-    """The ``*.parquet`` entries directly below ``landing_path``, by month.
+# A listing reads no content, so its tasks are not cut by the bytes of the files.
+_LISTING = {"spark.sql.files.maxPartitionBytes": str(1 << 50)}
+
+
+def _condition(error: Exception) -> str:
+    """The name of what went wrong, if Spark says so. Some errors of a classic session reach
+    Python as they are, with the exception that has the name inside."""
+    named = error if isinstance(error, PySparkException) else getattr(error, "java_exception", None)
+    try:
+        return named.getCondition() or ""
+    except Exception:  # no error of Spark's
+        return ""
 
-    Works on any file system Spark can read. The driver sees one name and size per
-    month and prefix, not the part files below. Names that Spark takes for hidden, such
-    as those of unfinished uploads, are passed over.
+
+def listing(spark: SparkSession, landing_path: str) -> DataFrame:
+    """The ``*.parquet`` entries directly below ``landing_path``: uri, size, modified.
+
+    Spark lists the files, on any file system that it reads, and groups those of a folder: one
+    row per entry. Names that Spark takes for hidden, such as those of unfinished uploads, and
+    folders without a file are passed over. Of the reader of whole files only what it knows
+    without opening them is used.
     """
     folder = landing_path.rstrip("/")
-    pattern = spark._jvm.org.apache.hadoop.fs.Path(folder, "*.parquet")
-    file_system = pattern.getFileSystem(spark._jsc.hadoopConfiguration())
-    found = [status.getPath() for status in file_system.globStatus(pattern) or []]
-    paths = [path for path in found if not path.getName().startswith((".", "_"))]
-    if not paths:
-        raise FileNotFoundError(f"no parquet file in {landing_path}")
-    names = [path.getName() for path in paths]
-    months = [_MONTH.search(name) for name in names]
-    if None in months:
-        unknown = names[months.index(None)]
-        raise ValueError(f"landing name does not end in _YYYY-MM.parquet: {unknown}")
-    sizes = _at_once(lambda path: file_system.getContentSummary(path).getLength(), paths)
-    return sorted(
-        Entry(int(month[1]), int(month[2]), name, f"{folder}/{name}", path.toString(), size)
-        for path, name, month, size in zip(paths, names, months, sizes, strict=True)
+    try:
+        files = spark.read.format("binaryFile").load(f"{folder}/[^._]*.parquet")
+    except PySparkException as error:
+        if not _condition(error).startswith("PATH_NOT_FOUND"):
+            raise
+        raise FileNotFoundError(f"no parquet file in {landing_path}") from error
+    # Up to the first name below the folder that ends like an entry's.
+    above = sum(part.endswith(".parquet") for part in folder.split("/"))
+    entry = rf"^((?:.*?\.parquet/){{{above}}}.*?\.parquet)(?:/|$)"
+    return (
+        files.select(
+            F.regexp_extract("_metadata.file_path", entry, 1).alias("uri"),
+            F.col("_metadata.file_size").alias("size"),
+            F.unix_micros("_metadata.file_modification_time").alias("modified"),
+        )
+        .groupBy("uri")
+        .agg(F.sum("size").alias("size"), F.max("modified").alias("modified"))
     )
 
 
+def landing_entries(spark: SparkSession, landing_path: str) -> list[Entry]:
+    """The entries of ``listing`` by month: one per month and prefix, on the driver."""
+    folder = landing_path.rstrip("/")
+    with applied(spark, _LISTING):
+        found = listing(spark, folder).collect()
+    if not found:
+        raise FileNotFoundError(f"no parquet file in {landing_path}")
+    entries = []
+    for row in found:
+        name = unquote(row.uri.rsplit("/", 1)[1])
+        month = _MONTH.search(name)
+        if month is None:
+            raise ValueError(f"landing name does not end in _YYYY-MM.parquet: {name}")
+        path = f"{folder}/{name}"
+        entries.append(
+            Entry(int(month[1]), int(month[2]), name, path, row.uri, row.size, row.modified)
+        )
+    return sorted(entries)
+
+
 def merged_schemas(
     spark: SparkSession, entries: Sequence[Entry]
 ) -> list[tuple[StructType, list[Entry]]]:
@@ -95,7 +136,7 @@ def _merged_run(
         scan = spark.read.option("mergeSchema", True).parquet(*(e.path for e in entries))
         return [(scan.schema, entries)]
     except Exception as error:
-        if len(entries) == 1 or "CANNOT_MERGE_SCHEMAS" not in str(error):
+        if len(entries) == 1 or not _condition(error).startswith("CANNOT_MERGE_SCHEMAS"):
             raise
     half = len(entries) // 2
     return _merged_run(spark, entries[:half]) + _merged_run(spark, entries[half:])
@@ -135,11 +176,12 @@ def read_landing(
     landing_path: str,
     keep: Collection[str] = (),
     entries: Sequence[Entry] | None = None,
+    as_text: Collection[str] = (),
 ) -> DataFrame:
     """All landing rows with uniform types and their origin.
 
     Numbers become double, but for the columns in ``keep``. A column that is text in any
-    month is text in all. Entries with the same schema share a scan, so the plan grows with
+    month, or named in ``as_text``, is text in all. Entries with the same schema share a scan, so the plan grows with
     the number of schemas, and neither with the files nor with the calendar.
     """
     entries = landing_entries(spark, landing_path) if entries is None else entries
@@ -152,6 +194,7 @@ def read_landing(
     if unknown:
         raise ValueError(f"no landing file has the columns {sorted(unknown)}")
     text = {f.name.lower() for f in fields if isinstance(f.dataType, StringType)}
+    text |= {c.lower() for c in as_text}
     other = {f.name.lower() for f in fields if not isinstance(f.dataType, StringType)}
     frames = []
     for schema, files in scans.values():

@@ -85,6 +85,32 @@ def write_gold(df: DataFrame, name: str, table_format: str = "parquet") -> int:
     return overwrite_table(df.hint("rebalance"), name, (), table_format)
 
 
+def replace_partitions(
+    df: DataFrame, name: str, partitions: Sequence[tuple[int, int]]
+) -> int:
+    """Replace the given year and month partitions of a table; returns the rows written.
+
+    ``df`` has rows of these partitions only. One that it has no row for is dropped.
+    """
+    spark = df.sparkSession
+    keys = [c.name for c in spark.catalog.listColumns(name) if c.isPartition]
+    written = Observation(f"replace in {name}")
+    counts = [
+        F.count(F.when((named(keys[0]) == year) & (named(keys[1]) == month), 1)).alias(f"n{i}")
+        for i, (year, month) in enumerate(partitions)
+    ]
+    refresh_partitions(df.observe(written, F.count(F.lit(1)).alias("rows"), *counts), name)
+    found = written.get
+    for i, (year, month) in enumerate(partitions):
+        if not found[f"n{i}"]:
+            spark.sql(
+                f"ALTER TABLE {name} DROP IF EXISTS PARTITION "
+                f"({keys[0]} = {year}, {keys[1]} = {month})"
+            )
+    log.info("%s: %d rows in %d partitions", name, found["rows"], len(partitions))
+    return found["rows"]
+
+
 def refresh_partitions(df: DataFrame, name: str) -> None:
     """Replace only those partitions of a table that ``df`` has rows for.
 
