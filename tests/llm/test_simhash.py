@@ -55,28 +55,58 @@ def test_index_finds_what_all_pairs_find(seed):
     rng = random.Random(seed)
     centres = [rng.getrandbits(64) for _ in range(4)]
     prints = ranked([near(rng, rng.choice(centres), rng.randrange(6)) for _ in range(rng.randrange(2, 200))])
-    found = simhash.linked_groups(np.array(prints, dtype=np.uint64)).tolist()
-    expected = brute_groups(prints)
-    assert found == expected
+    found, _ = simhash.linked_groups(np.array(prints, dtype=np.uint64))
+    assert found.tolist() == brute_groups(prints)
 
 
 def test_index_prunes_whole_groups(monkeypatch):
-    """Far fewer comparisons than pairs, where groups are far apart."""
+    """Far fewer comparisons than pairs, where groups are far apart, and not without the nodes."""
     rng = random.Random(5)
     centres = [rng.getrandbits(40) << 24 for _ in range(60)]
     prints = [rng.choice(centres) | rng.getrandbits(24) for _ in range(4000)]
     prints = np.array(ranked(prints), dtype=np.uint64)
-    compared = 0
-    real = simhash._near
+    _, compared = simhash.linked_groups(prints)
+    assert 0 < compared < len(prints) ** 2 / 16
+    monkeypatch.setattr(
+        simhash, "index_levels", lambda p: [(p, np.full(len(p), ~np.uint64(0)))]
+    )
+    monkeypatch.setattr(simhash, "PAIRS_AT_ONCE", 1 << 30)
+    assert simhash.linked_groups(prints)[1] == len(prints) * (len(prints) - 1) // 2
+
+
+def test_buckets_hold_thousands_and_the_index_spares_pairs(spark):
+    """With the parameters of production, on as many fingerprints as a small corpus has."""
+    rng = random.Random(7)
+    prints = [rng.getrandbits(64) for _ in range(6000)]
+    prints += [near(rng, p, rng.randrange(1, 6)) for p in prints[:300]]
+    rows = [(i, "", simhash._signed(p)) for i, p in enumerate(prints)]
+    frame = spark.createDataFrame(rows, "doc_id long, tie string, print long")
+    sizes = [r["count"] for r in simhash._dealt(frame, len(prints)).groupBy("bucket", "inner").count().collect()]
+    assert max(sizes) > 1000 and max(sizes) <= simhash.RUN
+    assert len(simhash.index_levels(np.zeros(max(sizes), dtype=np.uint64))) >= 3
+    found = simhash.searched(frame).collect()
+    compared, spared = (sum(r[c] or 0 for r in found) for c in ("compared", "spared"))
+    assert compared + spared == sum(n * (n - 1) // 2 for n in sizes)
+    assert spared > compared / 2
+    expected = brute_groups_fast(prints)
+    reached = {simhash._signed(prints[i]) for i in range(len(prints)) if expected[i]}
+    linked = {p for r in found if r.a is not None for p in (r.a, r.b)}
+    assert linked == reached
+
+
+def brute_groups_fast(prints):
+    """Whether each fingerprint links with another one."""
+    values = np.array(prints, dtype=np.uint64)
+    return [
+        int((np.bitwise_count(values ^ values[i]) <= 3).sum()) > 1 for i in range(len(values))
+    ]
 
-    def counted(level, a, b, distance):
-        nonlocal compared
-        compared += len(a)
-        return real(level, a, b, distance)
 
-    monkeypatch.setattr(simhash, "_near", counted)
-    simhash.linked_groups(prints)
-    assert compared < len(prints) ** 2 / 8
+@pytest.mark.parametrize(
+    ("fingerprints", "bits"), [(0, 0), (1, 0), (4096, 0), (4097, 1), (10**7, 12), (10**12, 16)]
+)
+def test_buckets_grow_in_number_with_the_fingerprints(fingerprints, bits):
+    assert simhash.bucket_bits(fingerprints) == bits
 
 
 def test_gray_rank(spark):
@@ -102,8 +132,9 @@ def test_documents(spark):
     assert any(r.doc_id == 11 and r.component_id in (3, 11) for r in found)
 
 
-@pytest.mark.parametrize("large", [2, 1024])
-def test_large_buckets_are_cut_without_loss(spark, monkeypatch, large):
+@pytest.mark.parametrize(("run", "large"), [(16, 2), (64, 1024), (4096, 2)])
+def test_large_buckets_are_cut_without_loss(spark, monkeypatch, run, large):
+    monkeypatch.setattr(simhash, "RUN", run)
     monkeypatch.setattr(simhash, "LARGE", large)
     rng = random.Random(9)
     centre = rng.getrandbits(64)
@@ -155,8 +186,7 @@ def test_rows_of_one_id_with_different_texts(spark):
 
 def test_a_family_of_near_copies_is_cut_until_it_is_small(spark, monkeypatch):
     """Fingerprints that agree in an outer and an inner block are not one run."""
-    monkeypatch.setattr(simhash, "LARGE", 16)
-    monkeypatch.setattr(simhash, "STILL_LARGE", 32)
+    monkeypatch.setattr(simhash, "LARGE", 32)
     rng = random.Random(21)
     # 28 bits in common; then pairs at the full distance, in any of the other bits.
     prints = [rng.getrandbits(36) | 0xABCDEF1 << 36 for _ in range(150)]
@@ -168,7 +198,7 @@ def test_a_family_of_near_copies_is_cut_until_it_is_small(spark, monkeypatch):
     frame = spark.createDataFrame(
         [(i, "", simhash._signed(p)) for i, p in enumerate(prints)], "doc_id long, tie string, print long"
     )
-    runs = simhash._dealt(frame).groupBy("bucket", "inner").count()
+    runs = simhash._dealt(frame, len(prints)).groupBy("bucket", "inner").count()
     assert runs.agg({"count": "max"}).first()[0] < len(prints) / 4
     found = {r.print: r.doc_id for r in simhash.classes(frame).select("print", "keeper.doc_id").collect()}
     assert [found[simhash._signed(p)] for p in prints] == brute_groups(prints)

@@ -5,19 +5,19 @@ one fingerprint from the start, so copies cost nothing beyond their grouping.
 
 Candidates: the bits are cut into ``DISTANCE + 1`` blocks; two linked fingerprints agree in
 one of them. Each fingerprint goes into one bucket per block, turned so that the block comes
-first. A bucket of more than ``LARGE`` fingerprints is cut once more in the same way over
-the other bits. There are at most ``BLOCKS * 2**16`` buckets before that, whatever the
-corpus, so the list of the large ones may be broadcast. What still holds more than
-``STILL_LARGE`` is cut again by blocks of the bits left over, and again, down to
-``LEAST_BITS``: two that are linked and agree in all blocks so far differ in ``DISTANCE`` of
-the other bits at most. A family of near copies of whatever size so becomes many runs.
+first. A bucket goes by as many first bits of the block as leave it some ``RUN`` fingerprints,
+so their number grows with that of the fingerprints, up to ``BLOCKS * 2**16``. What holds more
+than ``LARGE`` is cut by blocks of the bits left over, and again, down to ``LEAST_BITS``: two
+that are linked and agree in all blocks so far differ in ``DISTANCE`` of the other bits at
+most. A family of near copies of whatever size so becomes many runs.
 
 Index: a bucket is sorted by Gray rank, in which neighbours differ in few bits. Runs of
 ``FAN`` fingerprints share a masked bit pattern, which is factored into a node; runs of
 nodes make the next level, and so on. The search compares nodes with nodes from the top:
 the bits that both masks hold and in which the patterns differ add up on the way down, and
 a pair of groups is dropped as a whole once they are more than ``DISTANCE``. So is a pair
-whose members are all linked already.
+whose members are all linked already. Each bucket reports how many pairs of fingerprints it
+compared, and how many it was spared; the sums are logged.
 
 A bucket gives a chain through each of its groups of linked fingerprints, never all pairs.
 Components of these links are found in Spark.
@@ -30,6 +30,8 @@ are copies. Other columns are kept or not read.
 
 from __future__ import annotations
 
+import logging
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -50,14 +52,17 @@ DISTANCE = 3
 BLOCKS = DISTANCE + 1
 BLOCK_BITS = BITS // BLOCKS
 
-LARGE = 1024
-STILL_LARGE = 16_384
-LEAST_BITS = 14  # fewer can tell no more than STILL_LARGE fingerprints apart
+RUN = 4096
+LARGE = 16_384
+LEAST_BITS = 16  # fewer can tell no more than 65,536 fingerprints apart
 FAN = 16
 PAIRS_AT_ONCE = 2048
 
 _PRINTS = pa.schema([("doc_id", pa.int64()), ("tie", pa.string()), ("print", pa.int64())])
-_LINKS = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+_LINKS = pa.schema([(name, pa.int64()) for name in ("a", "b", "compared", "spared")])
+_LINKS_DDL = "a long, b long, compared long, spared long"
+
+log = logging.getLogger(__name__)
 
 
 # -- Fingerprints -----------------------------------------------------------------------
@@ -176,8 +181,12 @@ class _Groups:
         return np.where(low == np.maximum.reduceat(self.root, starts), low, -1)
 
 
-def linked_groups(sorted_prints: np.ndarray, distance: int = DISTANCE) -> np.ndarray:
-    """For distinct fingerprints in Gray order, the first place of each one's group."""
+def linked_groups(
+    sorted_prints: np.ndarray, distance: int = DISTANCE
+) -> tuple[np.ndarray, int]:
+    """For distinct fingerprints in Gray order, the first place of each one's group, and how
+    many pairs of them were compared."""
+    compared = 0
     levels = index_levels(sorted_prints)
     groups = _Groups(len(sorted_prints))
     stack = [(len(levels) - 1, *np.triu_indices(len(levels[-1][0])))]
@@ -187,16 +196,17 @@ def linked_groups(sorted_prints: np.ndarray, distance: int = DISTANCE) -> np.nda
             stack.append((level, a[PAIRS_AT_ONCE:], b[PAIRS_AT_ONCE:]))
             a, b = a[:PAIRS_AT_ONCE], b[:PAIRS_AT_ONCE]
         near = _near(levels[level], a, b, distance)
-        a, b = a[near], b[near]
         if not level:
-            groups.link(a, b)
+            compared += len(a) - int((a == b).sum())
+            groups.link(a[near], b[near])
             continue
+        a, b = a[near], b[near]
         one = groups.one_group(level)
         joined = (one[a] == one[b]) & (one[a] >= 0)
         a, b = _children(a[~joined], b[~joined], len(levels[level - 1][0]))
         if len(a):
             stack.append((level - 1, a, b))
-    return groups.root
+    return groups.root, compared
 
 
 # -- Links over Spark -------------------------------------------------------------------
@@ -217,16 +227,20 @@ def gray_rank(bits: Column) -> Column:
     return rank
 
 
-def _buckets(prints: DataFrame) -> DataFrame:
+def bucket_bits(fingerprints: int) -> int:
+    """The first bits of a block that a bucket goes by, so that it holds ``RUN`` at most where
+    fingerprints are spread evenly."""
+    return min(BLOCK_BITS, max(0, math.ceil(math.log2(max(fingerprints, 1) / RUN))))
+
+
+def _buckets(prints: DataFrame, bits: int) -> DataFrame:
     """Every fingerprint in its buckets: bucket, turned."""
-    turns = [
-        F.struct(
-            (F.shiftrightunsigned(_turned(F.col("print"), i * BLOCK_BITS), BITS - BLOCK_BITS)
-             + F.lit(i << BLOCK_BITS)).alias("bucket"),
-            _turned(F.col("print"), i * BLOCK_BITS).alias("turned"),
-        )
-        for i in range(BLOCKS)
-    ]
+    turns = []
+    for i in range(BLOCKS):
+        turned = _turned(F.col("print"), i * BLOCK_BITS)
+        first = F.shiftrightunsigned(turned, BITS - bits) if bits else F.lit(0).cast("long")
+        bucket = first + F.lit(i << BLOCK_BITS)
+        turns.append(F.struct(bucket.alias("bucket"), turned.alias("turned")))
     return prints.select(F.inline(F.array(*turns)))
 
 
@@ -248,7 +262,9 @@ def _cut(rows: DataFrame, bits: int) -> DataFrame:
     for i in range(BLOCKS):
         low = i * width
         value = F.shiftrightunsigned(rest, low).bitwiseAND(F.lit((1 << width) - 1))
-        above = F.shiftleft(F.shiftrightunsigned(rest, low + width), low)
+        above = F.lit(0).cast("long")
+        if low + width < BITS:
+            above = F.shiftleft(F.shiftrightunsigned(rest, low + width), low)
         blocks.append(
             F.struct(
                 F.shiftleft(inner, width + 2)
@@ -263,18 +279,19 @@ def _cut(rows: DataFrame, bits: int) -> DataFrame:
     return rows.select("bucket", "turned", F.inline(cut))
 
 
-def _dealt(prints: DataFrame) -> DataFrame:
+def _dealt(prints: DataFrame, fingerprints: int) -> DataFrame:
     """Every fingerprint in its runs: bucket, inner, rest, turned."""
-    bits = BITS - BLOCK_BITS
-    rest = F.col("turned").bitwiseAND(F.lit((1 << bits) - 1))
-    rows = _buckets(prints).withColumn("inner", F.lit(1).cast("long")).withColumn("rest", rest)
-    # At most BLOCKS * 2**BLOCK_BITS rows.
-    large = _large(rows, ["bucket"], LARGE)
-    rows = _cut(rows.join(F.broadcast(large), "bucket", "left"), bits)
-    bits -= bits // BLOCKS
-    # Only what has been cut can be so large.
+    first = bucket_bits(fingerprints)
+    bits = BITS - first
+    rest = F.col("turned")
+    if first:
+        rest = rest.bitwiseAND(F.lit((1 << bits) - 1))
+    rows = _buckets(prints, first)
+    rows = rows.withColumn("inner", F.lit(1).cast("long")).withColumn("rest", rest)
     while bits > LEAST_BITS:
-        large = _large(rows.filter("inner > 1"), ["bucket", "inner"], STILL_LARGE)
+        # Only what has been cut before can still be large.
+        cut = rows if bits == BITS - first else rows.filter("inner > 1")
+        large = _large(cut, ["bucket", "inner"], LARGE)
         if large.isEmpty():
             break
         rows = _cut(rows.join(large, ["bucket", "inner"], "left"), bits)
@@ -301,39 +318,64 @@ def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, np.ndarray]]
 
 
 def _chains(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Links along each group of a bucket, as fingerprints turned back."""
+    """Links along each group of a bucket, as fingerprints turned back, and for each bucket the
+    numbers of pairs that were compared, and that were not."""
     found: list[np.ndarray] = []
+    counts: list[tuple[int, int]] = []
     size = 0
+
+    def batch() -> pa.RecordBatch:
+        pairs = np.hstack([*found, np.zeros((2, 0), dtype=np.int64)])
+        n, m = pairs.shape[1], len(counts)
+        compared, spared = np.array(counts, dtype=np.int64).reshape(-1, 2).T
+        columns = [
+            *(pa.concat_arrays([pa.array(c), pa.nulls(m, pa.int64())]) for c in pairs),
+            *(pa.concat_arrays([pa.nulls(n, pa.int64()), pa.array(c)]) for c in (compared, spared)),
+        ]
+        return pa.RecordBatch.from_arrays(columns, schema=_LINKS)
+
     for bucket, turned in _runs(b for b in batches if b.num_rows):
-        if len(turned) < 2:
+        n = len(turned)
+        if n < 2:
             continue
-        root = linked_groups(turned)
+        root, compared = linked_groups(turned)
+        counts.append((compared, n * (n - 1) // 2 - compared))
         order = np.argsort(root, kind="stable")
         same = root[order][1:] == root[order][:-1]
-        if not same.any():
-            continue
         by = np.uint64((bucket >> BLOCK_BITS) * BLOCK_BITS)
         back = turned if not by else (turned >> by) | (turned << (np.uint64(BITS) - by))
         pairs = np.stack((back[order[:-1][same]], back[order[1:][same]])).view(np.int64)
         found.append(pairs)
-        size += pairs.shape[1]
+        size += pairs.shape[1] + 1
         if size > 10_000:
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in np.hstack(found)], schema=_LINKS)
-            found, size = [], 0
-    if found:
-        yield pa.RecordBatch.from_arrays([pa.array(c) for c in np.hstack(found)], schema=_LINKS)
+            yield batch()
+            found.clear()
+            counts.clear()
+            size = 0
+    if counts:
+        yield batch()
 
 
-def links(prints: DataFrame) -> DataFrame:
-    """Links that join what the distance links, among distinct fingerprints: a, b."""
+def searched(prints: DataFrame) -> DataFrame:
+    """Links that join what the distance links, among distinct fingerprints (a, b), stored,
+    beside one row per bucket with the pairs compared and spared."""
     dealt = (
-        _dealt(prints)
+        _dealt(prints, prints.count())
         .withColumn("rank", gray_rank(F.col("turned")))
         .repartition("bucket", "inner")
         .sortWithinPartitions("bucket", "inner", "rank")
         .select("bucket", "inner", "turned")
     )
-    return dealt.mapInArrow(_chains, "a long, b long")
+    return stored(dealt.mapInArrow(_chains, _LINKS_DDL), "simhash-links")
+
+
+def links(prints: DataFrame) -> DataFrame:
+    """The links of ``searched``: a, b."""
+    found = searched(prints)
+    if log.isEnabledFor(logging.INFO):
+        compared, spared = found.agg(F.sum("compared"), F.sum("spared")).first()
+        log.info("%s pairs of fingerprints compared, %s spared by the index", compared, spared)
+    return found.filter("a is not null").select("a", "b")
 
 
 def classes(prints: DataFrame) -> DataFrame:
@@ -345,8 +387,7 @@ def classes(prints: DataFrame) -> DataFrame:
         F.col("tie").alias("tie"),
     )
     distinct = stored(prints.groupBy("print").agg(F.min(first).alias("own")), "simhash-distinct")
-    linked = stored(links(distinct), "simhash-links")
-    reached = connected_components(linked).withColumnRenamed("node", "print")
+    reached = connected_components(links(distinct)).withColumnRenamed("node", "print")
     members = stored(distinct.join(reached, "print"), "simhash-members")
     first_of = stored(
         members.groupBy("component").agg(F.min("own").alias("keeper")), "simhash-first"
