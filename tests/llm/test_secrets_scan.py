@@ -1,5 +1,6 @@
 import hashlib
 import math
+import random
 import re
 
 import public_tokenizers
@@ -59,6 +60,8 @@ def test_base_spans_and_counts(spark):
     assert guessed[903] == ["guess:5:16"]  # and not the second, which is a word
     assert guessed[904] == ["guess:15:32"]
     assert sum(map(len, guessed.values())) == 2
+    assert by_id[903].n_values == 2
+    assert [g.rsplit(":", 1)[0] for g in by_id[903].guesses.split(",")] == ["5:16", "22:30"]
 
 
 def test_no_documents(spark):
@@ -114,12 +117,17 @@ def test_values_that_a_pattern_covers_in_part_are_judged_whole():
     for name in ("password", "passwd", "secret", "token", "api_key"):
         text = f'{name} = "Winter2024!x7$Kq9zPm2" and more'
         at = len(name) + 4
-        base, spans = scan.scan_text(text, RANKS)
+        base, spans, _ = scan.scan_text(text, RANKS)
         assert base == [(0, "assign", at + 10)]
         assert spans == [*base, (at, "guess", at + 21)]
-    for text in ("password = 'welcome!'", "token=x7Kq9zPm2x7 done", "api_key: AKIA" + "Z9" * 9):
-        base, spans = scan.scan_text(text, RANKS)
-        assert base and spans == base  # easy to guess, or whole in a base span
+    for text, hard in (
+        ("password = 'welcome!'", False),
+        ("token=x7Kq9zPm2x7 done", True),
+        ("api_key: AKIA" + "Z9" * 9, False),
+    ):  # also values that lie whole in a base span
+        base, spans, values = scan.scan_text(text, RANKS)
+        assert base and len(values) == 1
+        assert [kind for _, kind, _ in spans if kind == "guess"] == ["guess"] * hard
 
 
 def test_every_name_in_its_usual_form():
@@ -134,8 +142,69 @@ def test_every_name_in_its_usual_form():
         f"bearer={token}",
     ]
     for text in texts:
-        _, spans = scan.scan_text(text, RANKS)
+        _, spans, _ = scan.scan_text(text, RANKS)
         guessed = [text[start:end] for start, kind, end in spans if kind == "guess"]
         assert guessed == [token if token in text else value], text
     for text in ("the bearer of this letter", "Bearer tokens expire.", "token: bearer"):
         assert not [s for s in scan.scan_text(text, RANKS)[1] if s[1] == "guess"]
+
+
+WEAK = ("welcome", "Summer2019", "qwerty123", "changeme", "aaaaaaaaaa", "abcdefgh", "12345678",
+        "Monday!", "p4ssw0rd", "iloveyou", "2023-01-15", "zxcvbnm", "admin123", "football1",
+        "monkey99", "letmein", "dragondragon", "1q2w3e", "trustno1", "Password1!")
+REFERENCES = (
+    "${DB_PASSWORD_FROM_ENV}", "$DB_PASSWORD_FROM_ENV", "{{ vault_database_password }}",
+    "os.environ['DATABASE_PASSWORD']", "process.env.DATABASE_PASSWORD_VALUE", "%(db_password)s",
+    "getpass.getpass(prompt)", "<your-database-password>", "https://example.com/some/long/path?x=1",
+    "/run/secrets/database_password_file", "config.get_database_password", "**************",
+    "s3://bucket-of-things/with/a/long/key.txt", "$(cat /etc/database/password)",
+)
+
+
+def planted_value(rng):
+    letters = "abcdefghijkmnpqrstuvwxyzABCDEFGHJKLMNPQRSTUVWXYZ23456789"
+    more = rng.choice(["", "!#$%^&*_-+/="])
+    return "".join(rng.choice(letters + more) for _ in range(rng.randrange(10, 40)))
+
+
+def test_precision_and_recall_on_planted_values():
+    """Random values, against guessable ones and references, in all forms of the context."""
+    rng = random.Random(12)
+    right = wrong = missed = judged = 0
+    for i in range(900):
+        secret = i % 2 == 0
+        value = planted_value(rng) if secret else rng.choice(WEAK + REFERENCES)
+        form = rng.choice(['{0} = "{1}"', "{0}='{1}'", '"{0}": "{1}",', "{0} := '{1}'"])
+        text = "Set it so: " + form.format(rng.choice(scan.NAMES[:-1]), value) + " and go on."
+        _, spans, values = scan.scan_text(text, RANKS)
+        judged += len(values)
+        found = any(kind == "guess" and text[start:end] == value for start, kind, end in spans)
+        right += secret and found
+        missed += secret and not found
+        wrong += not secret and any(kind == "guess" for _, kind, _ in spans)
+    assert judged > 600
+    assert right / (right + missed) > 0.95
+    assert right / (right + wrong) > 0.95
+
+
+def test_what_refers_to_a_value_is_none():
+    for value in REFERENCES:
+        for form in ("password = {}", 'token: "{}"', "secret='{}' # x"):
+            assert scan.scan_text(form.format(value), RANKS)[2] == [], value
+    for value in ("postgres://app:x7Kq9zPm2LL@db.example.com/main", "/x7$Kq9/zPm2+LL=="):
+        assert len(scan.scan_text(f'token = "{value}"', RANKS)[2]) == 1
+
+
+def test_long_words_and_repeats_of_long_units():
+    ranks = {"w" * 10 + "ordsthatareverylongindeed": 5}
+    (word,) = ranks
+    assert len(word) > 24 and scan.min_guesses(word, ranks) < 1
+    unit = "x7$Kq!9zPm2LwT"  # over eight characters
+    once = scan.min_guesses(unit, RANKS)
+    assert math.isclose(scan.min_guesses(unit * 3, RANKS), once + math.log10(3), abs_tol=1e-9)
+
+
+def test_values_of_the_given_documents_are_judged(spark):
+    found = scan.scan(spark.read.parquet("/root/testdata/sf0.01/documents.parquet"))
+    total, spans = found.selectExpr("sum(n_values)", "sum(cast(spans like '%guess%' as int))").first()
+    assert total > 0 and spans > 0

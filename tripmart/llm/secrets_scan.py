@@ -1,16 +1,20 @@
 """Secrets in texts: fixed patterns, and values that would be hard to guess.
 
-The base patterns are those of the contract. Beyond them, a value that stands where a
-credential belongs is judged by the guesses it would take: it is cut into words, dates,
-repeats, keyboard walks, sequences and spans of brute force, by dynamic programming over its
-characters, such that the guesses multiply to the smallest number. Values of
-``10 ** LEAST_GUESSES`` guesses or more are secrets. A value that lies within one base span is
-not reported again; one that a base span covers in part is judged as a whole, so its span may
-overlap that of the pattern.
+The base patterns are those of the contract. Beyond them, every value that stands where a
+credential belongs is judged by the guesses it would take, whether or not a pattern covers it:
+it is cut into words, dates, repeats, keyboard walks, sequences and spans of brute force, by
+dynamic programming over its characters, such that the guesses multiply to the smallest
+number. Values of ``10 ** LEAST_GUESSES`` guesses or more are secrets, with a span of their own.
+What only refers to a value is none: variables, templates, calls, paths, and addresses that
+hold no password.
 
 Words and their ranks come from the vocabulary of a public tokenizer, whose order follows
 frequency; its file is a parameter.
 
+A repeat has a unit of ``LONGEST_UNIT`` characters at most. A longer one is judged as if it
+stood twice, which decides nothing unless it takes between half and all of the digits of
+``LEAST_GUESSES``, and a unit that long hardly does.
+
 Defined results: no text is empty; repeated rows get a result each. Spans are in code
 points, their ends excluded. Other columns are not read.
 """
@@ -55,13 +59,23 @@ CONTEXT = re.compile(
 )
 _TRAILING = ".!?)]}"
 
+# What stands for a value: a variable, a template, a call, a look-up, a path, a blank, or an
+# address without a password in it.
+REFERENCE = re.compile(
+    r"""\$\w+|\$?\{.*\}|\$\(.*\)|\[.*\]|%\w+%|%\(\w+\)s|%s|<.*>|\*+|x+|\.+|-+|none|null|nil|undefined"""
+    r"""|true|false|[a-z_][\w.]*\(.*\)|(?:os\.environ|process\.env|env|self|this|config|settings"""
+    r"""|args|options|params|request|secrets|vars?)[.\[(].*|(?:~|\.{1,2})?/[\w./-]*"""
+    r"""|[a-z][a-z0-9+.-]*://(?![^/\s]*:[^/\s]*@).*""",
+    re.ASCII | re.IGNORECASE,
+)
+
 # Parameters of the guessing.
 LEAST_GUESSES = 8  # decimal digits
 BRUTE_FORCE = 10  # guesses per character
 SEGMENT = math.log10(2)  # what every further segment costs
 WORDS_FILE = "byte_bpe_50k.json"
-LEAST_WORD, MOST_WORD = 3, 24
-LONGEST_UNIT = 8  # of a repeat
+LEAST_WORD = 3
+LONGEST_UNIT = 64  # of a repeat
 LEAST_WALK = 3
 
 # Fixed value: keys side by side and above one another.
@@ -77,13 +91,17 @@ _FOUND = pa.schema(
         ("n_hex", pa.int64()),
         ("base_sha256", pa.string()),
         ("spans", pa.string()),
+        ("n_values", pa.int64()),
+        ("guesses", pa.string()),
     ]
 )
 _FOUND_DDL = (
-    "doc_id long, n_assign long, n_access long, n_hex long, base_sha256 string, spans string"
+    "doc_id long, n_assign long, n_access long, n_hex long, base_sha256 string, spans string, "
+    "n_values long, guesses string"
 )
 
 Span = tuple[int, str, int]  # start, kind, end
+Value = tuple[int, int, float]  # start, end, decimal digits of the guesses
 
 
 # -- Guesses ------------------------------------------------------------------------------
@@ -97,7 +115,7 @@ def word_ranks(path: str) -> dict[str, int]:
     ranks: dict[str, int] = {}
     for token, _ in sorted(vocabulary.items(), key=lambda x: x[1]):
         word = token.removeprefix("Ġ").lower()  # the letter that stands for a space
-        if word.isascii() and word.isalpha() and LEAST_WORD <= len(word) <= MOST_WORD:
+        if word.isascii() and word.isalpha() and len(word) >= LEAST_WORD:
             ranks.setdefault(word, len(ranks) + 1)
     return ranks
 
@@ -138,8 +156,9 @@ def word_matches(value: str, ranks: dict[str, int]) -> Iterator[tuple[int, int,
     if len(plain) != len(value):
         return
     leet = plain.translate(LEET)
+    longest = max(map(len, ranks), default=0)
     for start in range(len(value) - LEAST_WORD + 1):
-        for end in range(start + LEAST_WORD, min(len(value), start + MOST_WORD) + 1):
+        for end in range(start + LEAST_WORD, min(len(value), start + longest) + 1):
             part = plain[start:end]
             case = _case_guesses(value[start:end])
             if rank := ranks.get(part):
@@ -281,20 +300,21 @@ def base_spans(text: str) -> list[Span]:
     return sorted(found, key=lambda s: (s[0], KINDS.index(s[1]), s[2]))
 
 
-def guessed_spans(text: str, base: list[Span], ranks: dict[str, int]) -> list[Span]:
-    """Values in a credential's place that are hard to guess and not within one base span."""
+def credential_values(text: str, ranks: dict[str, int]) -> list[Value]:
+    """Every value in a credential's place that is no reference, with its guesses."""
     folded = text.lower()
     if not any(name in folded for name in NAMES):
         return []
     found = []
     for m in CONTEXT.finditer(text):
         start, end = m.span(m.lastindex)
-        if m.lastindex == 3:
-            end = start + len(text[start:end].rstrip(_TRAILING))
-        if end - start < LEAST_VALUE or any(s <= start and end <= e for s, _, e in base):
+        value = text[start:end]
+        if REFERENCE.fullmatch(value):
             continue
-        if min_guesses(text[start:end], ranks) >= LEAST_GUESSES:
-            found.append((start, "guess", end))
+        if m.lastindex == 3:
+            value = value.rstrip(_TRAILING)
+        if len(value) >= LEAST_VALUE and not REFERENCE.fullmatch(value):
+            found.append((start, start + len(value), min_guesses(value, ranks)))
     return found
 
 
@@ -302,16 +322,20 @@ def written(spans: list[Span]) -> str:
     return ",".join(f"{kind}:{start}:{end}" for start, kind, end in spans)
 
 
-def scan_text(text: str | None, ranks: dict[str, int]) -> tuple[list[Span], list[Span]]:
-    """Base spans, and all spans, in order."""
+def scan_text(
+    text: str | None, ranks: dict[str, int]
+) -> tuple[list[Span], list[Span], list[Value]]:
+    """Base spans, all spans in order, and all values with their guesses."""
     text = text or ""
-    base = base_spans(text)
-    more = guessed_spans(text, base, ranks)
-    return base, sorted(base + more, key=lambda s: (s[0], KINDS.index(s[1]), s[2]))
+    base, values = base_spans(text), credential_values(text, ranks)
+    more = [(start, "guess", end) for start, end, digits in values if digits >= LEAST_GUESSES]
+    return base, sorted(base + more, key=lambda s: (s[0], KINDS.index(s[1]), s[2])), values
 
 
 def scan(documents: DataFrame, words: str | None = None) -> DataFrame:
-    """One row per document: doc_id, n_assign, n_access, n_hex, base_sha256, spans.
+    """One row per document: doc_id, n_assign, n_access, n_hex, base_sha256, spans, the number
+    of credential values (n_values), and for each of them start:end:digits (guesses), where
+    the digits are those of the number of guesses, with two decimals.
 
     ``words`` is the file of the vocabulary, at the same place on every executor.
     """
@@ -323,10 +347,14 @@ def scan(documents: DataFrame, words: str | None = None) -> DataFrame:
     def found(rows: Iterator[dict]) -> Iterator[tuple]:
         ranks = word_ranks(words)
         for row in rows:
-            base, spans = scan_text(row["text"], ranks)
+            base, spans, values = scan_text(row["text"], ranks)
             kinds = [kind for _, kind, _ in base]
             digest = hashlib.sha256(written(base).encode()).hexdigest()
-            yield row["doc_id"], *map(kinds.count, KINDS[:3]), digest, written(spans)
+            guesses = ",".join(f"{start}:{end}:{digits:.2f}" for start, end, digits in values)
+            yield (
+                row["doc_id"], *map(kinds.count, KINDS[:3]), digest, written(spans), len(values),
+                guesses,
+            )
 
     texts = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     return texts.mapInArrow(rows_in_arrow(found, _FOUND), _FOUND_DDL)
