@@ -9,6 +9,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
+from tripmart.llm import common
 from tripmart.llm import token_files as files
 
 PATH = files.tokenizer_path()
@@ -71,7 +72,7 @@ def test_documents(spark):
     # A reader takes single documents, and any zstandard reader the whole file.
     read = {}
     whole = b""
-    for row in manifest.orderBy("part").collect():
+    for row in manifest.orderBy("part", "nth").collect():
         read |= dict(files.read_documents(row.path, [27, 24]))
         with files.file_system(row.path)[0].open_input_stream(
                 files.file_system(row.path)[1], compression=None
@@ -82,6 +83,53 @@ def test_documents(spark):
     assert len(whole) == 4 * start
 
 
+def test_other_tokenizers_are_asked_as_a_whole():
+    """The one that lowers case and marks the ends of words, and one with a prefixed space."""
+    path = files.tokenizer_path("word_bpe_49k.json")
+    other, encode = Tokenizer.from_file(path), files.Encoder(path)
+    assert not encode.in_pieces and files.encoder(PATH).in_pieces
+    for _, text, *_ in document_rows():
+        assert encode(text) == packed(other.encode(text or "", add_special_tokens=False).ids)
+    settings = {"pre_tokenizer": {"type": "ByteLevel", "add_prefix_space": False}, "model": {}}
+    assert files.works_on_pieces(settings)
+    for change in (
+        {"normalizer": {"type": "NFC"}},
+        {"pre_tokenizer": {"type": "ByteLevel", "add_prefix_space": True}},
+        {"pre_tokenizer": {"type": "Whitespace"}},
+        {"pre_tokenizer": None},
+        {"model": {"type": "Unigram"}},
+        {"model": {"dropout": 0.1}},
+        {"added_tokens": [{"special": True, "lstrip": True}]},
+    ):
+        assert not files.works_on_pieces(settings | change)
+
+
+def test_files_are_rolled_by_bytes_and_documents(spark):
+    """Half the limit makes about twice the files, whatever the session's partitions are."""
+    rows = document_rows()
+    counts = []
+    for limit in (8, 4, 2):
+        manifest = files.write_token_files(documents(spark, rows), file_documents=limit).cache()
+        assert max(r.documents for r in manifest.collect()) <= limit
+        counts.append(manifest.count())
+        found = files.read_token_files(spark, manifest).orderBy("start").collect()
+        assert [r.doc_id for r in found] == sorted(
+            (r[0] for r in rows), key=lambda i: (i is not None, i or 0)
+        )
+        assert found[-1].start + found[-1].n_tokens == sum(r.ids for r in manifest.collect())
+    assert counts[0] < counts[1] < counts[2] and counts[2] >= 1.6 * counts[1]
+    small = files.write_token_files(documents(spark, rows), file_bytes=1).cache()
+    assert small.count() == len(rows)
+
+
+def test_partitions_follow_the_input(spark, monkeypatch):
+    rows = document_rows()
+    session = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert common.sized_partitions(documents(spark, rows)) == session
+    monkeypatch.setattr(common, "TASK_ROWS", 2)
+    assert common.sized_partitions(documents(spark, rows)) == -(-len(rows) // 2) > session
+
+
 def test_no_documents(spark):
     manifest = files.write_token_files(documents(spark, []))
     assert files.read_token_files(spark, manifest).collect() == []

@@ -59,6 +59,14 @@ def test_round_trip(spark, pages):
     assert urls == {"http://%C3%BC/%0D%0AX:%20y"}
 
 
+def test_archives_are_rolled(spark, pages):
+    """By the bytes written, whatever the session's partitions are."""
+    counts = [warc.write_warc(pages, file_bytes=size).count() for size in (1, 900, 1 << 30)]
+    assert counts[0] == len(PAGES) > counts[1] > counts[2]
+    small = warc.read_warc(spark, warc.write_warc(pages, file_bytes=1))
+    assert as_tuples(small, *COLUMNS) == expected(PAGES)
+
+
 def test_no_pages(spark, pages):
     assert warc.read_warc(spark, warc.write_warc(pages.limit(0))).count() == 0
 

@@ -80,6 +80,18 @@ def as_batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(arrays, schema=schema)
 
 
+# Rows of texts per task, beyond which the input sets the number of partitions.
+TASK_ROWS = 100_000
+
+
+def sized_partitions(df: DataFrame) -> int:
+    """Partitions for a shuffle of whole texts: as many as the session has, and more where a
+    task would get more than ``TASK_ROWS``. Counting the rows of stored files reads no column.
+    """
+    least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return max(least, -(-df.count() // TASK_ROWS))
+
+
 def one_each(df: DataFrame, rows: int) -> DataFrame:
     """A small frame of ``rows`` rows, such as a list of files, with a partition per row."""
     return df.coalesce(1).repartition(max(1, rows))
@@ -99,15 +111,16 @@ def file_system(uri: str) -> tuple[fs.FileSystem, str]:
 
 class TaskFile:
     """A file of one task. It gets its name when it is complete, so that a retried or
-    repeated task replaces it as a whole and readers never see a part of one."""
+    repeated task replaces it as a whole and readers never see a part of one. A task that
+    writes several numbers them."""
 
-    def __init__(self, folder: str, suffix: str) -> None:
+    def __init__(self, folder: str, suffix: str, nth: int = 0) -> None:
         task = TaskContext.get()
         part, attempt = (task.partitionId(), task.taskAttemptId()) if task else (0, 0)
         self.system, root = file_system(folder)
         self.system.create_dir(root, recursive=True)
-        name = f"part-{part:06d}{suffix}"
-        self.part = part
+        name = f"part-{part:06d}-{nth:05d}{suffix}"
+        self.part, self.nth = part, nth
         self.uri = f"{folder.rstrip('/')}/{name}"
         self._final = posixpath.join(root, name)
         self._open = posixpath.join(root, f".{name}.{attempt}")

@@ -7,13 +7,15 @@ zstandard reader reads the whole file, and ``read_documents`` decompresses only
 asked for.
 
 Documents are dealt by ranges of (doc_id, hash of the text), which also splits an id that
-very many rows share. A task encodes and writes its range; only the number of ids in each
-file passes the driver side, as one row per file.
+very many rows share; the number of ranges grows with that of the documents. A task encodes
+its range and writes files of ``FILE_BYTES`` or ``FILE_DOCUMENTS`` at most, so the tables that
+it holds until a file ends are bounded. One row per file passes on.
 
 Encoding: a byte-level BPE works on pieces of a text between which nothing merges. Words
 recur, so pieces are cut off coarsely, at white space, and their ids are remembered; the
 tokenizer sees each distinct piece once per memory. Texts that hold a special token go to
-the tokenizer as a whole.
+the tokenizer as a whole, and so do all texts where its own settings are not those that this
+holds for. The tokenizer's file must be at the same place on every executor.
 
 Defined results: a document without text, or with an empty one, has the end id alone.
 Documents without an id come first. Repeated rows are encoded each; equal rows have equal
@@ -22,6 +24,7 @@ frames. Other columns are not read.
 
 from __future__ import annotations
 
+import json
 import re
 import struct
 import zlib
@@ -40,6 +43,7 @@ from tripmart.llm.common import (
     fresh_folder,
     one_each,
     rows_in_arrow,
+    sized_partitions,
     stored,
 )
 
@@ -56,10 +60,20 @@ LEVEL = 3
 # Pieces remembered per generation; the older of two generations is dropped.
 REMEMBERED = 600_000
 
+# A file ends with the document that reaches one of these.
+FILE_BYTES = 1 << 30
+FILE_DOCUMENTS = 1_000_000
+
 _FILES = pa.schema(
-    [("path", pa.string()), ("part", pa.int32()), ("documents", pa.int64()), ("ids", pa.int64())]
+    [
+        ("path", pa.string()),
+        ("part", pa.int32()),
+        ("nth", pa.int32()),
+        ("documents", pa.int64()),
+        ("ids", pa.int64()),
+    ]
 )
-_FILES_DDL = "path string, part int, documents long, ids long"
+_FILES_DDL = "path string, part int, nth int, documents long, ids long"
 _READ = pa.schema(
     [(name, pa.int64()) for name in ("doc_id", "start", "n_tokens", "ids_crc32")]
 )
@@ -81,6 +95,32 @@ def byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in prints} | {b: chr(256 + i) for i, b in enumerate(others)}
 
 
+def works_on_pieces(settings: dict) -> bool:
+    """Whether a tokenizer is a byte-level BPE whose own pattern cuts off pieces, as they are,
+    between which nothing merges."""
+    cut, model = settings.get("pre_tokenizer") or {}, settings.get("model") or {}
+    return (
+        settings.get("normalizer") is None
+        and cut.get("type") == "ByteLevel"
+        and not cut.get("add_prefix_space")
+        and cut.get("use_regex", True)
+        and model.get("type", "BPE") == "BPE"
+        and not any(
+            model.get(name)
+            for name in (
+                "dropout", "unk_token", "continuing_subword_prefix", "end_of_word_suffix",
+                "byte_fallback", "ignore_merges",
+            )
+        )
+        and not any(
+            token.get(name)
+            for token in settings.get("added_tokens") or ()
+            for name in ("lstrip", "rstrip", "normalized", "single_word")
+            if token.get("special")
+        )
+    )
+
+
 class Encoder:
     """Texts to ids as little-endian 32-bit numbers, the same as the tokenizer gives."""
 
@@ -88,6 +128,7 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.in_pieces = works_on_pieces(json.loads(self.tokenizer.to_str()))
         added = self.tokenizer.get_added_tokens_decoder().values()
         self.special = [token.content for token in added]
         self.letters = byte_letters()
@@ -124,7 +165,7 @@ class Encoder:
     def __call__(self, text: str | None) -> bytes:
         if not text:
             return b""
-        if any(special in text for special in self.special):
+        if not self.in_pieces or any(special in text for special in self.special):
             return self.whole(text)
         known, piece = self.new.get, self.piece
         return b"".join([known(p) or piece(p) for p in _PIECES.findall(text)])
@@ -137,10 +178,11 @@ def _packed(ids: list[int]) -> bytes:
 _encoders: dict[str, Encoder] = {}
 
 
-def encoder(path: str) -> Encoder:
+def encoder(path: str, remembered: int = REMEMBERED) -> Encoder:
     """The encoder of a worker process, which keeps what it remembers between tasks."""
     if path not in _encoders:
-        _encoders[path] = Encoder(path)
+        _encoders[path] = Encoder(path, remembered)
+    _encoders[path].remembered = remembered
     return _encoders[path]
 
 
@@ -165,10 +207,12 @@ class FrameWriter:
         self.packer = zstandard.ZstdCompressor(level=level)
         self.frames = array("I")  # compressed size, size, checksum of each
         self.doc_ids: list[int | None] = []
+        self.bytes = 0
 
     def add(self, doc_id: int | None, content: bytes) -> None:
         frame = self.packer.compress(content)
         self.stream.write(frame)
+        self.bytes += len(frame)
         checksum = xxhash.xxh64_intdigest(content) & 0xFFFFFFFF
         self.frames.extend((len(frame), len(content), checksum))
         self.doc_ids.append(doc_id)
@@ -238,31 +282,44 @@ def read_documents(path: str, doc_ids: Iterable[int | None]) -> Iterator[tuple[i
 
 
 def write_token_files(
-    documents: DataFrame, tokenizer: str | None = None, folder: str | None = None
+    documents: DataFrame,
+    tokenizer: str | None = None,
+    folder: str | None = None,
+    file_bytes: int = FILE_BYTES,
+    file_documents: int = FILE_DOCUMENTS,
+    remembered: int = REMEMBERED,
 ) -> DataFrame:
     """Encode and write all documents. Returns the files in the order of their documents:
-    path, part, documents, ids, and ``before``, the number of ids in the files before.
+    path, part, nth, documents, ids, and ``before``, the number of ids in the files before.
+
+    ``remembered`` pieces, twice, are what a worker holds of texts it has encoded.
     """
     tokenizer = tokenizer or tokenizer_path()
     folder = folder or fresh_folder(documents.sparkSession, "tokens")
     end = _packed([END_ID])
 
     def write(rows: Iterator[dict]) -> Iterator[tuple]:
-        encode = encoder(tokenizer)
+        encode = encoder(tokenizer, remembered)
         file = frames = None
-        n = 0
+        n = nth = 0
+
+        def finished() -> tuple:
+            frames.finish()
+            return file.commit(), file.part, file.nth, len(frames.doc_ids), n
+
         for row in rows:
             if file is None:
-                file = TaskFile(folder, ".ids.zst")
+                file, n = TaskFile(folder, ".ids.zst", nth), 0
                 frames = FrameWriter(file.stream)
             ids = encode(row["text"]) + end
             frames.add(row["doc_id"], ids)
             n += len(ids) // 4
+            if frames.bytes >= file_bytes or len(frames.doc_ids) >= file_documents:
+                yield finished()
+                file, nth = None, nth + 1
         if file:
-            frames.finish()
-            yield file.commit(), file.part, len(frames.doc_ids), n
+            yield finished()
 
-    partitions = int(documents.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     order = [F.col("doc_id").asc_nulls_first(), F.col("tie")]
     ranged = (
         documents.select(
@@ -270,12 +327,12 @@ def write_token_files(
             "text",
             F.xxhash64("text").alias("tie"),
         )
-        .repartitionByRange(partitions, *order)
+        .repartitionByRange(sized_partitions(documents), *order)
         .sortWithinPartitions(*order)
         .select("doc_id", "text")
     )
     files = stored(ranged.mapInArrow(rows_in_arrow(write, _FILES), _FILES_DDL), "token-files")
-    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # a row per file
+    before = Window.orderBy("part", "nth").rowsBetween(Window.unboundedPreceding, -1)  # a row per file
     return files.withColumn("before", F.coalesce(F.sum("ids").over(before), F.lit(0)))
 
 

@@ -1,7 +1,6 @@
 """WARC archives: one gzip member per record, equal payloads stored once.
 
-Writing: tasks on hash partitions of the pages write an archive file each. Of pages with
-the same payload the one with the smallest id is a ``response``; the others are ``revisit``
+Writing: tasks write archive files of ``FILE_BYTES`` each. Of pages with the same payload the one with the smallest id is a ``response``; the others are ``revisit``
 records, which hold headers alone and refer to it. Which page that is comes from joins on
 narrow columns; the payload itself is shuffled once.
 
@@ -45,6 +44,9 @@ _HTTP = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-L
 # A payload that very many pages share is joined on this many keys.
 SALTS = 64
 
+# An archive ends with the record that reaches this size.
+FILE_BYTES = 1 << 30
+
 _MANIFEST = pa.schema([("path", pa.string()), ("records", pa.int64())])
 _RECORDS = pa.schema(
     [
@@ -72,12 +74,16 @@ def base32_sha1(data: bytes) -> str:
 
 def with_record_types(pages: DataFrame) -> DataFrame:
     """Pages as page_id, url, html, digest, and ``first_id``: NULL for a response that no
-    smaller page precedes, else the page to refer to; ``nth`` numbers repeated rows."""
+    smaller page precedes, else the page to refer to; ``nth`` numbers repeated rows.
+
+    What is decided about pages follows from a stored list of them without their payloads.
+    """
     html = F.coalesce("html", F.lit(""))
     page = F.col("page_id").cast("long")
     digest = F.sha1(html)
     key = F.concat_ws(":", F.coalesce(page.cast("string"), F.lit("none")), digest)
     narrow = pages.select(page.alias("page_id"), digest.alias("digest"), key.alias("key"))
+    narrow = stored(narrow, "warc-pages")
     shared = (
         narrow.groupBy("digest")
         .agg(F.min("page_id").alias("first_id"), F.count(F.lit(1)).alias("n"))
@@ -148,18 +154,27 @@ def record_bytes(row: dict) -> bytes:
     return packer.compress(record) + packer.flush()
 
 
-def write_warc(pages: DataFrame, folder: str | None = None) -> DataFrame:
+def write_warc(
+    pages: DataFrame, folder: str | None = None, file_bytes: int = FILE_BYTES
+) -> DataFrame:
     """Write every page as a record; returns one row (path, records) per archive file."""
     folder = folder or fresh_folder(pages.sparkSession, "warc")
 
     def write(rows: Iterator[dict]) -> Iterator[tuple]:
-        file, n = None, 0
+        file = None
+        records = size = nth = 0
         for row in rows:
-            file = file or TaskFile(folder, ".warc.gz")
-            file.stream.write(record_bytes(row))
-            n += 1
+            if file is None:
+                file, records, size = TaskFile(folder, ".warc.gz", nth), 0, 0
+            record = record_bytes(row)
+            file.stream.write(record)
+            records += 1
+            size += len(record)
+            if size >= file_bytes:
+                yield file.commit(), records
+                file, nth = None, nth + 1
         if file:
-            yield file.commit(), n
+            yield file.commit(), records
 
     records = with_record_types(pages)
     return stored(
