@@ -71,18 +71,66 @@ def test_many_documents_and_reruns(spark):
 
 
 def test_sample_follows_the_pareto_order(spark):
-    """Within a source, the documents of the smallest random odds are in."""
-    rows = [(i, "w " * (1 + i % 7), "en", "one" if i % 2 else "two", 1) for i in range(400)]
+    """Within a source, the documents of the smallest ratio of odds are in, and those with a
+    chance of 1 before all others. The order of the random numbers alone is another one."""
+    sizes = {i: 1 + i % 7 for i in range(400)} | {401: 60, 402: 200}
+    rows = [(i, "w " * n, "en", "abbbc"[i % 5], 1) for i, n in sizes.items()]
     frame = documents(spark, rows)
     found = mixture.with_copies(frame, mixture.mixture_plan(frame))
     drawn = found.select(
+        "row.doc_id",
         "row.source",
+        "size",
+        "target",
+        "source_size",
         "copies",
         mixture.uniform(mixture.draw(found.row.doc_id, mixture.F.md5("row.text"))).alias("u"),
     ).collect()
-    for source in ("one", "two"):
-        copies = [r.copies for r in sorted((r for r in drawn if r.source == source), key=lambda r: r.u)]
+    certain = mixed = quotas = 0
+    for source in "abc":
+        group = [r for r in drawn if r.source == source]
+        whole = int(group[0].target // group[0].source_size)
+        quota = group[0].target - whole * group[0].source_size
+        if not quota:
+            continue
+        quotas += 1
+        inside = set()
+        while True:  # what is above a chance of 1 is in, one after the other
+            left = [r for r in group if r.doc_id not in inside]
+            rest = quota - sum(r.size for r in group if r.doc_id in inside)
+            scale = rest / sum(r.size**2 for r in left)
+            sure = {r.doc_id for r in left if scale * r.size >= 1}
+            if not sure:
+                break
+            inside.add(max(sure, key=lambda i: sizes[i]))
+        certain += len(inside)
+        assert all(r.copies == whole + 1 for r in group if r.doc_id in inside)
+
+        def odds(r, scale=scale):
+            return (r.u / (1 - r.u)) / (scale * r.size / (1 - scale * r.size))
+
+        copies = [r.copies for r in sorted(left, key=odds)]
         assert copies == sorted(copies, reverse=True)
+        by_chance = [r.copies for r in sorted(left, key=lambda r: r.u)]
+        mixed += by_chance != sorted(by_chance, reverse=True)
+    assert certain and mixed == quotas > 0
+
+
+def test_chances_go_by_size(spark):
+    """Documents four times as long are in four times as often."""
+    rows = [(i, "w " * (40 if i % 3 == 0 else 10), "en", "abbbc"[i % 5], 1) for i in range(6000)]
+    found = [r for r in marked(spark, rows) if r.target % r.source_size]
+    judged = 0
+    for source in {r.source for r in found}:
+        shares = {}
+        for size in (10, 40):
+            copies = [r.copies - int(r.target // r.source_size) for r in found if (r.source, r.size) == (source, size)]
+            shares[size] = sum(copies) / len(copies)
+        quota = next(r.target % r.source_size / r.source_size for r in found if r.source == source)
+        if quota < 0.6:  # no chance reaches 1
+            judged += 1
+            assert 3.3 < shares[40] / shares[10] < 4.8
+    assert judged
 
 
 def test_the_mix_repeats_whole_documents(spark):

@@ -56,19 +56,23 @@ def test_runs_of_many_words_are_numbered_anew(monkeypatch):
 
 
 def test_sketches_merge_and_are_accurate(spark):
-    values = spark.range(20_000).select(
-        F.lit("m").alias("measure"),
-        (F.pow(F.lit(1.0005), F.col("id"))).alias("v"),
+    """The fence of a geometric series, from parts: its median and its excess up to the level."""
+    n = 20_000
+    values = [1.0005**i for i in range(n)]
+    frame = spark.range(n).select(
+        F.lit("repeats").alias("measure"),
+        F.pow(F.lit(1.0005), F.col("id")).alias("v"),
         (F.col("id") % 3).alias("part"),
     )
-    binned = values.withColumn("bin", quality.sketch_bin(F.col("v")))
+    binned = frame.withColumn("bin", quality.sketch_bin(F.col("v")))
     parts = binned.groupBy("part", "measure", "bin").agg(F.count("*").alias("n"))
-    whole = quality.merged(parts, [])
-    (row,) = quality.sketch_quantiles(whole, []).collect()
-    assert row["values"] == 20_000
-    for name, share in quality.QUARTILES.items():
-        exact = 1.0005 ** (20_000 * share - 1)
-        assert abs(row[name] / exact - 1) <= quality.ACCURACY * 1.001
+    (row,) = quality.sketch_fences(quality.merged(parts, []), []).collect()
+    middle, level = values[n // 2 - 1], quality.LEVEL["repeats"]
+    inside = values[: int(n * level)]
+    excess = sum(max(v - middle, 0) for v in inside) / (n * (level - 0.5))
+    expected = middle + quality.LEAST_DISTANCE["repeats"] + quality.SPREADS["repeats"] * excess
+    assert row["values"] == n
+    assert abs(row.upper / expected - 1) <= quality.ACCURACY * 1.1
 
 
 def judged_texts(spark, texts):
@@ -76,16 +80,68 @@ def judged_texts(spark, texts):
     return {r.doc_id: r for r in quality.judged(documents(spark, rows)).collect()}
 
 
-def test_thresholds_follow_the_group(spark):
-    """What is common in one source is an outlier in another; few documents go by their
-    language."""
-    plain = [(prose(i, 80), "en", "plain") for i in range(80)]
-    marked = [(" ".join(w + " |" for w in prose(i, 80).split()), "en", "tables") for i in range(80)]
-    odd = [(marked[0][0] + " z", "en", "plain"), (marked[0][0] + " z", "xx", "rare")]
-    found = judged_texts(spark, plain + marked + odd)
-    assert all(found[i].kept for i in range(160))
-    assert not found[160].kept
-    assert found[161].kept  # judged by the corpus, half of which has bars
+def with_measure(seed, measure, amount):
+    """A text of 200 words with so much of one measure and nothing of the others."""
+    words = [f"w{seed * 1000 + i:07d}" for i in range(200)]
+    many = round(200 * amount)
+    if measure == "word_length":
+        words = [w + "x" * round(10 * amount) for w in words]
+    if measure == "symbols":
+        words = [w + "|" if i < many else w for i, w in enumerate(words)]
+    if measure == "repeats":
+        half = many // 2
+        words[:half] = words[half : 2 * half]
+    lines = [" ".join(words[i : i + 2]) for i in range(0, 200, 2)]
+    if measure == "dup_lines":  # in one line, so that no window recurs
+        lines = [" ".join(words[i : i + 2]) for i in range(0, 200, 2)]
+        for i in range(round(100 * amount / 2)):
+            lines[2 * i + 1] = lines[2 * i] = words[4 * i]
+    return "\n".join(lines)
+
+
+AMOUNTS = {"word_length": 0.9, "symbols": 0.4, "dup_lines": 0.7, "repeats": 0.45}
+
+
+@pytest.mark.parametrize("measure", AMOUNTS)
+def test_fences_follow_the_source_for_every_measure(spark, measure):
+    """What is common in one source is rejected as an outlier of another, by the measure alone."""
+    high = AMOUNTS[measure]
+    plain = [(with_measure(i, measure, 0.0), "en", "plain") for i in range(120)]
+    usual = [(with_measure(200 + i, measure, high * (0.5 + 0.004 * i)), "en", "usual") for i in range(120)]
+    lone = [(with_measure(500, measure, high), "en", "plain")]
+    found = judged_texts(spark, plain + usual + lone)
+    assert not any(r.base_failed for r in found.values())
+    assert not found[240].kept
+    assert all(found[i].kept for i in range(120))
+    assert sum(found[120 + i].kept for i in range(120)) >= 114
+    rows = [(i, t, lang, source, 1) for i, (t, lang, source) in enumerate(plain + usual)]
+    bounds = quality.fences(quality.document_stats(documents(spark, rows))).collect()
+    one, two = sorted(r.fences[f"{measure}_upper"] for r in bounds)
+    assert two > 1.2 * one > 0
+
+
+def test_a_group_of_any_size_pulls_its_fence_by_its_weight(spark):
+    """No size at which the fence jumps, and none at which it is the group's own alone."""
+    fence = []
+    for n in (0, 48, 49, 50, 51, 400):
+        rows = [(i, with_measure(i, "symbols", 0.0), "en", "plain", 1) for i in range(400)]
+        rows += [(1000 + i, with_measure(500 + i, "symbols", 0.5), "en", "junk", 1) for i in range(n)]
+        rows += [(5000, "too short", "en", "junk", 1)]
+        stats = quality.document_stats(documents(spark, rows))
+        (row,) = quality.fences(stats).filter("source = 'junk'").collect()
+        fence.append(row.fences["symbols_upper"])
+    assert fence == sorted(fence)
+    steps = [b - a for a, b in zip(fence[1:4], fence[2:5])]
+    assert max(steps) < 0.02
+    assert fence[0] == pytest.approx(quality.LEAST_DISTANCE["symbols"])
+
+
+def test_a_source_of_junk_alone_does_not_pass_as_it_is(spark):
+    junk = [(with_measure(i, "symbols", 0.6), "en", "junk") for i in range(30)]
+    plain = [(with_measure(100 + i, "symbols", 0.0), "en", f"s{i % 3}") for i in range(600)]
+    found = judged_texts(spark, junk + plain)
+    assert not any(found[i].kept for i in range(30))
+    assert all(found[30 + i].kept for i in range(600))
 
 
 def test_no_documents(spark):

@@ -2,14 +2,18 @@
 
 Every source gets a target number of words. Documents of a source are taken as often as
 target and size ask for: the whole copies that every document gets for certain are given
-out first, and a Pareto sample makes up the rest. In Pareto order sampling a document with
-inclusion probability p and uniform random number u has the rank
+out first, and an unequal-probability sample makes up the rest, the quota. The chance of a
+document to be in it is proportional to its number of words, so that of two documents the
+one that does more for the quota is taken more often. Where that would be 1 or more, the
+document is taken for certain, and the others share what is left of the quota; that goes by
+size, from the largest down. In Pareto order sampling a document with inclusion probability p
+and uniform random number u has the rank
 
     (u / (1 - u)) / (p / (1 - p))
 
 and the documents of smallest rank are taken. The sample has a fixed size, here counted
 in words: documents are taken in the order of their ranks up to the point where the words
-taken come nearest to what is left of the target.
+taken come nearest to what is left of the quota.
 
 That point is found without sorting a source. Ranks are cut into bins on a logarithmic
 scale; the totals of the bins tell in which bin the point lies, that bin is cut into finer
@@ -173,17 +177,50 @@ def pareto_cuts(ranked: DataFrame) -> DataFrame:
     )
 
 
+def inclusion_levels(sized: DataFrame, quotas: DataFrame) -> DataFrame:
+    """How the sizes of a source make inclusion probabilities: source, level, scale, rest.
+
+    Documents above ``level`` words are in for certain; one of n words up to it is in with the
+    probability n times ``scale``, and these make up ``rest`` words of the quota on average.
+    ``quotas`` has source and quota. A source goes through a window by its distinct sizes, of
+    which there are no more than words in its longest document.
+    """
+    quotas = quotas.filter("quota > 0").select(F.col("source").alias("s"), "quota")
+    sizes = sized.filter("size > 0").groupBy("source", "size").agg(F.count(F.lit(1)).alias("n"))
+    sizes = sizes.join(quotas, sizes["source"].eqNullSafe(quotas["s"]))
+    size, n = F.col("size").cast("decimal(19,0)"), F.col("n").cast("decimal(19,0)")
+    down = Window.partitionBy("source").orderBy(F.desc("size"))
+    larger = F.sum(F.col("size") * F.col("n")).over(down.rowsBetween(Window.unboundedPreceding, -1))
+    squares = F.sum((size * size).cast("decimal(38,0)") * n).over(
+        down.rowsBetween(Window.currentRow, Window.unboundedFollowing)
+    )
+    steps = (
+        sizes.withColumn("squares", squares.cast("double"))
+        .withColumn("rest", F.col("quota") - F.coalesce(larger, F.lit(0)).cast("double"))
+        .filter(F.col("rest") * F.col("size") < F.col("squares"))
+    )
+    return (
+        steps.groupBy("source")
+        .agg(F.max(F.struct("size", "rest", "squares")).alias("first"))
+        .select(
+            "source",
+            F.col("first.size").alias("level"),
+            (F.col("first.rest") / F.col("first.squares")).alias("scale"),
+            F.col("first.rest").alias("rest"),
+        )
+    )
+
+
 def mixture_plan(
     documents: DataFrame,
     weights: Sequence[int] = WEIGHTS,
     share: tuple[int, int] = SHARE,
     most: int = MOST_COPIES,
 ) -> DataFrame:
-    """One row per source: source, source_size, target, whole, inclusion, coarse, fine, cut."""
+    """One row per source: source, source_size, target, whole, quota, level, scale, rest, coarse,
+    fine, cut."""
     sized = stored(
-        documents.select(
-            F.col("source").cast("string").alias("source"), *_measures()
-        ),
+        documents.select(F.col("source").cast("string").alias("source"), *_measures()),
         "mixture-sizes",
     )
     targets = stored(source_targets(sized, weights, share, most), "mixture-targets")
@@ -191,14 +228,18 @@ def mixture_plan(
     per_source = targets.select(
         "*", F.when(F.col("source_size") > 0, whole).otherwise(0).cast("int").alias("whole")
     ).withColumn("quota", F.col("target") - F.col("whole") * F.col("source_size"))
-    per_source = per_source.withColumn(
-        "inclusion", F.when(F.col("quota") > 0, F.col("quota") / F.col("source_size"))
-    )
+    levels = inclusion_levels(sized, per_source).withColumnRenamed("source", "v")
+    levels = stored(levels, "mixture-levels")
+    per_source = per_source.join(
+        levels, per_source["source"].eqNullSafe(levels["v"]), "left"
+    ).drop("v")
+    per_source = stored(per_source, "mixture-sources")
     renamed = per_source.withColumnRenamed("source", "s")
+    drawn = sized.join(renamed, sized["source"].eqNullSafe(renamed["s"])).filter("size > 0 and size <= level and scale > 0")
     ranked = stored(
-        sized.join(renamed, sized["source"].eqNullSafe(renamed["s"])).select(
-            "source", "size", "tie", "quota",
-            pareto_rank(F.col("u"), F.col("inclusion")).alias("rank"),
+        drawn.select(
+            "source", "size", "tie", F.col("rest").alias("quota"),
+            pareto_rank(F.col("u"), F.col("scale") * F.col("size")).alias("rank"),
         ),
         "mixture-ranks",
     )
@@ -221,13 +262,23 @@ def with_copies(documents: DataFrame, plan: DataFrame) -> DataFrame:
     measured = documents.select(
         as_rows(documents), F.col("source").cast("string").alias("source"), *_measures()
     )
-    rank = pareto_rank(F.col("u"), F.col("plan.inclusion"))
+    # Without words there is no chance to be in, and above the level no chance to be left out.
+    drawn = (F.col("size") > 0) & (F.col("size") <= F.col("plan.level")) & (F.col("plan.scale") > 0)
+    inclusion = F.when(drawn, F.col("plan.scale") * F.col("size"))
+    rank = pareto_rank(F.col("u"), inclusion)
     same = F.col("source").eqNullSafe(F.col("named"))
     placed = measured.join(plan, same).withColumn("rank", rank)
     coarse, fine = _bins()
     place, last = F.struct(coarse, fine), F.struct("plan.coarse", "plan.fine")
     sampled = (place < last) | ((place == last) & (F.struct("rank", "tie") <= F.col("plan.cut")))
-    more = (F.col("plan.quota") > 0) & F.coalesce(sampled, F.lit(False))
+    # A quota above zero has a level, unless every document is in for certain.
+    certain = (F.col("plan.quota") > 0) & (F.col("size") > F.coalesce("plan.level", F.lit(0)))
+    more = certain | (
+        (F.col("plan.quota") > 0)
+        & (F.col("size") <= F.col("plan.level"))
+        & F.coalesce(sampled, F.lit(False))
+    )
+    more = F.coalesce(more, F.lit(False))
     return placed.select(
         "row",
         "size",

@@ -2,16 +2,21 @@
 
 A document has four measures: characters per word, symbols per word, the share of its lines
 that repeat an earlier one, and the share of its words in windows that recur. In place of
-fixed cutoffs, each measure is held against fences that its language and source set: so
-many spreads above the upper quartile (and, for word length, below the lower one), where the
-spread is the distance from the median to that quartile, with a small least value.
-
-Quartiles come from mergeable sketches: values are counted in bins whose bounds grow by a
-constant factor, which gives any quantile within ``ACCURACY`` of its value. Sketches merge
-by adding counts, so they are built in the map tasks, do not depend on the order of rows,
-and those of a language and of the whole corpus are sums of those of its sources. A source
-with fewer than ``LEAST`` documents uses the sketch of its language, and a language with
-fewer uses that of the corpus. Documents that fail the base rules are not in the sketches.
+fixed cutoffs, each measure is held against fences that its language and source set: the
+median and so many tail spreads above it (and, for word length, below it). The tail spread is
+the mean excess over the median of the half of all values above it, up to a level: what lies
+beyond the level is what the corpus may hold of junk, and sets no fence. Where a value other
+than zero is rare, it decides by how rare and how large such values are.
+
+Quantiles and excesses come from mergeable sketches: values are counted in bins whose bounds
+grow by a constant factor, which gives any value within ``ACCURACY``. Sketches merge by adding
+counts, so they are built in the map tasks, do not depend on the order of rows, and those of a
+language and of the whole corpus are sums of those of its sources. The fence of a source is
+pooled with that of its language, and this one with that of the corpus, as a geometric mean: n
+documents have the weight n, and what is above them has the weight ``POOL``. So a group of any
+size gets a fence, one full of junk cannot set its own alone, and one odd source does not undo
+the fences of the others. Documents that fail the base rules are
+not in the sketches.
 
 Fences are joined to the measures; the join side is one row per language and source, of
 whatever number, so the planner chooses how. Texts are read once and never moved.
@@ -40,16 +45,18 @@ LEAST_WORDS = 50
 MOST_REPEATED = 50  # per cent
 WINDOW = 3
 
-# Parameters: relative accuracy of the sketches, documents of a group with a sketch of its own.
+# Parameters: relative accuracy of the sketches, and the weight of what a group is part of.
 ACCURACY = 0.01
-LEAST = 50
-QUARTILES = {"low": 0.25, "middle": 0.5, "high": 0.75}
-
-# Parameters: spreads to the fence, and the least spread, by measure. Only the length of
-# words has a lower fence.
-SPREADS = 8
-LEAST_SPREAD = {"word_length": 0.15, "symbols": 0.02, "dup_lines": 0.05, "repeats": 0.05}
+POOL = 50
+
+# Parameters by measure: the level up to which values count, the tail spreads to the fence, and
+# the least distance to it, which covers one symbol or repeat in the shortest document judged
+# and the accuracy of the sketches. Only the length of words has a lower fence.
+LEVEL = {"word_length": 0.95, "symbols": 0.95, "dup_lines": 0.995, "repeats": 0.995}
+SPREADS = {"word_length": 7, "symbols": 4, "dup_lines": 28, "repeats": 20}
+LEAST_DISTANCE = {"word_length": 0.1, "symbols": 0.02, "dup_lines": 0.02, "repeats": 0.06}
 TWO_SIDED = ("word_length",)
+LEAST_FENCE = 0.1
 
 LARGEST_KEY = 1 << 62
 
@@ -183,76 +190,93 @@ def merged(sketch: DataFrame, keys: list[str]) -> DataFrame:
     return sketch.groupBy(*keys, "measure", "bin").agg(F.sum("n").alias("n"))
 
 
-def sketch_quantiles(sketch: DataFrame, keys: list[str]) -> DataFrame:
-    """Quartiles per keys and measure, and the number of values."""
+def _of(parameter: dict[str, float]) -> Column:
+    """A parameter by the measure of the row."""
+    pairs = chain.from_iterable((k, float(v)) for k, v in parameter.items())
+    return F.create_map(*map(F.lit, pairs))[F.col("measure")]
+
+
+def sketch_fences(sketch: DataFrame, keys: list[str]) -> DataFrame:
+    """Fences per keys and measure, and the number of values: keys, measure, values, upper,
+    lower."""
     group = Window.partitionBy(*keys, "measure")
     running = group.orderBy(F.col("bin").asc_nulls_first()).rowsBetween(
         Window.unboundedPreceding, 0
     )
-    ranked = sketch.withColumn("upto", F.sum("n").over(running)).withColumn(
-        "values", F.sum("n").over(group)
+    ranked = (
+        sketch.withColumn("upto", F.sum("n").over(running))
+        .withColumn("values", F.sum("n").over(group))
+        .withColumn("value", bin_value(F.col("bin")))
     )
-    # The first bin that reaches the rank.
-    reached = {
-        name: F.min(
-            F.when(
-                F.col("upto") >= F.ceil(F.col("values") * share),
-                F.struct("upto", bin_value(F.col("bin")).alias("value")),
-            )
-        )["value"].alias(name)
-        for name, share in QUARTILES.items()
-    }
-    return ranked.groupBy(*keys, "measure").agg(F.max("values").alias("values"), *reached.values())
+    reached = F.when(F.col("upto") >= F.ceil(F.col("values") * 0.5), F.col("value"))
+    ranked = ranked.withColumn("middle", F.min(reached).over(group))
+    total, level = F.col("values").cast("double"), _of(LEVEL)
+    before = F.col("upto") - F.col("n")
+    # How much of a bin lies within the level, from either end.
+    below = F.least(F.col("upto"), level * total) - F.least(before, level * total)
+    above = F.greatest(F.col("upto"), (1 - level) * total) - F.greatest(
+        before, (1 - level) * total
+    )
+    half = total * (level - 0.5)
+    over = F.sum(below * F.greatest(F.col("value") - F.col("middle"), F.lit(0.0)) / half)
+    under = F.sum(above * F.greatest(F.col("middle") - F.col("value"), F.lit(0.0)) / half)
+    middle = F.max("middle")
+    return (
+        ranked.groupBy(*keys, "measure")
+        .agg(F.max("values").alias("values"), middle.alias("middle"), over.alias("over"),
+             under.alias("under"))
+        .select(
+            *keys,
+            "measure",
+            "values",
+            (F.col("middle") + _of(LEAST_DISTANCE) + _of(SPREADS) * F.col("over")).alias("upper"),
+            F.greatest(
+                F.col("middle") - _of(LEAST_DISTANCE) - _of(SPREADS) * F.col("under"),
+                F.lit(LEAST_FENCE),
+            ).alias("lower"),
+        )
+    )
+
+
+def _wide(found: DataFrame, keys: list[str], label: str) -> DataFrame:
+    """One row per keys: the fences of all measures as a struct, and the number of values."""
+    columns = [
+        F.max(F.when(F.col("measure") == name, F.col(side))).alias(f"{name}_{side}")
+        for name, side in _SIDES
+    ]
+    grouped = found.groupBy(*keys).agg(F.max("values").alias("values"), *columns)
+    return grouped.select(
+        *(F.col(k).alias(f"{label}_{k}") for k in keys),
+        F.struct("values", *(f"{name}_{side}" for name, side in _SIDES)).alias(label),
+    )
+
+
+_SIDES = [(name, "upper") for name in LEVEL] + [(name, "lower") for name in TWO_SIDED]
+
+
+def _pooled(own: str, rest: Column, side: str) -> Column:
+    """A fence of a group and that of what it is part of, by weight."""
+    n = F.coalesce(F.col(f"{own}.values"), F.lit(0)).cast("double")
+    mean = F.exp((n * F.log(F.col(f"{own}.{side}")) + POOL * F.log(rest)) / (n + POOL))
+    return F.when(n > 0, mean).otherwise(rest)
 
 
 def fences(stats: DataFrame) -> DataFrame:
     """One row per lang and source: lang, source, and the bounds of each measure."""
     own = stored(sketches(stats), "quality-sketches")
-    by_language = merged(own, ["lang"])
-    by_corpus = merged(own, [])
-    levels = [
-        sketch_quantiles(own, ["lang", "source"]),
-        sketch_quantiles(by_language, ["lang"]).withColumn("source", F.lit(None).cast("string")),
-        sketch_quantiles(by_corpus, []).select(
-            "*",
-            F.lit(None).cast("string").alias("lang"),
-            F.lit(None).cast("string").alias("source"),
-        ),
-    ]
-    bounds = []
-    for level, found in enumerate(levels):
-        spreads = (F.lit(x) for x in chain.from_iterable(LEAST_SPREAD.items()))
-        least = F.create_map(*spreads)[F.col("measure")]
-        upper = F.col("high") + SPREADS * F.greatest(F.col("high") - F.col("middle"), least)
-        lower = F.col("low") - SPREADS * F.greatest(F.col("middle") - F.col("low"), least)
-        keys = ["lang", "source"][: 2 - level]
-        columns = [
-            F.max(F.when(F.col("measure") == name, upper)).alias(f"{name}_upper")
-            for name in LEAST_SPREAD
-        ] + [
-            F.max(F.when(F.col("measure") == name, lower)).alias(f"{name}_lower")
-            for name in TWO_SIDED
-        ]
-        grouped = found.groupBy(*keys).agg(F.max("values").alias("values"), *columns)
-        bounds.append(stored(grouped, "quality-fences"))
-    names = [c for c in bounds[0].columns if c not in ("lang", "source", "values")]
-
-    def packed(df: DataFrame, label: str, keys: list[str]) -> DataFrame:
-        if keys:  # too few values to go by; the corpus has to do with what it has
-            df = df.filter(F.col("values") >= LEAST)
-        named = (F.col(k).alias(f"{label}_{k}") for k in keys)
-        return df.select(*named, F.struct(*names).alias(label))
-
-    groups = stats.select("lang", "source").distinct()
     by_source, by_lang, by_all = (
-        packed(df, label, keys)
-        for df, label, keys in zip(
-            bounds, ("s", "l", "c"), (["lang", "source"], ["lang"], []), strict=True
+        stored(_wide(sketch_fences(sketch, keys), keys, label), "quality-fences")
+        for sketch, label, keys in (
+            (own, "s", ["lang", "source"]),
+            (merged(own, ["lang"]), "l", ["lang"]),
+            (merged(own, []), "c", []),
         )
     )
     corpus = by_all.select("c").scalar()  # one row
-    return (
-        groups.join(
+    groups = (
+        stats.select("lang", "source")
+        .distinct()
+        .join(
             by_source,
             F.col("lang").eqNullSafe(F.col("s_lang"))
             & F.col("source").eqNullSafe(F.col("s_source")),
@@ -260,8 +284,13 @@ def fences(stats: DataFrame) -> DataFrame:
         )
         .join(by_lang, F.col("lang").eqNullSafe(F.col("l_lang")), "left")
         .withColumn("c", corpus)
-        .select("lang", "source", F.coalesce("s", "l", "c").alias("fences"))
     )
+    pooled = []
+    for name, side in _SIDES:
+        column = f"{name}_{side}"
+        language = _pooled("l", F.col(f"c.{column}"), column)
+        pooled.append(_pooled("s", language, column).alias(column))
+    return groups.select("lang", "source", F.struct(*pooled).alias("fences"))
 
 
 def judged(documents: DataFrame) -> DataFrame:

@@ -155,7 +155,11 @@ select page_id, cast(strlen(html) as bigint) as payload_bytes,
 from numbered
 """
 
-_LENGTH, _SYMBOLS, _DUPS, _REPEATS = quality.LEAST_SPREAD.values()
+
+def _by_measure(parameter: dict[str, float]) -> str:
+    whens = " ".join(f"when '{name}' then {value}" for name, value in parameter.items())
+    return f"(case measure {whens} end::double)"
+
 
 _OP3 = rf"""
 with d as (
@@ -172,7 +176,7 @@ covered as (
   select r, count(distinct pos) as n_repeat_words
   from (select r, unnest(range(s, s + 3)) as pos from often where n > 1) group by r),
 stats as (
-  select doc_id, lang, source, cast(len(words) as bigint) as n_words,
+  select r, doc_id, lang, source, cast(len(words) as bigint) as n_words,
          cast(coalesce(list_sum(list_transform(words, lambda w: length(w))), 0) as bigint)
            as word_chars,
          cast(len(regexp_extract_all(text, '[#*$%&|<>]')) as bigint) as n_symbols,
@@ -201,45 +205,61 @@ levels as (
 counted as (
   select level, lang, source, measure, bin, count(*) as n from levels group by all),
 ranked as (
-  select *, sum(n) over (w order by bin nulls first) as upto, sum(n) over w as total,
+  select *, cast(sum(n) over (w order by bin nulls first) as double) as upto,
+         cast(sum(n) over w as double) as total, {_by_measure(quality.LEVEL)} as lvl,
          coalesce(exp(bin * {math.log(quality._GROWTH)!r}::double)
                   * {2 / (quality._GROWTH + 1)!r}::double, 0) as value
   from counted window w as (partition by level, lang, source, measure)),
-quartiles as (
-  select level, lang, source, measure, max(total) as total,
-         arg_min(value, upto) filter (where upto >= ceil(total * 0.25)) as low,
-         arg_min(value, upto) filter (where upto >= ceil(total * 0.5)) as middle,
-         arg_min(value, upto) filter (where upto >= ceil(total * 0.75)) as high
-  from ranked group by level, lang, source, measure),
+halved as (
+  select *, min(case when upto >= ceil(total * 0.5) then value end)
+              over (partition by level, lang, source, measure) as middle
+  from ranked),
 spread as (
-  select *, case measure when 'word_length' then {_LENGTH} when 'symbols' then {_SYMBOLS}
-            when 'dup_lines' then {_DUPS} else {_REPEATS} end::double as least
-  from quartiles),
-fenced as (
-  select level, lang, source, max(total) as total,
-         max(case when measure = 'word_length'
-             then high + {quality.SPREADS} * greatest(high - middle, least) end) as u1,
-         max(case when measure = 'word_length'
-             then low - {quality.SPREADS} * greatest(middle - low, least) end) as l1,
-         max(case when measure = 'symbols'
-             then high + {quality.SPREADS} * greatest(high - middle, least) end) as u2,
-         max(case when measure = 'dup_lines'
-             then high + {quality.SPREADS} * greatest(high - middle, least) end) as u3,
-         max(case when measure = 'repeats'
-             then high + {quality.SPREADS} * greatest(high - middle, least) end) as u4
-  from spread group by level, lang, source),
-chosen as (
-  select m.*, case when s.total >= {quality.LEAST} then s when l.total >= {quality.LEAST} then l
-              else c end as f
-  from measured m
-  left join fenced s on s.level = 's' and s.lang is not distinct from m.lang
-    and s.source is not distinct from m.source
-  left join fenced l on l.level = 'l' and l.lang is not distinct from m.lang
-  left join fenced c on c.level = 'c')
+  select level, lang, source, measure, max(total) as total, max(middle) as middle,
+         sum((least(upto, lvl * total) - least(upto - n, lvl * total))
+             * greatest(value - middle, 0) / (total * (lvl - 0.5))) as over_it,
+         sum((greatest(upto, (1 - lvl) * total) - greatest(upto - n, (1 - lvl) * total))
+             * greatest(middle - value, 0) / (total * (lvl - 0.5))) as under_it
+  from halved group by level, lang, source, measure),
+sided as (
+  select level, lang, source, total, measure,
+         middle + {_by_measure(quality.LEAST_DISTANCE)}
+                + {_by_measure(quality.SPREADS)} * over_it as upper_fence,
+         greatest(middle - {_by_measure(quality.LEAST_DISTANCE)}
+                  - {_by_measure(quality.SPREADS)} * under_it, {quality.LEAST_FENCE}) as lower_fence
+  from spread),
+bounds as (
+  select g.lang, g.source, m.measure, m.side,
+         coalesce(exp((s.total * ln(case when side = 1 then s.upper_fence else s.lower_fence end)
+                       + {quality.POOL} * ln(pooled)) / (s.total + {quality.POOL})), pooled) as fence
+  from (select distinct lang, source from measured) g,
+       (select c.measure, side, l.lang,
+               coalesce(exp((l.total * ln(case when side = 1 then l.upper_fence
+                                               else l.lower_fence end)
+                             + {quality.POOL} * ln(case when side = 1 then c.upper_fence
+                                                        else c.lower_fence end))
+                            / (l.total + {quality.POOL})),
+                        case when side = 1 then c.upper_fence else c.lower_fence end) as pooled
+        from (select distinct lang from measured) as langs
+        cross join (values (1), (2)) as sides(side)
+        join sided c on c.level = 'c'
+        left join sided l on l.level = 'l' and l.measure = c.measure
+          and l.lang is not distinct from langs.lang) as m
+  left join sided s on s.level = 's' and s.measure = m.measure
+    and s.lang is not distinct from g.lang and s.source is not distinct from g.source
+  where m.lang is not distinct from g.lang),
+outside as (
+  select r
+  from measured,
+       lateral (values ('word_length', word_length), ('symbols', symbols),
+                       ('dup_lines', dup_lines), ('repeats', repeats)) as m(measure, value)
+  join bounds b on b.measure = m.measure and b.lang is not distinct from measured.lang
+    and b.source is not distinct from measured.source
+  where (side = 1 and value > fence) or (side = 2 and m.measure = 'word_length' and value < fence)
+  group by r)
 select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-       not base_failed and coalesce(word_length <= f.u1 and word_length >= f.l1
-         and symbols <= f.u2 and dup_lines <= f.u3 and repeats <= f.u4, true) as kept
-from chosen
+       not base_failed and outside.r is null as kept
+from measured left join outside on measured.r = outside.r
 """
 
 _OP6 = r"""
@@ -277,23 +297,40 @@ quotas as (
          target - (case when source_size > 0 then floor(target / source_size) else 0 end)
                   * source_size as quota
   from targets),
+by_size as (
+  select s.source, size, n, quota,
+         quota - coalesce(cast(sum(size * n) over (w rows between unbounded preceding
+                                                   and 1 preceding) as double), 0) as rest,
+         cast(sum(cast(size as hugeint) * size * n) over (w rows between current row
+                                                and unbounded following) as double) as squares
+  from (select source, size, count(*) as n from sized where size > 0 group by all) as s
+  join quotas q on s.source is not distinct from q.source and quota > 0
+  window w as (partition by s.source order by size desc)),
+levels as (
+  select source, max(size) as lvl, arg_max(rest, size) as rest,
+         arg_max(rest, size) / arg_max(squares, size) as scale
+  from by_size where rest * size < squares group by source),
 drawn as (
-  select d.doc_id, d.size, d.tie, q.*,
+  select d.doc_id, d.size, d.tie, q.*, l.lvl, l.rest, l.scale * d.size as p,
          (cast(('0x' || substr(d.tie, 1, 13))::bigint as double) + 0.5)
            / 4503599627370496.0::double as u
-  from sized d join quotas q on d.source is not distinct from q.source),
+  from sized d join quotas q on d.source is not distinct from q.source
+  left join levels l on d.source is not distinct from l.source),
 ranked as (
-  select *, (u / (1.0::double - u))
-            / ((quota / source_size) / (1.0::double - quota / source_size)) as rank
-  from drawn),
+  select *, (u / (1.0::double - u)) / (p / (1.0::double - p)) as rank
+  from drawn where size > 0 and size <= lvl),
 summed as (
   select *, cast(sum(size) over (partition by source order by rank, tie) as double) as upto,
          cast(sum(size) over (partition by source, rank, tie) as double) as own
   from ranked)
 select doc_id, size, source_size, target,
-       size * (whole + case when quota > 0 and upto - quota <= quota - (upto - own)
+       size * (whole + case when quota > 0 and upto - rest <= rest - (upto - own)
                             then 1 else 0 end) as taken
 from summed
+union all
+select doc_id, size, source_size, target,
+       size * (whole + case when quota > 0 and size > coalesce(lvl, 0) then 1 else 0 end)
+from drawn where not (size > 0 and coalesce(size <= lvl, false))
 """
 
 _OP8 = r"""
@@ -460,7 +497,8 @@ _OP13 = rf"""
 with {_CRC_TABLE},
 d as (
   select row_number() over () as r, doc_id,
-         regexp_extract_all(coalesce(text, ''), '[^ 	-]+') as words,
+         regexp_extract_all(coalesce(text, ''), '[^ 	-
+]+') as words,
          coalesce(cast(doc_id as varchar), '') as name
   from documents),
 checked as (select r, doc_id, words, {_crc32("name")} as h from d, crc),
