@@ -1,0 +1,159 @@
+"""Varied pages whose blocks are known to be of the article or not."""
+
+from __future__ import annotations
+
+import random
+
+SYLLABLES = "ba be bi bo bu da de di do du ka ke ki ko la le li lo ma me mi mo na ne ni no ra re ri".split()
+# Words that mark boilerplate where they stand alone, in names where they do not.
+INNOCENT = (
+    "search-engines-history", "social-science", "advertising-standards-act", "menu-of-the-day",
+    "comment-on-monetary-policy", "tags-in-animals", "cookie-recipes", "share-of-the-market",
+    "footer-notes-of-scholars", "related-species-of-finch", "promotion-to-the-league",
+)
+INLINE = ("tags", "search", "share", "notice", "comment", "ad", "menu", "social", "replies", "toolbar")
+CONTAINERS = (
+    "<article>", "<main>", '<div class="content">', '<div id="main-text">', '<div class="post entry">',
+    "<div>", '<section class="story">', '<div class="page-header-fixed">', '<div class="wrap"><article>',
+    '<div class="main-content"><div class="{innocent}">', '<div id="{innocent}">', '<article class="{innocent}">',
+)
+
+
+def words(rng: random.Random, n: int) -> list[str]:
+    return ["".join(rng.choice(SYLLABLES) for _ in range(rng.randrange(1, 5))) for _ in range(n)]
+
+
+def sentence(rng: random.Random, low: int = 6, high: int = 22) -> str:
+    found = words(rng, rng.randrange(low, high))
+    return found[0].capitalize() + " " + " ".join(found[1:]) + rng.choice("...!?")
+
+
+def prose(rng: random.Random, low: int, high: int) -> str:
+    return " ".join(sentence(rng) for _ in range(rng.randrange(low, high)))
+
+
+def with_inline(rng: random.Random, text: str) -> str:
+    """The same text, some of its words in inline elements."""
+    parts = text.split(" ")
+    for _ in range(rng.randrange(3)):
+        at = rng.randrange(len(parts))
+        if "<" in parts[at]:
+            continue
+        parts[at] = rng.choice(
+            [
+                f"<b>{parts[at]}</b>",
+                f'<a href="/x">{parts[at]}</a>',
+                f'<span class="{rng.choice(INLINE)}">{parts[at]}</span>',
+                f'<a class="{rng.choice(INLINE)}" href="/y">{parts[at]}</a>',
+            ]
+        )
+    return " ".join(parts)
+
+
+def links(rng: random.Random, low: int = 3, high: int = 9) -> str:
+    items = (f'<li><a href="/{i}">{" ".join(words(rng, rng.randrange(1, 4)))}</a></li>' for i in range(rng.randrange(low, high)))
+    return f"<ul>{''.join(items)}</ul>"
+
+
+def advert(rng: random.Random) -> str:
+    name = rng.choice(["ad", "advert", "ads", "promo", "sponsored", "ad-banner"])
+    text = prose(rng, 1, 4)
+    return rng.choice([f'<div class="{name}">{text}</div>', f'<div class="{name}"><p>{text}</p></div>'])
+
+
+def comments(rng: random.Random) -> str:
+    one = (
+        f'<div class="comment"><span class="author">{words(rng, 1)[0]}</span>'
+        f"<p>{prose(rng, 1, 5)}</p><a href='#'>Reply</a></div>"
+        for _ in range(rng.randrange(2, 6))
+    )
+    name = rng.choice(['id="comments"', 'class="comments"', 'class="comment-list"', 'id="discussion"'])
+    return f"<section {name}><h3>{rng.choice(['Comments', 'Replies'])}</h3>{''.join(one)}</section>"
+
+
+def before(rng: random.Random) -> str:
+    found = []
+    if rng.random() < 0.7:
+        found.append(f"<header><a href='/'>{words(rng, 1)[0]}</a><p>{sentence(rng, 3, 8)}</p></header>")
+    name = rng.choice(["<nav>{}</nav>", '<div class="menu">{}</div>', '<div id="navigation">{}</div>'])
+    found.append(name.format(links(rng)))
+    if rng.random() < 0.4:
+        name = rng.choice(["cookie-notice", "cookies", "consent-banner", "gdpr"])
+        found.append(f'<div class="{name}"><p>{prose(rng, 1, 4)}</p><button>{words(rng, 1)[0]}</button></div>')
+    if rng.random() < 0.3:
+        found.append(f'<ol class="breadcrumb"><li><a href="/">{words(rng, 1)[0]}</a><li>{words(rng, 1)[0]}</ol>')
+    if rng.random() < 0.4:
+        found.append(advert(rng))
+    if rng.random() < 0.3:
+        way = rng.choice(["hidden", 'style="display: none"', 'aria-hidden="true"'])
+        found.append(f"<div {way}><p>{prose(rng, 1, 6)}</p></div>")
+    return "".join(found)
+
+
+def after(rng: random.Random) -> str:
+    found = []
+    if rng.random() < 0.5:
+        teasers = "".join(f"<li><a href='/t'>{sentence(rng, 4, 10)}</a></li>" for _ in range(4))
+        found.append(
+            rng.choice(
+                [
+                    f"<aside><h4>{words(rng, 1)[0]}</h4><ul>{teasers}</ul><p>{prose(rng, 1, 3)}</p></aside>",
+                    f'<div class="sidebar"><div class="widget"><h4>{words(rng, 1)[0]}</h4><p>{prose(rng, 1, 4)}</p></div></div>',
+                    f'<div class="related">{teasers}</div>',
+                ]
+            )
+        )
+    if rng.random() < 0.4:
+        found.append(f'<div class="share">{links(rng, 2, 5)}</div>')
+    if rng.random() < 0.5:
+        found.append(comments(rng))
+    if rng.random() < 0.4:
+        found.append(f"<form class='newsletter'><label>{words(rng, 1)[0]}</label><input><p>{prose(rng, 1, 3)}</p></form>")
+    if rng.random() < 0.8:
+        found.append(f"<footer>&copy; 2020 {words(rng, 1)[0]}. {sentence(rng, 3, 9)}{links(rng, 1, 4)}</footer>")
+    return "".join(found)
+
+
+def article(rng: random.Random, add) -> str:
+    """Its markup; every block of text goes through ``add``."""
+    found = [f"<h1>{add(sentence(rng, 3, 9))}</h1>"]
+    for _ in range(rng.randrange(3, 9)):
+        kind = rng.random()
+        if kind < 0.62:
+            name = rng.choice([""] * 9 + [f' class="{rng.choice(INLINE)}"'])
+            found.append(f"<p{name}>{with_inline(rng, add(prose(rng, 1, 8)))}</p>")
+        elif kind < 0.74:
+            name = rng.choice(["", "", ' id="search"', ' class="notice"', ' id="discussion"'])
+            found.append(f"<h2{name}>{add(' '.join(words(rng, rng.randrange(1, 6))))}</h2>")
+            found.append(f"<p>{add(prose(rng, 2, 7))}</p>")
+        elif kind < 0.82:
+            items = "".join(f"<li>{add(sentence(rng, 5, 16))}</li>" for _ in range(rng.randrange(2, 5)))
+            found.append(f"<ul>{items}</ul>")
+        elif kind < 0.88:
+            found.append(f"<blockquote><p>{add(prose(rng, 1, 4))}</p></blockquote>")
+        elif kind < 0.93:
+            name = rng.choice(INNOCENT)
+            found.append(f'<section id="{name}"><p>{add(prose(rng, 3, 8))}</p><p>{add(prose(rng, 2, 6))}</p></section>')
+        elif kind < 0.97:
+            found.append(advert(rng))
+            found.append(f"<p>{add(prose(rng, 2, 6))}</p>")
+        else:
+            cells = "".join(f"<tr><td>{add(sentence(rng, 4, 9))}<td>{add(sentence(rng, 4, 9))}" for _ in range(2))
+            found.append(f"<table>{cells}</table>")
+    return "".join(found)
+
+
+def page(seed: int) -> tuple[str, list[str]]:
+    """A page, and the blocks of its article in order."""
+    rng = random.Random(seed)
+    blocks: list[str] = []
+
+    def add(text: str) -> str:
+        blocks.append(text)
+        return text
+
+    opened = rng.choice(CONTAINERS).format(innocent=rng.choice(INNOCENT))
+    tags = [part.split(" ")[0].strip("<>") for part in opened.split("<") if part]
+    closed = "".join(f"</{tag}>" for tag in reversed(tags))
+    body = before(rng) + opened + article(rng, add) + closed + after(rng)
+    return f"<html><head><title>{words(rng, 1)[0]}</title></head><body>{body}</body></html>", blocks

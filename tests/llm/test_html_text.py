@@ -1,7 +1,9 @@
 import itertools
 import random
+from collections import Counter
 
 import pytest
+from page_cases import INLINE, INNOCENT, page
 
 from tripmart.llm import html_text as html
 
@@ -109,3 +111,90 @@ def test_words_in_an_article_are_outbid(inside, text):
 def test_stand_ins_outside_an_article_are_no_text():
     page = "<noscript>Please enable scripts. This site needs them.</noscript>"
     assert html.main_text(f"<body>{page}<article><p>{SHORT}</p></article>") == SHORT
+
+
+TRAINING, HELD_OUT = range(400), range(10_000, 10_250)
+
+
+def labelled(seeds):
+    found, of_article = [], []
+    for seed in seeds:
+        source, texts = page(seed)
+        blocks = html.page_blocks(source)
+        found += html.features(blocks)
+        of_article += [b.text in set(texts) for b in blocks]
+    return found, of_article
+
+
+def test_weights_are_those_of_the_labelled_pages():
+    assert html.fit_weights(*labelled(TRAINING)) == pytest.approx(html.WEIGHTS, abs=0.011)
+
+
+def test_words_of_varied_pages():
+    """Precision and recall of words, on pages that the weights were not fitted to."""
+    both = wanted = given = 0
+    for seed in HELD_OUT:
+        source, texts = page(seed)
+        expected = Counter(" ".join(texts).split())
+        found = Counter(html.main_text(source).split())
+        both += (expected & found).total()
+        wanted += expected.total()
+        given += found.total()
+    assert both / wanted > 0.98
+    assert both / given > 0.98
+
+
+def test_edges_decide_too(monkeypatch):
+    """Blocks by themselves are told apart less well than by the cut."""
+    def wrong():
+        errors = 0
+        for seed in range(20_000, 20_080):
+            source, texts = page(seed)
+            blocks = html.page_blocks(source)
+            scores = [html.block_score(f) for f in html.features(blocks)]
+            kept = html.labels(scores, html.edges(blocks))
+            errors += sum(k != (b.text in set(texts)) for k, b in zip(kept, blocks))
+        return errors
+
+    with_edges = wrong()
+    monkeypatch.setattr(html, "edges", lambda blocks: [])
+    assert with_edges <= wrong()
+
+
+PROSE = " ".join(
+    f"The samples that we took in the spring of year {i} hold far more salt than others do." for i in range(4)
+)
+
+
+@pytest.mark.parametrize("name", INNOCENT)
+def test_a_listed_word_in_the_name_of_a_wrapper_takes_nothing(name):
+    for opened, closed in (
+        (f'<div id="{name}">', "</div>"),
+        (f'<div class="main-content"><div class="{name}">', "</div></div>"),
+        (f'<article class="{name}">', "</article>"),
+    ):
+        assert html.main_text(f"{opened}<p>{PROSE}</p><p>{PROSE}</p>{closed}") == f"{PROSE} {PROSE}"
+
+
+@pytest.mark.parametrize("name", INLINE)
+def test_a_listed_word_on_an_inline_element_takes_nothing(name):
+    inside = f'{SHORT} See <a class="{name}" href="/x">the tide table</a> for <span id="{name}">more</span>.'
+    text = html.main_text(f"<nav><a>x</a></nav><article><h1>Salt</h1><p>{inside}</p></article>")
+    assert text == f"Salt {SHORT} See the tide table for more."
+
+
+def test_what_is_hidden_is_not_shown():
+    inside = f'{SHORT}<span hidden> Not this.</span><b style="display: none"> Nor this.</b> But this.'
+    assert html.main_text(f"<article><p>{inside}</p></article>") == f"{SHORT} But this."
+    page = f"<article><p>{SHORT}</p></article><div hidden><p>{SHORT}</p></div>"
+    assert html.main_text(page) == SHORT
+
+
+def test_the_given_pages(spark):
+    """Of these the article is known: it stands in its element, and nothing else does."""
+    pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet")
+    found = {r.page_id: r.text for r in html.extracted(pages).collect()}
+    for row in pages.collect():
+        inside = (row.html or "").partition("<article>")[2].partition("</article>")[0]
+        blocks = html.page_blocks(f"<article>{inside}</article>")
+        assert found[row.page_id] == " ".join(b.text for b in blocks)
