@@ -10,6 +10,8 @@ from corpus_cases import document_rows, documents, prose
 
 import __spark_entry__ as contract
 from tripmart.llm import quality, queries
+from tripmart.llm.components import connected_components
+from tripmart.sources.scratch import scratch_folder
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.01")
 
@@ -117,6 +119,28 @@ def test_pipeline_as_a_whole(spark, tables):
     assert key
 
 
+def scratch_folders(spark):
+    root = Path(scratch_folder(spark, "none").removeprefix("file:")).parent
+    return {p.name for p in root.iterdir()} if root.exists() else set()
+
+
+def test_a_run_leaves_its_result_and_the_token_files(spark, tables):
+    before = scratch_folders(spark)
+    rows = corpus_pipeline.run(spark, tables)
+    left = sorted(name.rsplit("-", 1)[0] for name in scratch_folders(spark) - before)
+    assert left == ["tripmart-pipeline-token_files", "tripmart-tokens"]
+    assert rows.count() > 0
+
+
+def test_rounds_of_components_replace_each_other(spark):
+    links = spark.createDataFrame([(i, i + 1) for i in range(60)], "a long, b long")
+    before = scratch_folders(spark)
+    found = connected_components(links)
+    left = sorted(name.rsplit("-", 1)[0] for name in scratch_folders(spark) - before)
+    assert left == ["tripmart-links", "tripmart-parents"]
+    assert found.filter("component <> 0").isEmpty() and found.count() == 61
+
+
 def test_pipeline_without_documents(spark, tables, tmp_path):
     spark.read.parquet(f"{tables}/documents.parquet").limit(0).write.parquet(f"{tmp_path}/documents.parquet")
     for name in ("labels", "benchmark"):

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import logging
 import posixpath
 import re
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 import pyarrow as pa
 from pyarrow import fs
@@ -39,10 +42,39 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     to the planner before it chooses a join.
     """
     path = scratch_folder(df.sparkSession, label)
+    _made.get().append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+# The folders of stored frames, by the scope that is open.
+_made: ContextVar[list[str]] = ContextVar("made", default=[])  # noqa: B039
+
+
+@contextmanager
+def scope() -> Iterator[list[str]]:
+    """Collects the folders of the frames that are stored within, oldest first. What is not
+    discarded by then belongs to the scope around it afterwards."""
+    outer, mine = _made.get(), []
+    token = _made.set(mine)
+    try:
+        yield mine
+    finally:
+        _made.reset(token)
+        outer.extend(mine)
+
+
+def discard(folders: list[str]) -> None:
+    """Delete folders of stored frames that nothing reads any more, and forget them."""
+    for folder in list(folders):
+        system, path = file_system(folder)
+        try:
+            system.delete_dir(path)
+        except OSError as error:  # it takes room, and nothing else
+            log.warning("%s stays: %s", folder, error)
+    folders.clear()
+
+
 def rows_in_arrow(
     function: Callable[[Iterator[dict]], Iterator[tuple]], schema: pa.Schema, rows: int = 2000
 ) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
