@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tripmart.llm import mixture, simhash, token_files, toxicity, winnowing
-from tripmart.llm.common import stored
+from tripmart.llm.common import discard, scope, stored
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -55,8 +55,19 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the documents of a folder of tables."""
+    """All stages over the documents of a folder of tables.
+
+    When a stage is stored, what it stored on its way goes, and so does the stage before. The
+    result and the token files stay.
+    """
     docs = _table(spark, sf_dir, "documents")
+    before: list[str] = []
     for name, stage in STAGES:
-        docs = stored(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        with scope() as made:
+            docs = stored(stage(spark, docs, sf_dir), f"pipeline-{name}")
+            before += made[:-1]
+            del made[:-1]
+            discard(before)
+            if name != STAGES[-1][0]:
+                before, made[:] = made[:], []
     return docs

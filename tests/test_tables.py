@@ -209,6 +209,15 @@ def test_scratch_falls_back_on_the_warehouse():
     assert scratch_folder(session, "x").startswith("hdfs://shared/warehouse/scratch/tripmart-x-")
 
 
+@pytest.mark.parametrize("warehouse", ["file:/home/x/spark-warehouse", "/home/x/spark-warehouse"])
+def test_scratch_is_never_on_each_machine_of_a_cluster(warehouse):
+    local = SessionWith(spark_sql_warehouse_dir=warehouse, spark_master="local[8]")
+    assert scratch_folder(local, "x").startswith(f"{warehouse}/scratch/")
+    for master in ({"spark_master": "yarn"}, {}):
+        with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+            scratch_folder(SessionWith(spark_sql_warehouse_dir=warehouse, **master), "x")
+
+
 def test_names():
     plain = Lake("/landing")
     assert plain.bronze_table == "bronze.yellow_taxi_trips"
