@@ -196,8 +196,11 @@ def read_landing(
     text = {f.name.lower() for f in fields if isinstance(f.dataType, StringType)}
     text |= {c.lower() for c in as_text}
     other = {f.name.lower() for f in fields if not isinstance(f.dataType, StringType)}
-    frames = []
-    for schema, files in scans.values():
-        scan = spark.read.schema(schema).parquet(*(e.path for e in files))
-        frames.append(tag_source(normalize_numerics(scan, keep, text & other), files))
-    return union_all(frames)
+
+    def scanned(scan: tuple[StructType, list[Entry]]) -> DataFrame:
+        schema, files = scan
+        rows = spark.read.schema(schema).parquet(*(e.path for e in files))
+        return tag_source(normalize_numerics(rows, keep, text & other), files)
+
+    # Spark lists the files of a scan when it is made.
+    return union_all(_at_once(scanned, scans.values()))
