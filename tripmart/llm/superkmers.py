@@ -13,8 +13,9 @@ windows tells exactly which are equal and the smallest document of each.
    Strings themselves travel only for what is left, and each string once, however many
    documents hold it.
 3. Buckets sort the windows of their strings. A bucket of more than ``LARGE`` strings, as
-   the edges of a passage that very many documents share make it, is dealt out by window
-   instead, under a 128-bit name of the window, where copies meet before the shuffle.
+   the edges of a passage that very many documents share make it, is dealt out by the words
+   of its windows instead: equal windows meet, first within the map tasks. Both ways compare
+   the words themselves.
 4. Windows with a smaller document give spans of words to remove, per document.
 
 Defined results: no text has no words. A document without an id is never smaller and
@@ -39,6 +40,7 @@ from tripmart.llm.common import rows_in_arrow, stored
 WINDOW = 50
 
 GRAM = 6
+# Strings of a bucket that are sorted in one task; it splits work, and decides no result.
 LARGE = 1000
 # Windows of one string at most; a longer run, as of one word repeated, is several strings.
 LONGEST = 256
@@ -67,13 +69,11 @@ _PACKED = pa.schema(
         ("low", pa.int64()),
         ("high", pa.int64()),
         ("packed", pa.binary()),
-        ("window1", pa.list_(pa.int64())),
-        ("window2", pa.list_(pa.int64())),
+        ("window", pa.int32()),
     ]
 )
 _PACKED_DDL = (
-    "minimiser long, name1 long, name2 long, low long, high long, packed binary, "
-    "window1 array<long>, window2 array<long>"
+    "minimiser long, name1 long, name2 long, low long, high long, packed binary, window int"
 )
 _SPANS = pa.schema(
     [
@@ -143,13 +143,8 @@ def super_kmers(
     return found
 
 
-def _name(content: bytes) -> tuple[int, int]:
-    """A 128-bit name, as two signed numbers."""
-    one, two = np.frombuffer(xxhash.xxh3_128_digest(content), dtype="<i8")
-    return int(one), int(two)
-
-
 def _names(contents: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """128-bit names, as two signed numbers."""
     digests = b"".join(map(xxhash.xxh3_128_digest, contents))
     both = np.frombuffer(digests, dtype="<i8").reshape(-1, 2)
     return both[:, 0], both[:, 1]
@@ -194,8 +189,8 @@ def packed_strings(strings: DataFrame, documents: DataFrame, window: int = WINDO
     """The words of strings, cut out of one document that holds them.
 
     ``strings`` has minimiser, name1, name2, low, high, large, and ``held``: a struct of
-    doc_id, text1, text2, start, windows. Strings of large buckets come as names of their
-    windows instead.
+    doc_id, text1, text2, start, windows. Of a string of a large bucket each window is a row
+    of its own, with its place in the string as ``window``.
     """
     held = strings.groupBy("held.doc_id", "held.text1", "held.text2").agg(
         F.collect_list(
@@ -213,11 +208,10 @@ def packed_strings(strings: DataFrame, documents: DataFrame, window: int = WINDO
                 start, windows = s["start"], s["windows"]
                 who = (s["minimiser"], s["name1"], s["name2"], s["low"], s["high"])
                 if s["large"]:
-                    at = range(start, start + windows)
-                    one, two = _names([joined[begin[i] : end[i + window - 1]] for i in at])
-                    yield *who, None, one, two
+                    for i in range(start, start + windows):
+                        yield *who, joined[begin[i] : end[i + window - 1]], i - start
                 else:
-                    yield *who, joined[begin[start] : end[start + windows + window - 2]], None, None
+                    yield *who, joined[begin[start] : end[start + windows + window - 2]], None
 
     keys = ["doc_id", "text1", "text2"]
     texts = _texts(documents).join(stored(held, "supers-held"), keys)
@@ -297,8 +291,8 @@ def _sorted_buckets(packed: DataFrame, window: int) -> DataFrame:
         yield from done()
 
     return (
-        packed.filter("packed is not null")
-        .drop("window1", "window2")
+        packed.filter("window is null")
+        .drop("window")
         .repartition("minimiser")
         .sortWithinPartitions("minimiser")
         .mapInArrow(rows_in_arrow(spans, _SPANS), _SPANS_DDL)
@@ -307,17 +301,17 @@ def _sorted_buckets(packed: DataFrame, window: int) -> DataFrame:
 
 def _dealt_windows(packed: DataFrame) -> DataFrame:
     """Spans of one window each, from strings of large buckets."""
-    rows = packed.filter("packed is null").select(
-        "name1", "name2", "low", "high",
-        F.posexplode(F.arrays_zip("window1", "window2")).alias("first", "window"),
-    )
-    rows = rows.select("name1", "name2", "low", "high", "first", "window.*")
-    lowest = rows.groupBy("window1", "window2").agg(F.min("low").alias("lowest"))
+    rows = packed.filter("window is not null")
+    lowest = (
+        rows.groupBy("packed")
+        .agg(F.min("low").alias("lowest"), F.max("high").alias("highest"))
+        .filter("lowest < highest")
+        .drop("highest")
+    )
     return (
-        rows.drop("low")
-        .join(stored(lowest, "supers-windows"), ["window1", "window2"])
+        rows.join(stored(lowest, "supers-windows"), "packed")
         .filter("lowest < high")
-        .selectExpr("name1", "name2", "first", "first as last", "lowest as low")
+        .selectExpr("name1", "name2", "window as first", "window as last", "lowest as low")
         .distinct()
     )
 
