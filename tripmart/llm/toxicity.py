@@ -18,7 +18,7 @@ from. Labels without an id or a class are left out. Other columns are not read,
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -150,15 +150,22 @@ def _total(weights: np.ndarray, bias: float, entry: tuple) -> float:
     return float((weights[columns] * damped(counts.astype(np.float64))).sum() + bias)
 
 
-def learn(texts: list[str | None], labels: list[int]) -> tuple[np.ndarray, float]:
+def learn(rows: Iterable[tuple[str | None, int]]) -> tuple[np.ndarray, float]:
     """Weights of the damped counts, and bias, scaled so that the logistic function of the
-    sum is a probability under equal class shares."""
+    sum is a probability under equal class shares.
+
+    Of each text and its label only the bag is kept: ``COLUMNS`` entries at most.
+    """
+    # Counts are damped, so that they need not be exact beyond the smaller type.
+    most = np.iinfo(np.uint16).max
+    bags, labels = [], []
+    for text, label in rows:
+        columns, counts = bag(text)
+        bags.append((columns, np.minimum(counts, most).astype(np.uint16)))
+        labels.append(label)
     toxic = np.array(labels, dtype=bool)
     if toxic.all() or not toxic.any():
         return np.zeros(COLUMNS, dtype=np.float32), -np.inf
-    # Counts are damped, so that they need not be exact beyond the smaller type.
-    most = np.iinfo(np.uint16).max
-    bags = [(c, np.minimum(n, most).astype(np.uint16)) for c, n in map(bag, texts)]
     weights, bias = _model(bags, toxic)
     # Rows come in the order of a hash, so every fold gets its share of both classes.
     place = np.zeros(len(bags), dtype=int)
@@ -204,11 +211,7 @@ def train(
     )
 
     def fit(rows: Iterator[dict]) -> Iterator[tuple]:
-        texts, classes = [], []
-        for row in rows:
-            texts.append(row["text"])
-            classes.append(row["toxic"])
-        weights, bias = learn(texts, classes)
+        weights, bias = learn((row["text"], row["toxic"]) for row in rows)
         yield weights.tobytes(), bias
 
     found = rows.mapInArrow(rows_in_arrow(fit, _MODEL), "weights binary, bias double").collect()
