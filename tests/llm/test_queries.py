@@ -1,12 +1,18 @@
 """Registered queries on the given tables: against SQL, or whole where there is none."""
 
 import os
+import zlib
+from collections import Counter
 from pathlib import Path
 
 import corpus_pipeline
 import duckdb
 import pytest
-from corpus_cases import document_rows, documents, prose
+from corpus_cases import document_rows, documents, prose, words_of
+from test_mixture import targets
+from test_simhash import brute_fingerprint, brute_groups
+from test_token_files import ids_of, packed
+from test_winnowing import brute as brute_hits
 
 import __spark_entry__ as contract
 from tripmart.llm import quality, queries
@@ -111,6 +117,70 @@ def test_pipeline_stages(spark, tables):
     assert sum(r.n_tokens for r in found) == max(r.start + r.n_tokens for r in found)
 
 
+@pytest.fixture(scope="module")
+def stage_rows(spark, tables):
+    """(doc_id, text, source) of the documents, and of what each stage but the last leaves."""
+    docs = spark.read.parquet(f"{tables}/documents.parquet")
+    found = [docs]
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        stage(spark, found[-1], tables).write.parquet(f"{tables}/by-hand-{name}")
+        found.append(spark.read.parquet(f"{tables}/by-hand-{name}"))
+    last = corpus_pipeline.STAGES[-1][1](spark, found[-1], tables).collect()
+    return [[(r.doc_id, r.text, r.source) for r in f.collect()] for f in found], last
+
+
+def test_pipeline_drops_the_toxic_alone(stage_rows):
+    (start, clean, *_), _ = stage_rows
+    gone = Counter(start) - Counter(clean)
+    planted = Counter(r for r in start if "grobble" in (r[1] or ""))
+    assert not Counter(clean) - Counter(start)
+    assert gone == planted
+
+
+def test_pipeline_leaves_one_of_each_near_group(stage_rows):
+    (_, clean, distinct, *_), _ = stage_rows
+    group = brute_groups([brute_fingerprint(text) for _, text, _ in clean])
+    ids = {}
+    for g, (doc_id, *_) in zip(group, clean, strict=True):
+        ids.setdefault(g, []).append(doc_id)
+    keepers = [min((i for i in members if i is not None), default=None) for members in ids.values()]
+    assert Counter(i for i, *_ in distinct) == Counter(keepers)
+    assert not Counter(distinct) - Counter(clean)
+
+
+def test_pipeline_drops_the_contaminated_alone(stage_rows):
+    (_, _, distinct, clean, _), _ = stage_rows
+    items = [(1, document_rows()[4][1]), (2, None)]
+    expected = [row for row in distinct if not brute_hits([row], items)[0][-1]]
+    assert Counter(clean) == Counter(expected) and len(clean) < len(distinct)
+
+
+def test_pipeline_mixes_to_the_targets(stage_rows):
+    (*_, docs, mixed), _ = stage_rows
+    copies, sizes, taken, largest = Counter(mixed), Counter(), Counter(), Counter()
+    assert not set(mixed) - set(docs)
+    for row in docs:
+        size, source = len(words_of(row[1])), row[2]
+        assert size == 0 or copies[row] <= 2
+        sizes[source] += size
+        taken[source] += size * copies[row]
+        largest[source] = max(largest[source], size)
+    for source, target in targets(sizes).items():
+        assert abs(taken[source] - target) <= largest[source], source
+
+
+def test_pipeline_writes_the_tokens_of_all(stage_rows):
+    (*_, mixed), found = stage_rows
+    expected = [(i, [*ids_of(text), 0]) for i, text, _ in mixed]
+    assert Counter((r.doc_id, r.n_tokens, r.ids_crc32) for r in found) == Counter(
+        (i, len(ids), zlib.crc32(packed(ids))) for i, ids in expected
+    )
+    found = sorted(found, key=lambda r: r.start)
+    ids = [r.doc_id for r in found if r.doc_id is not None]
+    assert ids == sorted(ids)
+    assert [r.start for r in found] == [sum(r.n_tokens for r in found[:i]) for i in range(len(found))]
+
+
 def test_pipeline_as_a_whole(spark, tables):
     rows = contract.queries()["pipeline"](spark, tables).collect()
     again = corpus_pipeline.run(spark, tables).collect()
