@@ -51,6 +51,34 @@ def test_encoder_forgets_and_stays_right():
     assert len(encode.new) <= 3 and len(encode.old) <= 3
 
 
+def test_words_cost_one_look_and_new_marks_one_call(monkeypatch):
+    """Marks behind a word are encoded once, and spaces cut a text without the pattern."""
+    encode, asked = files.Encoder(PATH), []
+    whole = encode.whole
+    monkeypatch.setattr(encode, "whole", lambda part: asked.append(part) or whole(part))
+    text = " ".join(f"{word}***" for word in ("alpha", "beta", "Gamma", "délta", "word", "words"))
+    assert encode(text) == packed(ids_of(text))
+    assert asked == ["***"]
+    monkeypatch.setattr(files, "_PIECES", None)
+    assert encode(text) == packed(ids_of(text))
+    assert encode(f"{text} {text}") == packed(ids_of(f"{text} {text}"))
+
+
+@pytest.mark.parametrize(
+    "text",
+    [
+        " ", "  ", "\n", " a", "  a", "a ", "a  ", "a  b", "a   b", "a \n b", "a\n b", "a \nb",
+        "a\n\n\nb c", "\n\na b", "a b\n\n", "a\xa0 b", "a \xa0b", "a\x1c b", "a \x1c", "\x1f a",
+        "a\0 b", "\0", " \0 ", "x's y'll .'s !'s", "a_b c__ d_", "a...' b'...", "é** ñ-- ǅ!! 日***",
+        "a <| b", "a <|endoftext|> b", "1** 2-3", "*** *** a***b",
+    ],
+)
+def test_white_space_and_marks_around_words(text):
+    for encode in (files.encoder(PATH), files.Encoder(PATH, remembered=1)):
+        for repeated in (text, f"{text}{text}", f"w{text}w {text}w"):
+            assert encode(repeated) == packed(ids_of(repeated)), repeated
+
+
 def test_documents(spark):
     rows = document_rows()
     manifest = files.write_token_files(documents(spark, rows)).cache()

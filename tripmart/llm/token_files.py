@@ -12,10 +12,12 @@ its range and writes files of ``FILE_BYTES`` or ``FILE_DOCUMENTS`` at most, so t
 it holds until a file ends are bounded. One row per file passes on.
 
 Encoding: a byte-level BPE works on pieces of a text between which nothing merges. Words
-recur, so pieces are cut off coarsely, at white space, and their ids are remembered; the
-tokenizer sees each distinct piece once per memory. Texts that hold a special token go to
-the tokenizer as a whole, and so do all texts where its own settings are not those that this
-holds for. The tokenizer's file must be at the same place on every executor.
+recur, so pieces are cut off coarsely, before spaces, and their ids are remembered; the
+tokenizer sees each distinct word, and each run of marks behind one, once per memory. Where
+white space stands before a space, a text is cut by a pattern instead. Texts that hold a
+special token go to the tokenizer as a whole, and so do all texts where its own settings are
+not those that this holds for. The tokenizer's file must be at the same place on every
+executor.
 
 Defined results: a document without text, or with an empty one, has the end id alone.
 Documents without an id come first. Repeated rows are encoded each; equal rows have equal
@@ -29,7 +31,8 @@ import re
 import struct
 import zlib
 from array import array
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
+from functools import lru_cache
 
 import pyarrow as pa
 import xxhash
@@ -85,7 +88,11 @@ _READ_DDL = "doc_id long, start long, n_tokens long, ids_crc32 long"
 # Fixed value: white space as the tokenizer's pattern takes it.
 _SPACE = "\t-\r \x85\xa0  -     　"
 _PIECES = re.compile(f" ?[^{_SPACE}]+|[{_SPACE}]+(?![^{_SPACE}])|[{_SPACE}]")
-_WORD = re.compile("( ?[A-Za-zÀ-ÖØ-öø-ɏ]+)([.,;:!?]*)")
+_SPACES = "".join(re.findall(f"[{_SPACE}]", "".join(map(chr, range(0x3001)))))
+# Letters, and what ends a piece behind them as one run of marks: no apostrophe, which may
+# begin a contraction.
+_LETTERS = re.compile("[A-Za-zÀ-ÖØ-öø-ɏ]+")
+_MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 
 
 def byte_letters() -> dict[int, str]:
@@ -121,6 +128,21 @@ def works_on_pieces(settings: dict) -> bool:
     )
 
 
+class _OpenEnd(Exception):
+    """A part of a text ends in white space, which the next part may go on with."""
+
+
+class _Memory(dict):
+    """Ids by part of a text; a part that is not in it is asked for."""
+
+    def __init__(self, ask: Callable[[str], bytes]) -> None:
+        super().__init__()
+        self.ask = ask
+
+    def __missing__(self, part: str) -> bytes:
+        return self.ask(part)
+
+
 class Encoder:
     """Texts to ids as little-endian 32-bit numbers, the same as the tokenizer gives."""
 
@@ -133,8 +155,9 @@ class Encoder:
         self.special = [token.content for token in added]
         self.letters = byte_letters()
         self.remembered = remembered
-        self.new: dict[str, bytes] = {}
+        self.new = _Memory(self.part)
         self.old: dict[str, bytes] = {}
+        self.blank = lru_cache(10_000)(self.whole)  # runs of white space
 
     def whole(self, text: str) -> bytes:
         """Ids straight from the tokenizer."""
@@ -142,37 +165,62 @@ class Encoder:
 
     def word(self, word: str) -> bytes:
         """Ids of letters with at most a space before them, which are merged as one piece."""
-        mapped = word.encode().decode("latin-1").translate(self.letters)
+        if word.isascii():  # its letters stand for themselves
+            mapped = word.replace(" ", self.letters[32])
+        else:
+            mapped = word.encode().decode("latin-1").translate(self.letters)
         return _packed([token.id for token in self.tokenizer.model.tokenize(mapped)])
 
-    def piece(self, piece: str) -> bytes:
-        """Ids of a piece not met lately."""
-        known = self.old.get(piece)
+    def part(self, part: str) -> bytes:
+        """Ids of a part not met lately: what goes from a space to before the next one."""
+        known = self.old.get(part)
         if known is None:
-            if word := _WORD.fullmatch(piece):
-                core, marks = word.groups()
-                known = self.word(core) if not marks else self._get(core) + self._get(marks)
+            core = part.rstrip(_MARKS)
+            letters = core.removeprefix(" ")
+            if letters.isalpha() and (letters.isascii() or _LETTERS.fullmatch(letters)):
+                marks = part[len(core) :]
+                known = self.new[core] + self.new[marks] if marks else self.word(core)
+            elif part[-1] in _SPACES:
+                raise _OpenEnd
+            elif len(pieces := _PIECES.findall(part)) > 1:  # lines, which hardly recur
+                return self._joined(pieces)
             else:
-                known = self.whole(piece)
+                known = self.whole(part)
         if len(self.new) >= self.remembered:
-            self.old, self.new = self.new, {}
-        self.new[piece] = known
+            self.old = dict(self.new)
+            self.new.clear()
+        self.new[part] = known
         return known
 
-    def _get(self, piece: str) -> bytes:
-        return self.new.get(piece) or self.piece(piece)
+    def _joined(self, pieces: list[str]) -> bytes:
+        """Ids of pieces, where runs of white space are pieces of their own."""
+        return b"".join([self.blank(p) if p[-1] in _SPACES else self.new[p] for p in pieces])
 
     def __call__(self, text: str | None) -> bytes:
         if not text:
             return b""
         if not self.in_pieces or any(special in text for special in self.special):
             return self.whole(text)
-        known, piece = self.new.get, self.piece
-        return b"".join([known(p) or piece(p) for p in _PIECES.findall(text)])
+        if "\0" not in text:
+            body = text.rstrip(_SPACES)
+            parts = body.replace(" ", "\0 ").split("\0")
+            if not parts[0]:  # the text begins with a space, or has nothing else
+                del parts[0]
+            end = text[len(body) :]
+            try:
+                ids = b"".join(map(self.new.__getitem__, parts))
+                return ids + self.blank(end) if end else ids
+            except _OpenEnd:
+                pass
+        return self._joined(_PIECES.findall(text))
+
+
+_PACKERS = [struct.Struct(f"<{n}I").pack for n in range(16)]
 
 
 def _packed(ids: list[int]) -> bytes:
-    return struct.pack(f"<{len(ids)}I", *ids)
+    n = len(ids)
+    return _PACKERS[n](*ids) if n < len(_PACKERS) else struct.pack(f"<{n}I", *ids)
 
 
 _encoders: dict[str, Encoder] = {}
