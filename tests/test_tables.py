@@ -1,6 +1,7 @@
 """Table writes, refreshes and the whole pipeline."""
 
 from datetime import datetime
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -249,3 +250,28 @@ def test_pipeline(spark, lake):
     # A second run replaces everything.
     assert pipeline.run_all(spark, lake)[lake.silver_table] == 2
     assert spark.table(lake.bronze_table).count() == 6
+
+
+def test_tasks_do_not_multiply_the_landing_files(spark, tmp_path):
+    """Every task has rows of every month; they come together in one file per entry."""
+    (
+        spark.range(0, 1200, 1, 6)
+        .selectExpr(
+            "id as l_orderkey", "1 + id % 9 as l_suppkey", "cast(id % 7 as int) as l_linenumber",
+            "cast(id as double) as l_quantity", "cast(id as double) as l_extendedprice",
+            "'N' as l_returnflag",
+            "cast(make_date(cast(1995 + id % 5 as int), cast(1 + id % 4 as int), 9) as timestamp_ntz)"
+            " as l_shipdate",
+        )
+        .write.parquet(f"{tmp_path}/lineitem.parquet")
+    )
+    landing = adapters.write_landing(spark, str(tmp_path), adapters.LINEITEM)
+    again = adapters.write_landing(spark, str(tmp_path), adapters.LINEITEM, "VendorID <> 1")
+    adapters.write_landing(spark, str(tmp_path), adapters.LINEITEM, "VendorID = 1", again)
+    for folder, files in ((landing, 1), (again, 2)):
+        entries = list(Path(folder).glob("file=*"))
+        assert len(entries) == 20
+        assert max(len(list(e.glob("*.parquet"))) for e in entries) <= files
+        assert spark.read.option("basePath", folder).parquet(
+            *(str(e) for e in entries if "1995" in e.name)
+        ).count() == 240

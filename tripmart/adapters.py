@@ -113,6 +113,8 @@ def write_landing(
     further folders with another prefix. Returns the landing path.
 
     Only rows for which ``where`` holds land, in a fresh folder or beside what is in ``folder``.
+    A shuffle brings each entry together, split only where it is large: the files grow with the
+    bytes, not with tasks times months.
     """
     folder = folder or scratch_folder(spark, f"landing-{adapter.table}")
     once, twice = F.array(F.lit("trips")), F.array(F.lit("trips"), F.lit("rerun"))
@@ -134,6 +136,7 @@ def write_landing(
                     "file"
                 ),
             )
+            .hint("rebalance", "file")
             .write.mode("append")
             .partitionBy("file")
             .parquet(folder)
